@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from gridloom.llm import exact_dedup, line_dedup, mixing, packing, pii, sharding, simhash, topk
+    from gridloom.llm import exact_dedup, line_dedup, mixing, packing, pii, quality, sharding, simhash, topk, toxicity
 
-    found = [mixing.op1_mix_sources, pii.op2_pii, packing.op3_pack, topk.op4_topk, sharding.op5_shard, line_dedup.op8_line_dedup, exact_dedup.op9_exact_dedup, simhash.op10_simhash]
+    found = [mixing.op1_mix_sources, pii.op2_pii, packing.op3_pack, topk.op4_topk, sharding.op5_shard, toxicity.op6_toxicity, quality.op7_quality, line_dedup.op8_line_dedup, exact_dedup.op9_exact_dedup, simhash.op10_simhash]
     return {f.__name__: f for f in found}
 
 
