@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridloom.plans import view_queries
+
 Query = Callable[[SparkSession, str], DataFrame]
+_MODULES = (view_queries,)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for m in _MODULES for name, sql in m.SQL.items()}
