@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from unicodedata import normalize
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +15,9 @@ _ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 @F.arrow_udf(T.StringType())
 def nfkc(texts: pa.Array) -> pa.Array:
-    """Compatibility normalisation of a whole batch in one call."""
-    return pc.utf8_normalize(texts.cast(pa.string()), form="NFKC")
+    """Compatibility normalisation. ASCII texts pass as they are; ``pyarrow.compute.utf8_normalize`` is no way out, as it
+    leaves letters and accents decomposed."""
+    return pa.array([t if t is None or t.isascii() else normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
 
 
 def strip(c: Column) -> Column:
