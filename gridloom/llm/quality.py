@@ -18,6 +18,7 @@ every score is that share (1 without labels); an empty table gives no rows; othe
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -67,6 +68,13 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
+def without_shared_lines(classes: list[list[str]], least: int = 20) -> list[list[str]]:
+    """Texts of both classes without the lines of ``least`` characters or more that several of them have: boilerplate and
+    copies say nothing of a class, but a dictionary that holds such a line would pull every text with it to its side."""
+    seen = Counter(line for texts in classes for t in texts for line in {x.strip() for x in t.split("\n")} if len(line) >= least)
+    return [["\n".join(x for x in t.split("\n") if seen[x.strip()] < 2) for t in texts] for texts in classes]
+
+
 def build_dictionary(texts: list[str]) -> bytes:
     """A dictionary from the pieces of whole texts; from their bytes as they are where they are too few to choose from."""
     import zstandard
@@ -116,7 +124,8 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, *, id_col: str
                 used += n
     in_dictionary = F.col("doc_id").isin(sorted(taken))
     texts = sorted((r["y"], r["doc_id"], r["text"]) for r in found.where(in_dictionary).select("y", "doc_id", "text").collect())
-    model = Model(share, *(build_dictionary([t for y, _, t in texts if y == kind]) for kind in (1, 0)))
+    good, bad = without_shared_lines([[t for y, _, t in texts if y == kind] for kind in (1, 0)])
+    model = Model(share, build_dictionary(good), build_dictionary(bad))
     rest = found.where(~in_dictionary).select("y", "text")
 
     def measure(batch: pa.RecordBatch) -> pa.RecordBatch:

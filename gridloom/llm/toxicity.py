@@ -81,9 +81,13 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
-def fit_nnpu(p: tuple[np.ndarray, np.ndarray, np.ndarray], u: tuple[np.ndarray, np.ndarray, np.ndarray], n_features: int, prior: float, *, steps: int = 2000, rate: float = 0.05, l2: float = 1e-4) -> np.ndarray:
-    """Weights, the length's weight and the bias. ``p`` and ``u`` are (row numbers, feature numbers, lengths by row)."""
+def fit_nnpu(p: tuple[np.ndarray, np.ndarray, np.ndarray], u: tuple[np.ndarray, np.ndarray, np.ndarray], n_features: int, prior: float, *, steps: int = 3000, rate: float = 0.05) -> np.ndarray:
+    """Weights, the length's weight and the bias. ``p`` and ``u`` are (row numbers, feature numbers, lengths by row).
+
+    The penalty on the weights falls with the number of positives, as the evidence for them grows.
+    """
     w = np.zeros(n_features + 2)
+    l2 = min(1e-4, 0.04 / max(1, len(p[2])))
     first, second = np.zeros_like(w), np.zeros_like(w)
     sets = []
     for rows, cols, lengths in (p, u):
