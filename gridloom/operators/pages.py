@@ -96,7 +96,7 @@ class _Reader(HTMLParser):
             self._close_link()
         for i in range(len(self.stack) - 1, -1, -1):  # an end tag closes what was left open inside
             if self.stack[i][0] == tag:
-                if any(m is not None for _, m in self.stack[i:]):
+                if any(m is not None or t in _BLOCKS for t, m in self.stack[i:]):
                     self._close_block()
                 del self.stack[i:]
                 break

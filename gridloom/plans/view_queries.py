@@ -15,7 +15,7 @@ LAST_MONTH = dt.date(2001, 8, 1)
 FIRST_MONTH = dt.date(1998, 1, 1)
 
 #: Means of cents, which often lie half-way between two rounded values: they are nudged up before rounding, in SQL too.
-NUDGED = ("policy_strength_mean", "data_completeness_score")
+NUDGED = ("policy_strength_mean", "data_completeness_score", "confidence_mean")
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,7 +92,7 @@ add("view_urban_renewal", " SELECT DISTINCT r.* FROM records r JOIN terms t USIN
 add("view_source_quality", " SELECT record_id, title, official_status, source_quality, primary_source_url FROM records", views.source_quality)
 add("view_collection_long", """ SELECT record_id, record_date, title, record_type, official_status, direction, source_quality, primary_source_url, source_sheet, collection_code, subcollection_code, confidence, review_status, is_primary
   FROM records JOIN collections USING (record_id)""", views.collection_long)
-add("view_library_summary", """ SELECT collection_code, subcollection_code, count(DISTINCT record_id) AS record_count, round(avg(confidence), 5) AS confidence_mean,
+add("view_library_summary", """ SELECT collection_code, subcollection_code, count(DISTINCT record_id) AS record_count, round(avg(confidence) + 1e-7, 4) AS confidence_mean,
   count(DISTINCT CASE WHEN review_status = 'pending' THEN record_id END) AS pending_review_count FROM collections GROUP BY collection_code, subcollection_code""", views.library_summary)
 _SHEETS = [(f"sheet {i}", f"kind {i % 2}") for i in range(1, 11)]
 add("view_source_coverage", f""", sheets(source_sheet, source_kind) AS (VALUES {", ".join(map(str, _SHEETS))})
