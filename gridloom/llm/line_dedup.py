@@ -58,10 +58,10 @@ class LineRuns:
         """Add a batch of line hashes as a run; ``is_new`` says whether no earlier run has the key."""
         in_docs = hashes.groupBy("h1", "h2", "doc", "text_hash").agg(F.lit(1).alias("one"))
         batch = in_docs.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper"))
-        if seen := self.runs():
-            batch = written(batch, "line-batch")
-            fresh = batch.join(reduce(DataFrame.unionByName, [r.select("h1", "h2") for r in seen]), ["h1", "h2"], "left_anti")
-            batch = fresh.withColumn("is_new", F.lit(True)).unionByName(batch.join(fresh.select("h1", "h2"), ["h1", "h2"], "left_anti").withColumn("is_new", F.lit(False)))
+        if runs := self.runs():
+            # The anti-join's two sides in one merge: what finds no partner is new.
+            seen = reduce(DataFrame.unionByName, [r.select("h1", "h2") for r in runs]).distinct().withColumn("seen", F.lit(True))
+            batch = batch.join(seen, ["h1", "h2"], "left").withColumn("is_new", F.col("seen").isNull()).drop("seen")
         else:
             batch = batch.withColumn("is_new", F.lit(True))
         self._put(batch, 0)
@@ -98,7 +98,7 @@ def repeated_lines(hashes: DataFrame, *, min_docs: int = 3, batches: int = 4, fa
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3, batches: int = 4) -> DataFrame:
     """``docs`` with repeated lines taken out of the text, and two columns more: n_lines before, and n_dropped."""
     hashes = written(line_hashes(docs, id_col=id_col, text_col=text_col, min_chars=min_chars), "line-hashes")
-    repeated = written(repeated_lines(hashes, min_docs=min_docs, batches=batches), "line-repeated")
+    repeated = repeated_lines(hashes, min_docs=min_docs, batches=batches)
     gone = hashes.join(repeated, ["h1", "h2"]).where(~F.col("doc").eqNullSafe(F.col("keeper")))
     words = gone.groupBy("doc", "text_hash", F.expr(f"pos div {WORD}").cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, pos % {WORD})")).alias("bits"))
     masks = words.groupBy("doc", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("mask"))

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.fixed_values import MUNICIPALITIES, NATIONAL_WORDS, PROVINCE_SUFFIXES, PROVINCES, SPECIAL_PARENT_CITIES
-from gridloom.functions.text import clean_text, split_parts, without_suffix
-from gridloom.operators.keyed import top_k
+from gridloom.functions.text import clean_text, split_parts, stable_id, without_suffix
+from gridloom.operators.keyed import learn_unambiguous, top_k
 
 _CITY = r"^(.{1,12}?(?:市|自治州|地区|盟))"
 _COUNTY = r"^(.{1,12}?(?:区|县|旗|市))"
@@ -123,3 +123,23 @@ def match_scope_cities(df: DataFrame, column: str, cities: DataFrame, key: str =
         F.when(district.isNotNull(), "district").otherwise("city").alias("jurisdiction_level"), district.alias("district_name"), F.lit(False).alias("needs_review"),
     )
     return by_province.unionByName(by_alias)
+
+
+def learn_city_provinces(texts: DataFrame, column: str, cities: DataFrame) -> DataFrame:
+    """(city_name, province_name) that texts and the city table always name together."""
+    text = texts.select(clean_text(F.col(column)).alias("t")).where("t IS NOT NULL").distinct().withColumn("p", _province_prefix(F.col("t")))
+    rest = F.substring("t", F.col("p.length") + 1, F.char_length("t"))
+    named = text.where("p IS NOT NULL").select(F.nullif(F.regexp_extract(rest, r"^([^/、,，;；]{1,12}?(?:市|自治州|地区|盟))", 1), F.lit("")).alias("city_name"), F.col("p.name").alias("province_name"))
+    return learn_unambiguous(named.unionByName(cities.select("city_name", "province_name")), "city_name", "province_name")
+
+
+def materialize_geography(links: DataFrame, jurisdictions: DataFrame, cities: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Places of all links (record_id, jurisdiction_id, relation_type, geography_original), and the jurisdictions with the
+    most confident reading of each (the first part of equals)."""
+    keyed_links = links.withColumn("link", F.struct("record_id", "jurisdiction_id"))
+    places = normalize_geography(keyed_links, "geography_original", cities, learn_city_provinces(links, "geography_original", cities), key="link")
+    normal = places.select(stable_id(F.col("link.record_id"), F.col("link.jurisdiction_id"), F.col("part_number"), prefix="RGEO", clean=False).alias("record_geography_id"), "link.record_id", "link.jurisdiction_id", *[c for c in places.columns if c != "link"])
+    best = top_k(normal, ["jurisdiction_id"], [F.desc("match_confidence"), F.asc("part_number"), F.asc("record_geography_id")])
+    code = F.coalesce("city_code", F.concat("province_code", F.lit("0000")))
+    clean = jurisdictions.join(best.select("jurisdiction_id", F.col("name_normalized").alias("best_name"), "province_name", "city_name", "county_name", "jurisdiction_level", code.alias("administrative_code")), "jurisdiction_id", "left")
+    return normal, clean.select("jurisdiction_id", "name", F.coalesce("best_name", "name").alias("name_normalized"), "administrative_code", F.col("jurisdiction_level").alias("level"), F.col("province_name").alias("province"), F.col("city_name").alias("prefecture"), F.col("county_name").alias("county"))

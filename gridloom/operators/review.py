@@ -103,6 +103,34 @@ def histogram(all_tasks: DataFrame, columns: list[str]) -> DataFrame:
     return counted.join(totals, "field").select("field", "value", "n", F.round(F.col("n") / F.col("total"), 4).alias("share"))
 
 
+DECISIONS = ("approved", "corrected", "rejected", "ignored")
+
+
+def decide(all_tasks: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(tasks after the decisions, correction log). ``decisions``: task_id, decision, new_value, reviewer, review_note,
+    evidence_url, seq; the last one of a task counts. A decision must be one of ``DECISIONS``, and a correction needs a
+    value: otherwise the read fails."""
+    ok = F.col("decision").isin(*DECISIONS) & ((F.col("decision") != "corrected") | F.col("new_value").isNotNull())
+    checked = decisions.where(F.when(F.coalesce(ok, F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.lit("unsupported decision, or a correction without a value")).cast("boolean")))
+    last = top_k(checked, ["task_id"], [F.desc("seq")]).select("task_id", "decision", "new_value", "reviewer", "review_note", F.col("evidence_url").alias("new_evidence"))
+    joined = all_tasks.join(last, "task_id", "left")
+    done = F.col("decision").isNotNull()
+    value = F.when(F.col("decision") == "corrected", F.col("new_value")).otherwise(F.col("old_value"))
+    after = joined.select(
+        *[c for c in all_tasks.columns if c not in ("status", "suggested_value", "evidence_url")], F.coalesce("decision", "status").alias("status"), F.when(done, value).otherwise(F.col("suggested_value")).alias("suggested_value"), F.coalesce("new_evidence", "evidence_url").alias("evidence_url"),
+        F.when(F.col("decision") == "rejected", "rejected").when(done, "auto_verified").alias("decided_status"),
+    )
+    log = joined.where(done).select("task_id", "record_id", F.coalesce("field_name", F.lit("other")).alias("field_name"), "old_value", value.alias("new_value"), "decision", "reviewer", "review_note")
+    return after, log
+
+
+def reviewed_records(records: DataFrame, all_tasks: DataFrame) -> DataFrame:
+    """Records that had tasks and have none pending any more become ``reviewed``."""
+    state = all_tasks.where("record_id IS NOT NULL").groupBy("record_id").agg(F.count_if(F.col("status") == "pending").alias("_pending"))
+    joined = records.join(state.withColumnRenamed("record_id", "_rid"), records["record_id"].cast("string") == F.col("_rid"), "left")
+    return joined.select(*[F.when(F.col("_pending") == 0, "reviewed").otherwise(F.col(c)).alias(c) if c == "manual_review_status" else F.col(c) for c in records.columns])
+
+
 def diagnose(text: Column, url: Column, parse_status: Column, has_attachments: Column, dynamic: Column, repairs: Column) -> Column:
     """struct(diagnosis, confidence, repairable), first rule that holds."""
     t = F.coalesce(text, F.lit(""))

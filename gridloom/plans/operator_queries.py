@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import numbers, text, urls
 from gridloom.functions.fuzzy import ratio_udf, weighted_ratio_udf
-from gridloom.operators import geography, keyed, matching, pages, review, rules, validation, versions
+from gridloom.operators import geography, ingest, keyed, matching, pages, review, rules, validation, versions
 from gridloom.plans.library import Library, star_sql
 from gridloom.sources import sinks, tables
 from gridloom.streaming import events as streams
@@ -814,3 +814,93 @@ def _(t):
     rows.where("event_id % 2 = 1").write.mode("append").parquet(folder)
     streams.upsert_stream(t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1000).parquet(folder), out, ["user_id"], "event_id", f"{out}-state").awaitTermination()
     return t.spark.read.parquet(out)
+
+
+# ---- ingest, decisions, sources -----------------------------------------------------------------------------------
+
+
+def _directory(t: Tables) -> DataFrame:
+    k = F.col("doc_id")
+    day = F.date_add(F.lit(dt.date(2019, 1, 1)), (k % 1500).cast("int")).cast("string")
+    return t.documents.select(
+        k.alias("source_row"), F.when(k % 7 > 0, day).alias("raw_date"), F.element_at(F.array(*[F.lit(p) for p in ("广州", "全国", "穗")]), (k % 3 + 1).cast("int")).alias("geography"), F.when(k % 9 > 0, F.concat(F.lit("关于限购的通知 "), k.cast("string"))).alias("title"),
+        F.when(k % 2 == 0, "供给").alias("category"), F.when(k % 4 == 0, "放宽").otherwise("支持").alias("summary"), F.col("text").alias("full_text"), F.when(k % 5 > 0, F.concat(F.lit("https://www.gov.cn/x/?utm_a=1&id="), k.cast("string"))).alias("url"), F.lit(None).cast("string").alias("notes"),
+    )
+
+
+def _ingested(t: Tables) -> ingest.Ingested:
+    return ingest.directory_records(_directory(t), t.spark.createDataFrame([("穗", "广州市")], "name string, standard string"), "T1")
+
+
+_DIRECTORY_SQL = """WITH d AS (SELECT doc_id, CASE WHEN doc_id % 7 > 0 THEN CAST(DATE '2019-01-01' + CAST(doc_id % 1500 AS INTEGER) AS VARCHAR) END AS raw_date, CASE doc_id % 3 WHEN 0 THEN '广州' WHEN 1 THEN '全国' ELSE '穗' END AS geography,
+  CASE WHEN doc_id % 9 > 0 THEN '关于限购的通知 ' || doc_id END AS title, CASE WHEN doc_id % 5 > 0 THEN 'https://www.gov.cn/x?id=' || doc_id END AS url FROM documents),
+  r AS (SELECT *, 'POL_' || upper(substr(sha256(coalesce(left(raw_date, 10), '') || '|' || geography || '|' || coalesce(title, '') || '|' || coalesce(url, '')), 1, 20)) AS record_id FROM d)"""
+
+
+@query("d04_ingest_records", f"""{_DIRECTORY_SQL} SELECT record_id, doc_id AS source_row, CAST(raw_date AS DATE) AS record_date, replace(title, ' ', '') AS title_normalized, url AS primary_source_url, CASE WHEN doc_id % 4 = 0 THEN 'loosening' ELSE 'supportive' END AS direction,
+  CASE WHEN geography <> '全国' THEN 'local' ELSE 'central' END AS official_level, CASE WHEN url IS NULL THEN 'unknown' ELSE 'official' END AS official_status, CASE WHEN title IS NULL OR url IS NULL THEN 'pending' ELSE 'unreviewed' END AS manual_review_status FROM r""")
+def _(t):
+    return _ingested(t).records.select("record_id", "source_row", "record_date", "title_normalized", "primary_source_url", "direction", "official_level", "official_status", "manual_review_status")
+
+
+@query("d04_ingest_jurisdictions", f"""{_DIRECTORY_SQL} SELECT record_id, geography AS geography_original, CASE WHEN geography = '穗' THEN '广州市' ELSE geography END AS jurisdiction_name, CASE WHEN geography = '穗' THEN 'alias' ELSE 'exact' END AS match_method FROM r""")
+def _(t):
+    return _ingested(t).jurisdictions.select("record_id", "geography_original", "jurisdiction_name", "match_method")
+
+
+@query("d04_ingest_terms", f"{_DIRECTORY_SQL} SELECT record_id, CASE WHEN title IS NULL THEN '其他' ELSE '限购' END AS term_name, CASE WHEN title IS NULL THEN 0.5 ELSE 0.9 END::DOUBLE AS confidence FROM r")
+def _(t):
+    return _ingested(t).terms.select("record_id", "term_name", "confidence")
+
+
+@query("d05_ingest_sheets")
+def _(t):
+    rows = t.documents.select(F.element_at(F.array(*[F.lit(s) for s, _ in ingest.SHEET_KINDS]), (F.col("doc_id") % len(ingest.SHEET_KINDS) + 1).cast("int")).alias("sheet"), F.col("doc_id").alias("row"), F.array(F.lit(None).cast("string"), F.when(F.col("doc_id") % 3 > 0, "2019-05-06"), F.substring("text", 1, 40), F.when(F.col("doc_id") % 4 == 0, "https://www.gov.cn/a"), F.lit("放宽")).alias("cells"))
+    return ingest.sheet_records(rows, t.spark.createDataFrame(ingest.SHEET_KINDS, "sheet string, record_type string"))
+
+
+@query("d31_matrix_rules", """WITH c AS (SELECT p_size AS row, p_partkey % 12 + 1 AS col, p_partkey FROM part WHERE p_size > 3)
+  SELECT CASE WHEN col >= 8 THEN '乙' ELSE '甲' END AS city_name, 'dim ' || col AS policy_dimension, 'rule ' || p_partkey AS rule_text, p_partkey AS source_cell FROM c WHERE col >= 3""")
+def _(t):
+    body = t.part.where("p_size > 3").select(F.col("p_size").alias("row"), (F.col("p_partkey") % 12 + 1).cast("int").alias("col"), F.concat(F.lit("rule "), F.col("p_partkey").cast("string")).alias("value"), F.col("p_partkey").alias("source_cell"))
+    heads = t.spark.createDataFrame([(1, 3, "甲政策现状（2023）", -1), (1, 8, "乙政策现状", -1), *[(2, c, f"dim {c}", -2) for c in range(1, 13)]], "row int, col int, value string, source_cell long")
+    return ingest.matrix_rules(body.unionByName(heads)).where("source_cell >= 0").select("city_name", "policy_dimension", "rule_text", "source_cell")
+
+
+@query("d07_materialize_geography")
+def _(t):
+    links = _placed(t).select("record_id", F.concat(F.lit("JUR_"), (F.col("record_id") % len(_PLACES)).cast("string")).alias("jurisdiction_id"), F.lit("issuing").alias("relation_type"), F.col("place").alias("geography_original"))
+    names = links.select("jurisdiction_id", F.col("geography_original").alias("name")).distinct()
+    return geography.materialize_geography(links, names, t.spark.createDataFrame(_CITIES, _CITY_SCHEMA))[1]
+
+
+@query("d14_review_decisions", f"""{_TASK_SQL}, d AS (SELECT task_id, CASE WHEN review_type = 'invalid_url' THEN 'corrected' WHEN review_type = 'missing_title' THEN 'rejected' ELSE NULL END AS decision FROM tasks)
+  SELECT task_id, coalesce(decision, 'pending') AS status, CASE decision WHEN 'corrected' THEN 'https://fixed.org' WHEN 'rejected' THEN old_value END AS suggested_value, CASE decision WHEN 'rejected' THEN 'rejected' WHEN 'corrected' THEN 'auto_verified' END AS decided_status FROM tasks JOIN d USING (task_id)""")
+def _(t):
+    found = _all_tasks(t)
+    none = F.lit(None).cast("string")
+    wanted = found.where("review_type IN ('invalid_url', 'missing_title')").select("task_id", F.when(F.col("review_type") == "invalid_url", "corrected").otherwise("rejected").alias("decision"), F.when(F.col("review_type") == "invalid_url", "https://fixed.org").alias("new_value"), F.lit("someone").alias("reviewer"), none.alias("review_note"), none.alias("evidence_url"), F.lit(1).alias("seq"))
+    return review.decide(found, wanted)[0].select("task_id", "status", "suggested_value", "decided_status")
+
+
+@query("d26_enable_sources", """WITH s AS (SELECT page_id AS source_id, page_id % 3 = 0 AS recommended_enabled, page_id % 4 = 0 AS crawl_enabled, CASE WHEN page_id % 5 > 0 THEN (page_id % 101)::DOUBLE END AS h FROM pages),
+  c AS (SELECT source_id FROM s WHERE recommended_enabled AND NOT crawl_enabled ORDER BY 1 LIMIT 20)
+  SELECT source_id, (crawl_enabled OR source_id IN (SELECT source_id FROM c)) AND coalesce(h, 0) >= 50 AS crawl_enabled FROM s""")
+def _(t):
+    k = F.col("page_id")
+    sources = t.pages.select(k.alias("source_id"), (k % 3 == 0).alias("recommended_enabled"), (k % 4 == 0).alias("crawl_enabled"), F.when(k % 5 > 0, (k % 101).cast("double")).alias("source_health_score"))
+    return versions.disable_unhealthy(versions.enable_recommended(sources)).select("source_id", "crawl_enabled")
+
+
+@query("d28_job_size", "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN least(CASE WHEN page_id % 5 > 0 THEN page_id % 5 ELSE 1 END * greatest(page_id % 3, 1) * 8, 60) ELSE 0 END AS n FROM pages")
+def _(t):
+    k = F.col("page_id")
+    return t.pages.select("page_id", versions.job_size(k % 5, k % 3, F.when(k % 2 == 0, "smart").otherwise("official"), F.lit(60).cast("long")).cast("long").alias("n"))
+
+
+@query("d32_cache_lookup", """WITH c AS (SELECT md5(text) AS h, doc_id FROM documents WHERE doc_id % 3 = 0 AND doc_id % 2 = 0)
+  SELECT d.doc_id, m.o AS output_json, CASE WHEN m.o IS NULL THEN 'awaiting_api_key' ELSE 'complete' END AS status FROM documents d LEFT JOIN (SELECT h, 'result ' || max(doc_id) AS o FROM c GROUP BY h) m ON md5(d.text) = m.h""")
+def _(t):
+    texts = t.documents.select("doc_id", F.md5(F.col("text").cast("binary")).alias("content_sha256"))
+    cache = texts.where("doc_id % 3 = 0").select("content_sha256", F.lit("v1").alias("schema_version"), F.when(F.col("doc_id") % 2 == 0, "complete").otherwise("failed").alias("status"), F.concat(F.lit("result "), F.col("doc_id").cast("string")).alias("output_json"), F.col("doc_id").alias("seq"))
+    return versions.cache_lookup(texts, cache, "v1").select("doc_id", "output_json", "status")

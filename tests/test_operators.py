@@ -230,3 +230,51 @@ def test_pushdown(lib):
 def test_validation(lib):
     got = validation.passed(validation.report(lib, "sheet 1"), F.col("city_count") == 25, F.col("record_count") > 0).first()
     assert got["passed"] and not validation.passed(validation.report(lib, "sheet 1"), F.col("city_count") == 105).first()["passed"]
+
+
+# ---- ingest and decisions ----
+
+
+def test_directory_ingest(spark):
+    from gridloom.operators import ingest
+
+    rows_ = [(2, "2024年5月17日", "穗", "《关于 限购 的通知》", "供给侧", "放宽", "正文 征求意见", "https://gov.cn/a/", "n"), (3, None, None, None, None, None, None, None, None), (4, "bad", "全国", "标题", None, None, None, None, None)]
+    df = spark.createDataFrame(rows_, "source_row int, raw_date string, geography string, title string, category string, summary string, full_text string, url string, notes string")
+    out = ingest.directory_records(df, spark.createDataFrame([("穗", "广州市")], "name string, standard string"), "T1")
+    got = {r["source_row"]: r for r in out.records.collect()}
+    assert set(got) == {2, 4}
+    assert got[2]["record_date"] == dt.date(2024, 5, 17) and got[2]["title_normalized"] == "关于限购的通知" and got[2]["official_status"] == "consultation_draft" and got[2]["status"] == "consultation"
+    assert got[2]["direction"] == "loosening" and got[2]["primary_source_url"] == "https://gov.cn/a" and got[4]["manual_review_status"] == "pending" and got[4]["official_level"] == "central"
+    assert {(r["jurisdiction_name"], r["match_method"]) for r in out.jurisdictions.collect()} == {("广州市", "alias"), ("全国", "exact")}
+    assert {r["term_name"] for r in out.terms.collect()} == {"限购", "其他"} and out.legacy.count() == 1
+
+
+def test_sheet_ingest(spark):
+    from gridloom.operators import ingest
+
+    cells = [("T7 中央经济工作会议", 5, [None, "2019-03-04", "http://gov.cn/x", "a title of some length", "放宽"]), ("T5 供给侧措施", 6, ["短", None, None, None, None])]
+    df = spark.createDataFrame(cells, "sheet string, row int, cells array<string>")
+    got = {r["source_row"]: r for r in ingest.sheet_records(df, spark.createDataFrame(ingest.SHEET_KINDS, "sheet string, record_type string")).collect()}
+    assert (got[5]["title"], got[5]["status"], got[5]["official_level"], got[5]["record_type"], got[5]["official_status"]) == ("2019-03-04", "historical", "central", "meeting_statement", "official")
+    assert got[6]["title"] == "T5 供给侧措施第6行" and got[6]["record_date"] is None and got[6]["full_text"] == "短"
+
+
+def test_decisions(spark):
+    made = spark.createDataFrame([("t1", "1", "f", "old", None, None, "pending"), ("t2", "1", "f", "old", "s", None, "pending"), ("t3", "2", "f", "o", None, None, "pending")], "task_id string, record_id string, field_name string, old_value string, suggested_value string, evidence_url string, status string")
+    chosen = spark.createDataFrame([("t1", "rejected", None, "r", None, None, 1), ("t1", "corrected", "new", "r", None, "u", 2), ("t2", "approved", None, "r", None, None, 1)], "task_id string, decision string, new_value string, reviewer string, review_note string, evidence_url string, seq int")
+    after, log = review.decide(made, chosen)
+    got = {r["task_id"]: (r["status"], r["suggested_value"], r["evidence_url"], r["decided_status"]) for r in after.collect()}
+    assert got == {"t1": ("corrected", "new", "u", "auto_verified"), "t2": ("approved", "old", None, "auto_verified"), "t3": ("pending", None, None, None)}
+    assert log.count() == 2
+    records = spark.createDataFrame([(1, "unreviewed"), (2, "unreviewed"), (3, "unreviewed")], "record_id int, manual_review_status string")
+    assert rows(review.reviewed_records(records, after), "record_id") == [(1, "reviewed"), (2, "unreviewed"), (3, "unreviewed")]
+    for bad in (("t1", "maybe", None), ("t1", "corrected", None)):
+        with pytest.raises(Exception, match="unsupported decision"):
+            review.decide(made, spark.createDataFrame([(*bad, "r", None, None, 1)], chosen.schema))[0].collect()
+
+
+def test_learned_provinces(spark):
+    cities = spark.createDataFrame(CITIES, CITY)
+    df = spark.createDataFrame([("江西省赣州市",), ("江西省赣州市章贡区",), ("江西省某市",), ("湖南省某市",)], "place string")
+    got = dict(rows(geography.learn_city_provinces(df, "place", cities)))
+    assert got["赣州市"] == "江西省" and "某市" not in got and got["广州市"] == "广东省"
