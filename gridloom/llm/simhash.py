@@ -4,13 +4,14 @@ Fingerprints: 64 bits over 4-word shingles, one Arrow pass over the texts, whose
 Equal fingerprints are folded before anything is joined, so a group of copies costs one row.
 
 Join: two fingerprints within 4 bits agree wholly in one of 5 blocks of the 64 bits. For each block the fingerprints that
-share its value form a trie below that common path; the trie is walked by pairs of nodes that start as (root, root), go
-down together byte by byte, carry the number of bits in which their paths differ, and are dropped as soon as that exceeds
-the budget. What comes out of a group is one link from each linked fingerprint to the smallest one it reaches there, not
-all pairs, so links grow with the fingerprints even where thousands are near each other. Components over these links
-equal those over all pairs.
+share its value form a binary trie; the trie is walked by pairs of nodes that start as (root, root), go down together bit
+by bit, carry the number of bits in which their paths differ, and are dropped as soon as that exceeds the budget. What
+comes out of a group is one link from each linked fingerprint to the smallest one it reaches there, not all pairs, so
+links grow with the fingerprints even where thousands are near each other. Components over these links equal those over
+all pairs.
 
-A group holds distinct fingerprints only, as 8 bytes each. Groups too large for one task are cut further: see ``_key``.
+A group holds distinct fingerprints only, as 8 bytes each. Groups too large for one task are cut by blocks of the bits
+that are still free, exactly as the 64 bits were at first: see ``groups``.
 
 Defined cases: a null or empty text, or one of white space, has fingerprint 0, linked like any other; texts of fewer than
 4 words are one shingle; repeated rows share a fingerprint; a null identifier is in no component's minimum unless there
@@ -21,10 +22,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +34,13 @@ from gridloom.llm.common import map_batches, table, whole_text, written
 from gridloom.llm.components import connected_components
 
 SEED = 42
-#: Node pairs that are compared fingerprint by fingerprint instead of going down further.
-LEAF_PAIRS = 4096
+#: Pairs of leaves that are compared one by one: under a pair of nodes, and in a whole trie.
+LEAF_PAIRS, DIRECT_PAIRS = 16, 1 << 18
+#: Pairs of nodes that go down together, which bounds the memory of a step.
+FRONTIER = 1 << 17
+#: Fingerprints in a group that one task takes at once; larger groups are cut by more bits.
+GROUP = 1 << 14
 _WORD = re.compile(rb"[^ \t\n\x0b\x0c\r]+")
-_FLIP = np.uint64(1 << 63)
 
 
 def shingle_hashes(text: str, width: int = 4) -> np.ndarray:
@@ -76,26 +81,16 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     return map_batches(docs.select(F.col(id_col).cast("long"), whole_text(text_col)), run, "doc_id long, fp long")
 
 
-def blocks(parts: int) -> list[tuple[int, int]]:
-    """(lowest bit, width) of ``parts`` blocks that cover 64 bits."""
-    cuts = [64 * i // parts for i in range(parts + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
-
-
-def _key(fp: Column, budget: int) -> Column:
-    """Array of group keys, one for each block: its number and its value."""
-    return F.array(*[F.struct(F.lit(i).cast("int").alias("block"), F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << w) - 1).cast("long")).alias("value")) for i, (a, w) in enumerate(blocks(budget + 1))])
-
-
 def trie_links(fps: np.ndarray, budget: int) -> np.ndarray:
     """For distinct uint64 fingerprints: the index of the smallest one that each reaches over links of ``budget`` bits.
 
     Sorted fingerprints are the trie's leaves in order, a node is a range of them. The frontier holds pairs of nodes of
-    one level with the bits by which their paths differ; a step goes one byte down in all pairs at once.
+    one depth with the bits by which their paths differ; a step goes one bit down in all pairs at once. Pairs of nodes
+    with few leaves are compared leaf by leaf, as are the leaves of a small trie.
     """
     n = len(fps)
     order = np.argsort(fps)
-    leaves = fps[order]
+    trie = Trie(fps[order])
     root = np.arange(n)
 
     def find(x: int) -> int:
@@ -117,41 +112,111 @@ def trie_links(fps: np.ndarray, budget: int) -> np.ndarray:
             if a != b:
                 root[max(a, b)] = min(a, b)
 
-    stack = [(0, n, 0, n, 0, 0)]  # ranges of two nodes, their level, the bits that differ so far
-    while stack:
-        a0, a1, b0, b1, level, bits = stack.pop()
-        if (a1 - a0) * (b1 - b0) <= LEAF_PAIRS or level == 8:
-            left, right = leaves[a0:a1], leaves[b0:b1]
-            near = np.bitwise_count(left[:, None] ^ right[None, :]) <= budget
-            i, j = np.nonzero(near)
-            off = (i + a0) < (j + b0)
-            link(i[off] + a0, j[off] + b0)
-            continue
-        shift = np.uint64(56 - 8 * level)
-        (x, s), (y, t) = _children(leaves, a0, a1, shift), _children(leaves, b0, b1, shift)
-        more = bits + np.bitwise_count(x[:, None] ^ y[None, :]).astype(np.int64)
-        keep = more <= budget
-        if (a0, a1) == (b0, b1):
-            keep &= np.arange(len(x))[:, None] <= np.arange(len(y))[None, :]
-        for i, j in zip(*(k.tolist() for k in np.nonzero(keep)), strict=True):
-            stack.append((s[i], s[i + 1], t[j], t[j + 1], level + 1, int(more[i, j])))
+    if n * n <= DIRECT_PAIRS:
+        i, j = np.nonzero(np.triu(np.bitwise_count(trie.leaves[:, None] ^ trie.leaves[None, :]) <= budget, 1))
+        link(i, j)
+    else:
+        top = np.zeros(1, dtype=np.int64)
+        stack = [(0, top, top, top.astype(np.int8))]  # depth, two nodes, the bits by which their paths differ
+        while stack:
+            depth, a, b, bits = stack.pop()
+            if len(a) > FRONTIER:
+                half = len(a) // 2
+                stack += [(depth, a[:half], b[:half], bits[:half]), (depth, a[half:], b[half:], bits[half:])]
+                continue
+            small = trie.sizes(depth)[a] * trie.sizes(depth)[b] <= LEAF_PAIRS
+            link(*trie.near_leaves(depth, a[small], b[small], budget))
+            if not small.all():
+                stack.append((depth + 1, *trie.descend(depth, a[~small], b[~small], bits[~small], budget)))
     out = np.empty(n, dtype=np.int64)
     out[order] = order[np.array([find(i) for i in range(n)], dtype=np.int64)]
     return out
 
 
-def _children(leaves: np.ndarray, lo: int, hi: int, shift: np.uint64) -> tuple[np.ndarray, list[int]]:
-    """Children of a node: their bytes at ``shift`` and the bounds of their ranges of leaves."""
-    byte = (leaves[lo:hi] >> shift) & np.uint64(255)
-    cuts = np.flatnonzero(np.diff(byte)) + 1
-    first = np.concatenate([[0], cuts])
-    return byte[first], [*(first + lo).tolist(), hi]
+class Trie:
+    """A binary trie over sorted leaves. A node of a depth is a range of leaves that share that many leading bits; it is
+    numbered in order, and only the ranges' starts are held."""
+
+    def __init__(self, leaves: np.ndarray):
+        self.leaves = leaves
+        self._starts: dict[int, np.ndarray] = {0: np.zeros(1, dtype=np.int64)}
+        self._sizes: dict[int, np.ndarray] = {}
+
+    def starts(self, depth: int) -> np.ndarray:
+        if depth not in self._starts:
+            self._starts[depth] = np.concatenate([[0], np.flatnonzero(np.diff(self.leaves >> np.uint64(64 - depth))) + 1])
+        return self._starts[depth]
+
+    def sizes(self, depth: int) -> np.ndarray:
+        if depth not in self._sizes:
+            self._sizes[depth] = np.diff(self.starts(depth), append=len(self.leaves))
+        return self._sizes[depth]
+
+    def descend(self, depth: int, a: np.ndarray, b: np.ndarray, bits: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of children of the pairs (a, b) of nodes that differ by ``budget`` bits at most, each pair once."""
+        below = self.starts(depth + 1)
+        bit = (self.leaves[below] >> np.uint64(63 - depth)) & np.uint64(1)
+        first = np.searchsorted(below, self.starts(depth))
+        children = np.diff(first, append=len(below))
+        found = []
+        for x in (0, 1):
+            for y in (0, 1):
+                keep = (children[a] > x) & (children[b] > y)
+                if x > y:
+                    keep &= a != b
+                left, right = first[a[keep]] + x, first[b[keep]] + y
+                more = bits[keep] + (bit[left] != bit[right])
+                near = more <= budget
+                found.append((left[near], right[near], more[near].astype(np.int8)))
+        return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+    def near_leaves(self, depth: int, a: np.ndarray, b: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+        """Leaves i < j under the pairs (a, b) that are within ``budget`` bits."""
+        starts, sizes = self.starts(depth), self.sizes(depth)
+        pairs = sizes[a] * sizes[b]
+        of = np.repeat(np.arange(len(a)), pairs)
+        at = np.arange(len(of)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+        i, j = starts[a][of] + at // sizes[b][of], starts[b][of] + at % sizes[b][of]
+        near = (i < j) & (np.bitwise_count(self.leaves[i] ^ self.leaves[j]) <= budget)
+        return i[near], j[near]
 
 
 _LINKS = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
 
 
-def near_links(distinct: DataFrame, budget: int = 4) -> DataFrame:
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _next_masks(mask: int, budget: int) -> list[int]:
+    """``mask`` with one of ``budget`` + 1 blocks of its free bits added: whoever agrees under ``mask`` and is within the
+    budget agrees under one of these, too."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    cuts = [len(free) * i // (budget + 1) for i in range(budget + 2)]
+    return [mask | sum(1 << b for b in free[lo:hi]) for lo, hi in zip(cuts, cuts[1:], strict=False) if hi > lo]
+
+
+def groups(distinct: DataFrame, budget: int = 4, limit: int = GROUP) -> DataFrame:
+    """(turn, mask, value, fp): fingerprints by the bits they have under a mask. Any two within the budget share a group.
+
+    Groups of over ``limit`` fingerprints are cut by more bits, turn after turn. A group whose mask leaves k bits free
+    holds 2^k distinct fingerprints at most, so this ends with every group within the limit, whatever the data.
+    """
+    spark = distinct.sparkSession
+    done: list[DataFrame] = []
+    opened = distinct.select("fp", F.explode(F.array(*[F.lit(_signed(m)).cast("long") for m in _next_masks(0, budget)])).alias("mask"))
+    while True:
+        keyed = opened.select(F.lit(len(done)).alias("turn"), "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp")
+        large = written(keyed.groupBy("mask", "value").count().where(F.col("count") > limit).select("mask", "value"), "simhash-large")
+        masks = [r["mask"] for r in large.select("mask").distinct().collect()]  # (budget + 1)^(turn + 1) at most
+        if not masks:
+            return reduce(DataFrame.unionByName, [*done, keyed])
+        done.append(keyed.join(large, ["mask", "value"], "left_anti").select(*keyed.columns))
+        finer = spark.createDataFrame([(m, _signed(x)) for m in masks for x in _next_masks(m & ((1 << 64) - 1), budget)], "mask long, finer long")
+        opened = written(keyed.join(large, ["mask", "value"], "left_semi").join(F.broadcast(finer), "mask").select("fp", F.col("finer").alias("mask")).distinct(), "simhash-finer")
+
+
+def near_links(distinct: DataFrame, budget: int = 4, limit: int = GROUP) -> DataFrame:
     """Links (u, v) between fingerprints of ``distinct(fp)`` whose components are those of all pairs within ``budget`` bits.
 
     Rows are dealt by group and sorted by it; a task reads its groups one after another, each as an array of 8-byte
@@ -170,15 +235,16 @@ def near_links(distinct: DataFrame, budget: int = 4) -> DataFrame:
             return [np.stack([fps[own].view(np.int64), fps[to[own]].view(np.int64)])] if len(own) else []
 
         for batch in batches:
-            group = (batch.column(0).to_numpy().astype(np.int64) << 32) | batch.column(1).to_numpy()
-            fps = batch.column(2).to_numpy()
-            cuts = np.flatnonzero(np.diff(group)) + 1
-            edges = [0, *cuts.tolist(), len(group)]
+            if not batch.num_rows:
+                continue
+            turn, mask, value, fps = (c.to_numpy() for c in batch.columns)
+            cuts = np.flatnonzero((np.diff(turn) != 0) | (np.diff(mask) != 0) | (np.diff(value) != 0)) + 1
+            edges = [0, *cuts.tolist(), len(fps)]
             found: list[np.ndarray] = []
             for a, b in zip(edges, edges[1:], strict=False):
-                if group[a] != key:
+                if (turn[a], mask[a], value[a]) != key:
                     found += done()
-                    key, held = group[a], []
+                    key, held = (turn[a], mask[a], value[a]), []
                 held.append(fps[a:b])
             if found:
                 u, v = np.concatenate(found, axis=1)
@@ -187,8 +253,7 @@ def near_links(distinct: DataFrame, budget: int = 4) -> DataFrame:
             u, v = np.concatenate(found, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
-    keyed = distinct.select("fp", F.explode(_key(F.col("fp"), budget)).alias("key")).select("key.block", "key.value", "fp")
-    return keyed.repartition("block", "value").sortWithinPartitions("block", "value").mapInArrow(run, _LINKS)
+    return groups(distinct, budget, limit).repartition("turn", "mask", "value").sortWithinPartitions("turn", "mask", "value").mapInArrow(run, _LINKS)
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4, budget: int = 4) -> DataFrame:

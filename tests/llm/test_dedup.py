@@ -12,7 +12,7 @@ from helpers import DOCS, clashing, docs_of, odd_docs, rows, texts
 from gridloom.llm.components import connected_components
 from gridloom.llm.exact_dedup import drop_exact_duplicates, exact_groups
 from gridloom.llm.line_dedup import LineRuns, dedup_lines, line_hashes, repeated_lines
-from gridloom.llm.simhash import drop_near_duplicates, fingerprint, near_duplicates, near_links, trie_links
+from gridloom.llm.simhash import DIRECT_PAIRS, GROUP, drop_near_duplicates, fingerprint, groups, near_duplicates, near_links, trie_links
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -163,7 +163,8 @@ def test_trie_join_keeps_every_component(spark, seed):
     assert to.tolist() == [want[i] for i in range(len(ordered))]
 
     signed = [f - (1 << 64) if f >> 63 else f for f in ordered]
-    links = near_links(spark.createDataFrame([(f,) for f in signed], "fp long"))
+    limit = (GROUP, 60, 20)[seed]  # groups of over 60 or 20 fingerprints are cut further
+    links = near_links(spark.createDataFrame([(f,) for f in signed], "fp long"), limit=limit)
     roots = {r["node"]: r["root"] for r in rows(connected_components(links))}
     groups, mine = defaultdict(set), defaultdict(set)
     for i, f in enumerate(signed):
@@ -172,6 +173,26 @@ def test_trie_join_keeps_every_component(spark, seed):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, mine.values()))
 
 
+def test_groups_are_cut_to_the_limit(spark):
+    r = random.Random(5)
+    fps = {r.getrandbits(63) & ~0xFFFF | r.getrandbits(4) for _ in range(400)} | set(range(300))
+    cut = groups(spark.createDataFrame([(f,) for f in fps], "fp long"), limit=64)
+    sizes = cut.groupBy("turn", "mask", "value").count().agg({"count": "max"}).first()[0]
+    assert sizes <= 64
+    assert cut.select("fp").distinct().count() == len(fps)
+
+
+def test_trie_walk_of_many_fingerprints():
+    """Enough leaves for the walk by node pairs, random ones and near ones, against all pairs."""
+    r = np.random.default_rng(3)
+    fps = r.integers(0, 1 << 63, 1500, dtype=np.uint64)
+    flipped = fps[:400] ^ (np.uint64(1) << r.integers(0, 64, 400, dtype=np.uint64)) ^ (np.uint64(1) << r.integers(0, 64, 400, dtype=np.uint64))
+    fps = np.unique(np.concatenate([fps, flipped]))
+    assert len(fps) ** 2 > DIRECT_PAIRS
+    want = brute_components({i: int(f) for i, f in enumerate(fps)})
+    assert trie_links(fps, 4).tolist() == [want[i] for i in range(len(fps))]
+
+
 def test_trie_join_of_a_dense_cluster():
     base = 0x0123456789ABCDEF
     cluster = sorted({base ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(64)})
