@@ -102,13 +102,13 @@ def _(t):
     return t.documents.select(F.col("doc_id").alias("left_id"), h).join(t.documents.select(F.col("doc_id").alias("right_id"), h), "h").where("left_id < right_id").select("left_id", "right_id")
 
 
-@query("j19_link_if_unique", """WITH u AS (SELECT user_id, event_type, count(*) AS n, min(event_id) AS event_id FROM events WHERE ts < TIMESTAMP '2024-01-02' GROUP BY ALL)
-  SELECT e.event_id AS source_event, u.event_id FROM events e LEFT JOIN u ON e.user_id = u.user_id AND e.event_type = u.event_type AND u.n = 1 WHERE e.ts >= TIMESTAMP '2024-01-02' AND e.ts < TIMESTAMP '2024-01-04'""")
+@query("j19_link_if_unique", """WITH u AS (SELECT user_id, event_type, CAST(ts AS DATE) AS d, count(*) AS n, min(event_id) AS event_id FROM events GROUP BY ALL)
+  SELECT e.event_id AS source_event, u.event_id FROM events e LEFT JOIN u ON e.user_id = u.user_id AND e.event_type = u.event_type AND u.d = CAST(e.ts AS DATE) - 1 AND u.n = 1""")
 def _(t):
-    day = F.col("ts")
-    left = t.events.where((day >= F.lit("2024-01-02").cast("timestamp_ntz")) & (day < F.lit("2024-01-04").cast("timestamp_ntz"))).select(F.col("event_id").alias("source_event"), "user_id", "event_type")
-    right = t.events.where(day < F.lit("2024-01-02").cast("timestamp_ntz")).select("user_id", "event_type", "event_id")
-    return keyed.link_if_unique(left, right, ["user_id", "event_type"], "event_id").select("source_event", "event_id")
+    """Every event with the one event of its user and type on the day before, if there is exactly one."""
+    left = t.events.select(F.col("event_id").alias("source_event"), "user_id", "event_type", F.date_sub(F.to_date("ts"), 1).alias("d"))
+    right = t.events.select("user_id", "event_type", F.to_date("ts").alias("d"), "event_id")
+    return keyed.link_if_unique(left, right, ["user_id", "event_type", "d"], "event_id").select("source_event", "event_id")
 
 
 @query("j18_band_join", """SELECT a.event_id AS left_id, b.event_id AS right_id FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_id < b.event_id
@@ -229,9 +229,9 @@ def _(t):
     return keyed.best_and_margin(t.events.select("user_id", "event_id", "value"), ["user_id"], "value", "event_id").withColumn("margin", F.round("margin", 4))
 
 
-@query("w06_position_in_list", "SELECT doc_id, CAST(i AS INTEGER) AS i, line FROM (SELECT doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE lang = 'es'))")
+@query("w06_position_in_list", "SELECT doc_id, CAST(i AS INTEGER) AS i, line FROM (SELECT doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))")
 def _(t):
-    return t.documents.where("lang = 'es'").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("p", "line")).select("doc_id", (F.col("p") + 1).alias("i"), "line")
+    return t.documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("p", "line")).select("doc_id", (F.col("p") + 1).alias("i"), "line")
 
 
 @query("w07_first_seen", "SELECT event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1 AS first_seen FROM events")
@@ -266,11 +266,11 @@ _SPLIT = 5000
 
 
 @query("u01_upsert_keep_last", """WITH o AS (SELECT user_id, event_type, max_by(value, event_id) AS value, max(event_id) AS event_id, 0 AS side FROM events WHERE event_id % 2 = 0 GROUP BY ALL),
-  n AS (SELECT user_id, event_type, max_by(value, event_id) AS value, max(event_id) AS event_id, 1 AS side FROM events WHERE event_id % 2 = 1 AND event_id % 3 = 0 GROUP BY ALL)
+  n AS (SELECT user_id, event_type, max_by(value, event_id) AS value, max(event_id) AS event_id, 1 AS side FROM events WHERE event_id % 2 = 1 GROUP BY ALL)
   SELECT user_id, event_type, event_id, value FROM (SELECT * FROM o UNION ALL SELECT * FROM n) QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY side DESC) = 1""")
 def _(t):
     rows = t.events.select("user_id", "event_type", "event_id", "value")
-    return keyed.upsert(rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1 AND event_id % 3 = 0"), ["user_id", "event_type"], "event_id")
+    return keyed.upsert(rows.where("event_id % 2 = 0"), rows.where("event_id % 2 = 1"), ["user_id", "event_type"], "event_id")
 
 
 @query("u03_insert_ignore", "SELECT doc_id, 'old' AS origin FROM labels UNION ALL SELECT doc_id, 'new' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -419,9 +419,9 @@ def _(t):
     return t.customer.select("c_custkey", numbers.measure(s).alias("m")).select("c_custkey", "m.value", "m.unit")
 
 
-@query("f18_split_parts", "SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '[/、,，;；]'), lambda x: trim(x, ' ' || chr(9) || chr(10))), lambda x: x <> '') AS parts FROM documents WHERE n_chars < 400")
+@query("f18_split_parts", "SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '[/、,，;；]'), lambda x: trim(x, ' ' || chr(9) || chr(10))), lambda x: x <> '') AS parts FROM documents")
 def _(t):
-    return t.documents.where("n_chars < 400").select("doc_id", text.split_parts(F.col("text")).alias("parts"))
+    return t.documents.select("doc_id", text.split_parts(F.col("text")).alias("parts"))
 
 
 @query("f19_without_suffix", "SELECT p_partkey, CASE WHEN p_type LIKE '%ARD' THEN substr(p_type, 1, length(p_type) - 3) WHEN p_type LIKE '%O' THEN substr(p_type, 1, length(p_type) - 1) ELSE p_type END AS s FROM part")
@@ -429,10 +429,10 @@ def _(t):
     return t.part.select("p_partkey", text.without_suffix(F.col("p_type"), ["ARD", "O"]).alias("s"))
 
 
-@query("f20_excerpt", "SELECT doc_id, substr(text, greatest(1, instr(text, 'the') - 30), instr(text, 'the') + 3 + 50 - greatest(1, instr(text, 'the') - 30)) AS around FROM documents WHERE lang = 'en' AND contains(text, 'the')")
+@query("f20_excerpt", "SELECT doc_id, substr(text, greatest(1, instr(text, 'the') - 30), instr(text, 'the') + 3 + 50 - greatest(1, instr(text, 'the') - 30)) AS around FROM documents WHERE contains(text, 'the')")
 def _(t):
     c = F.col("text")
-    return t.documents.where((F.col("lang") == "en") & F.contains("text", F.lit("the"))).select("doc_id", text.excerpt(c, F.instr(c, "the"), F.lit(3), 30, 50).alias("around"))
+    return t.documents.where(F.contains("text", F.lit("the"))).select("doc_id", text.excerpt(c, F.instr(c, "the"), F.lit(3), 30, 50).alias("around"))
 
 
 @query("f22_chunks", "SELECT doc_id, CAST(i AS INTEGER) AS i, md5(substr(text, i * 1200 + 1, 1200)) AS h FROM documents, LATERAL (SELECT unnest(range(0, CAST(floor((greatest(length(text), 1) - 1) / 1200) AS BIGINT) + 1)) AS i)")
@@ -459,9 +459,11 @@ def _(t):
 
 @query("f27_fuzzy_ratio")
 def _(t):
-    b = t.benchmark.select(F.substring("text", 1, 60).alias("a"), "item_id")
-    o = t.benchmark.select(F.substring("text", 5, 60).alias("b"), F.col("item_id").alias("other"))
-    return b.join(o, F.col("item_id") % 10 == F.col("other") % 10).select("item_id", "other", F.round(ratio_udf("a", "b"), 4).alias("ratio"), F.round(weighted_ratio_udf("a", "b"), 4).alias("weighted"))
+    """Every passage against the others that begin with the same letter."""
+    first = lambda c: F.lower(F.substring(c, 1, 1))
+    b = t.benchmark.select(F.col("text").alias("a"), "item_id", first("text").alias("block"))
+    o = t.benchmark.select(F.col("text").alias("b"), F.col("item_id").alias("other"), first("text").alias("block"))
+    return b.join(o, "block").where("item_id <> other").select("item_id", "other", F.round(ratio_udf("a", "b"), 4).alias("ratio"), F.round(weighted_ratio_udf("a", "b"), 4).alias("weighted"))
 
 
 _URL = "regexp_extract({0}, '^([a-zA-Z]+)://([^/?#]*)([^?#]*)(?:\\?([^#]*))?', {1})"
@@ -595,16 +597,20 @@ def _(t):
     return geography.match_scope_cities(_placed(t), "place", t.spark.createDataFrame(_CITIES, _CITY_SCHEMA))
 
 
+def _first_line(c: str):
+    return F.element_at(F.split(c, "\n"), 1)
+
+
 @query("d09_candidate_match")
 def _(t):
-    rows = t.benchmark.select(F.col("item_id").alias("row_number"), F.element_at(F.split("text", " "), 1).alias("block"), F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("item_id") % 60).cast("int")).alias("row_date"), F.substring("text", 1, 80).alias("row_title"), F.when(F.col("item_id") % 5 == 0, F.col("item_id")).alias("linked_id"))
-    docs = t.documents.select(F.col("doc_id").alias("record_id"), F.element_at(F.split("text", "[ \n]"), 1).alias("block"), F.when(F.col("doc_id") % 4 > 0, F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("doc_id") % 90).cast("int"))).alias("record_date"), F.substring("text", 1, 80).alias("record_title"), F.col("doc_id").alias("seq"))
+    rows = t.benchmark.select(F.col("item_id").alias("row_number"), F.element_at(F.split("text", " "), 1).alias("block"), F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("item_id") % 60).cast("int")).alias("row_date"), _first_line("text").alias("row_title"), F.when(F.col("item_id") % 5 == 0, F.col("item_id")).alias("linked_id"))
+    docs = t.documents.select(F.col("doc_id").alias("record_id"), F.element_at(F.split("text", "[ \n]"), 1).alias("block"), F.when(F.col("doc_id") % 4 > 0, F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("doc_id") % 90).cast("int"))).alias("record_date"), _first_line("text").alias("record_title"), F.col("doc_id").alias("seq"))
     return matching.match_candidates(rows, docs)
 
 
 @query("d20_source_score")
 def _(t):
-    part = lambda df, k: F.struct(F.substring("text", 1, 60).alias("title"), F.when(F.col(k) % 3 > 0, F.concat(F.lit("No. "), (F.col(k) % 6).cast("string"))).alias("document_number"), F.lit("agency").alias("issuing_agency"), F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col(k) % 50).cast("int")).alias("day"), F.lit("north").alias("region"), F.col("text"))
+    part = lambda df, k: F.struct(_first_line("text").alias("title"), F.when(F.col(k) % 3 > 0, F.concat(F.lit("No. "), (F.col(k) % 6).cast("string"))).alias("document_number"), F.lit("agency").alias("issuing_agency"), F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col(k) % 50).cast("int")).alias("day"), F.lit("north").alias("region"), F.col("text"))
     records = t.benchmark.select("item_id", part(t.benchmark, "item_id").alias("r"))
     found = t.benchmark.select(F.col("item_id").alias("seq"), part(t.benchmark, "item_id").alias("c"), F.when(F.col("item_id") % 3 == 0, "official").when(F.col("item_id") % 3 == 1, "official_reprint").otherwise("general_media").alias("official_status"))
     scored = records.join(found, F.col("item_id") % 8 == F.col("seq") % 8).withColumn("s", matching.source_score()).select("item_id", "seq", "official_status", "s.*")
@@ -617,14 +623,14 @@ _DIAGNOSE_SQL = """SELECT doc_id, CASE WHEN ps = 'parser_error' THEN 'parser_err
     WHEN t = '' AND u <> '' THEN 'source_content_missing' WHEN t = '' THEN 'true_information_missing' ELSE 'source_content_missing' END AS diagnosis,
   CASE WHEN ps = 'parser_error' THEN 0.99 WHEN att AND t = '' THEN 0.95 WHEN dyn AND length(t) < 80 THEN 0.92 WHEN rep > 0 THEN round(least(0.99, 0.85 + 0.02 * rep), 4) WHEN t = '' AND u <> '' THEN 0.9 WHEN t = '' THEN 0.85 ELSE 0.72 END::DOUBLE AS confidence,
   NOT (t = '' AND u = '' AND rep = 0 AND NOT dyn AND NOT att AND ps <> 'parser_error') AS repairable
-  FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' ELSE substr(text, 1, 200) END AS t, CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'https://x.org' END AS u, CASE WHEN doc_id % 13 = 0 THEN 'parser_error' ELSE 'parsed' END AS ps,
+  FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' ELSE text END AS t, CASE WHEN doc_id % 2 = 0 THEN '' ELSE 'https://x.org' END AS u, CASE WHEN doc_id % 13 = 0 THEN 'parser_error' ELSE 'parsed' END AS ps,
     doc_id % 11 = 0 AS att, doc_id % 7 = 0 AS dyn, CASE WHEN doc_id % 3 = 0 THEN doc_id % 10 ELSE 0 END AS rep FROM documents)"""
 
 
 @query("d16_diagnose", _DIAGNOSE_SQL)
 def _(t):
     k = F.col("doc_id")
-    d = review.diagnose(F.when(k % 5 == 0, "").otherwise(F.substring("text", 1, 200)), F.when(k % 2 == 0, "").otherwise("https://x.org"), F.when(k % 13 == 0, "parser_error").otherwise("parsed"), k % 11 == 0, k % 7 == 0, F.when(k % 3 == 0, k % 10).otherwise(0))
+    d = review.diagnose(F.when(k % 5 == 0, "").otherwise(F.col("text")),F.when(k % 2 == 0, "").otherwise("https://x.org"), F.when(k % 13 == 0, "parser_error").otherwise("parsed"), k % 11 == 0, k % 7 == 0, F.when(k % 3 == 0, k % 10).otherwise(0))
     return t.documents.select("doc_id", d.alias("d")).select("doc_id", "d.diagnosis", F.round("d.confidence", 4).alias("confidence"), "d.repairable")
 
 
@@ -775,9 +781,9 @@ def _(t):
     return back.select("vec_id", F.size(F.from_json("embedding", "array<float>")).cast("long").alias("dims"), "label")
 
 
-@query("s17_union_of_keys", "SELECT doc_id, lang, NULL::INTEGER AS toxic FROM documents WHERE doc_id < 20 UNION ALL SELECT doc_id, NULL, toxic FROM labels WHERE doc_id < 20")
+@query("s17_union_of_keys", "SELECT doc_id, lang, NULL::INTEGER AS toxic FROM documents UNION ALL SELECT doc_id, NULL, toxic FROM labels")
 def _(t):
-    both = tables.stacked([t.documents.where("doc_id < 20").select("doc_id", "lang"), t.labels.where("doc_id < 20").select("doc_id", "toxic")])
+    both = tables.stacked([t.documents.select("doc_id", "lang"), t.labels.select("doc_id", "toxic")])
     path = sinks.export(both, scratch(t.spark, "out") + ".csv")
     return t.spark.read.csv(path, header=True, schema="doc_id bigint, lang string, toxic int")
 
@@ -855,7 +861,7 @@ def _(t):
 
 @query("d05_ingest_sheets")
 def _(t):
-    rows = t.documents.select(F.element_at(F.array(*[F.lit(s) for s, _ in ingest.SHEET_KINDS]), (F.col("doc_id") % len(ingest.SHEET_KINDS) + 1).cast("int")).alias("sheet"), F.col("doc_id").alias("row"), F.array(F.lit(None).cast("string"), F.when(F.col("doc_id") % 3 > 0, "2019-05-06"), F.substring("text", 1, 40), F.when(F.col("doc_id") % 4 == 0, "https://www.gov.cn/a"), F.lit("放宽")).alias("cells"))
+    rows = t.documents.select(F.element_at(F.array(*[F.lit(s) for s, _ in ingest.SHEET_KINDS]), (F.col("doc_id") % len(ingest.SHEET_KINDS) + 1).cast("int")).alias("sheet"), F.col("doc_id").alias("row"), F.array(F.lit(None).cast("string"), F.when(F.col("doc_id") % 3 > 0, "2019-05-06"), _first_line("text"), F.when(F.col("doc_id") % 4 == 0, "https://www.gov.cn/a"), F.lit("放宽")).alias("cells"))
     return ingest.sheet_records(rows, t.spark.createDataFrame(ingest.SHEET_KINDS, "sheet string, record_type string"))
 
 
