@@ -13,6 +13,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.sources.tables import read_or_empty
+
 OFFICIAL = ("official", "official_reprint")
 
 
@@ -64,6 +66,20 @@ STAR = Measures(
 )
 
 
+#: Role: curated table and the columns that views and operators read of it.
+CURATED = {
+    "records": ("records", "record_id string, record_date date, title string, summary string, full_text string, direction string, official_status string, source_quality int, primary_source_url string, record_type string, legacy_category string, source_sheet string, manual_review_status string, geography_original string"),
+    "jurisdictions": ("record_jurisdictions", "record_id string, jurisdiction_name string, geography_original string"),
+    "geographies": ("record_geographies_normalized", "record_id string, geography_original string, province_name string, city_name string, parent_city_name string, city_code string, county_name string, jurisdiction_level string"),
+    "terms": ("record_terms", "record_id string, taxonomy_name string, term_name string"),
+    "collections": ("record_collections", "record_id string, collection_code string, subcollection_code string, confidence double, review_status string, is_primary boolean"),
+    "policies": ("policies", "record_id string, mandatory_strength double"),
+    "cities": ("cities_105", "city_id string, city_name string, province_name string, city_tier_existing int, city_scale_2020 string"),
+    "applicable": ("policy_applicable_cities", "record_id string, city_id string, needs_review boolean"),
+    "staging": ("staging_excel_cells", "source_sheet_name string, source_cell string, is_formula boolean, is_merged boolean"),
+}
+
+
 def is_official(status: Column | str = "official_status") -> Column:
     return (F.col(status) if isinstance(status, str) else status).isin(*OFFICIAL)
 
@@ -81,6 +97,12 @@ class Library:
     staging: DataFrame
     measures: Measures
 
+    @classmethod
+    def from_curated(cls, spark: SparkSession, folder: str, measures: Measures = HOUSING) -> Library:
+        """The roles bound to a folder of curated Parquet tables, by their own names. Tables that are not there are empty."""
+        read = {role: read_or_empty(spark, f"{folder}/{name}.parquet", schema) for role, (name, schema) in CURATED.items()}
+        return cls(**read, measures=measures)
+
     @classmethod
     def from_star(cls, spark: SparkSession, sf_dir: str) -> Library:
         star = Star(spark, sf_dir)

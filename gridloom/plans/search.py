@@ -86,6 +86,55 @@ def dated(panel: DataFrame, start: str | dt.date | None = None, end: str | dt.da
     return panel
 
 
+def sliced(
+    lib: Library, start_date: dt.date | None = None, end_date: dt.date | None = None, provinces: Sequence[str] | None = None, cities: Sequence[str] | None = None, directions: Sequence[str] | None = None,
+    official_only: bool = False, term: str | None = None, collection: str | None = None, subcollection: str | None = None, keyword: str | None = None, with_unreviewed: bool = False,
+) -> DataFrame:
+    """Records by the cities in scope that they apply to, under any of the filters. What asks whether a record has some
+    term or collection is a semi join, before the records meet their cities."""
+    found = lib.records
+    if start_date:
+        found = found.where(F.col("record_date") >= F.lit(start_date))
+    if end_date:
+        found = found.where(F.col("record_date") <= F.lit(end_date))
+    if directions:
+        found = found.where(F.col("direction").isin(*directions))
+    if official_only:
+        found = found.where(is_official())
+    if keyword:
+        found = found.where(any_of([contains(c, keyword) for c in ("title", "summary", "full_text")]))
+    if term:
+        found = found.join(lib.terms.where(F.col("term_name") == term), "record_id", "left_semi")
+    for column, value in (("collection_code", collection), ("subcollection_code", subcollection)):
+        if value:
+            found = found.join(lib.collections.where(F.col(column) == value), "record_id", "left_semi")
+    places = lib.cities
+    if provinces:
+        places = places.where(F.col("province_name").isin(*provinces))
+    if cities:
+        places = places.where(F.col("city_name").isin(*cities))
+    links = lib.applicable if with_unreviewed else lib.applicable.where(~F.col("needs_review"))
+    joined = found.join(links, "record_id").join(F.broadcast(places), "city_id")  # a dimension of fixed size
+    return joined.select("record_id", "record_date", "title", "direction", "official_status", "source_quality", "primary_source_url", "city_id", "city_name", F.col("province_name").alias("province"))
+
+
+def slice_totals(found: DataFrame) -> DataFrame:
+    return found.agg(F.count_distinct("record_id").alias("record_count"), F.count_distinct("city_id").alias("city_count"), F.count("*").alias("link_count"))
+
+
+def slice_by(found: DataFrame, *keys: Column) -> DataFrame:
+    """Distinct records of a slice by the keys: once for each key and record, then counted."""
+    rows = found.select(*keys, "record_id").distinct()
+    return rows.groupBy(*[c for c in rows.columns if c != "record_id"]).agg(F.count("*").alias("record_count"))
+
+
+def source_health(lib: Library) -> DataFrame:
+    """Records by official status: how many have a URL and a text, and their mean quality."""
+    return lib.records.groupBy("official_status").agg(
+        F.count("*").alias("record_count"), F.count("primary_source_url").alias("with_url_count"), F.count("full_text").alias("with_text_count"), F.avg(F.col("source_quality").cast("double")).alias("source_quality_mean")
+    )
+
+
 @dataclass(frozen=True)
 class RegionPanel:
     ranking: DataFrame

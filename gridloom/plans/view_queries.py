@@ -143,6 +143,21 @@ add("api_stats_year_direction", " SELECT CAST(year(record_date) AS INTEGER) AS y
 add("api_dated_month", f"{_CITY_MONTH} SELECT {_PANEL_ROUNDED} FROM panel WHERE (year > 1997 OR (year = 1997 AND month >= 3)) AND (year < 1999 OR (year = 1999 AND month <= 6))", lambda lib: search.dated(views.city_month_panel(lib), "1997-03", "1999-06"))
 add("api_dated_year", f""" SELECT province, year, CAST(sum(policy_count) AS BIGINT) AS policy_count FROM (SELECT province, CAST(year(record_date) AS INTEGER) AS year, count(DISTINCT record_id) AS policy_count FROM geography_base GROUP BY ALL)
   WHERE year >= 1996 AND year <= 1998 GROUP BY ALL""", lambda lib: search.dated(views.province_month_panel(lib).groupBy("province", "year").agg(F.sum("policy_count").alias("policy_count")), "1996-05", "1998-02"))
+_SLICE = """, slice AS (SELECT r.*, c.city_id, c.city_name, c.province_name AS province FROM records r JOIN applicable a USING (record_id) JOIN cities c USING (city_id)
+  WHERE NOT needs_review AND record_date BETWEEN DATE '1996-01-01' AND DATE '2000-06-30' AND direction IN ('loosening', 'tightening') AND EXISTS (SELECT 1 FROM terms t WHERE t.record_id = r.record_id AND t.term_name = 'PROMO')
+    AND EXISTS (SELECT 1 FROM collections x WHERE x.record_id = r.record_id AND x.subcollection_code = 'SMALL'))"""
+
+
+def _slice(lib: Library) -> DataFrame:
+    return search.sliced(lib, dt.date(1996, 1, 1), dt.date(2000, 6, 30), directions=["loosening", "tightening"], term="PROMO", subcollection="SMALL")
+
+
+add("ui_slice_totals", f"{_SLICE} SELECT count(DISTINCT record_id) AS record_count, count(DISTINCT city_id) AS city_count, count(*) AS link_count FROM slice", lambda lib: search.slice_totals(_slice(lib)))
+add("ui_slice_trend", f"{_SLICE} SELECT {_MONTH}, count(DISTINCT record_id) AS record_count FROM slice GROUP BY 1, 2", lambda lib: search.slice_by(_slice(lib), F.year("record_date").alias("year"), F.month("record_date").alias("month")))
+add("ui_slice_ranking", f"{_SLICE} SELECT city_name, province, count(DISTINCT record_id) AS record_count FROM slice GROUP BY 1, 2", lambda lib: search.slice_by(_slice(lib), F.col("city_name"), F.col("province")))
+add("ui_slice_details", f"{_SLICE} SELECT record_id, record_date, title, direction, official_status, source_quality, primary_source_url, city_id, city_name, province FROM slice", _slice)
+add("ui_source_health", " SELECT official_status, count(*) AS record_count, count(primary_source_url) AS with_url_count, count(full_text) AS with_text_count, round(avg(CAST(source_quality AS DOUBLE)), 5) AS source_quality_mean FROM records GROUP BY 1", search.source_health)
+
 _METRICS = f"""count(DISTINCT record_id) AS policy_count, {_distinct_if(_OFFICIAL, "official_policy_count")}, {_distinct_if("direction = 'tightening'", "tightening_count")}, {_distinct_if("direction IN ('loosening', 'supportive')", "easing_count")},
   round(avg(CASE WHEN {_OFFICIAL} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 5) AS official_share, round(avg(CAST(source_quality AS DOUBLE)), 5) AS source_quality_mean"""
 for _level, _region in (("nation", "'nation'"), ("province", "province"), ("city", "city_name")):

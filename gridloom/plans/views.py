@@ -191,8 +191,8 @@ def information_completeness(lib: Library) -> DataFrame:
 
 
 def month_spine(spark, first: dt.date, last: dt.date, step: str = "1 month") -> DataFrame:
-    """Month starts from ``first`` to ``last``, both included."""
-    return spark.range(1).select(F.explode(F.expr(f"sequence(DATE'{first}', DATE'{last}', INTERVAL {step})")).alias("month_start"))
+    """Month starts from ``first`` to ``last``, both included; none if ``last`` is before ``first``."""
+    return spark.range(int(first <= last)).select(F.explode(F.expr(f"sequence(DATE'{first}', DATE'{max(first, last)}', INTERVAL {step})")).alias("month_start"))
 
 
 def scope_cities(lib: Library, since: dt.date = dt.date(2018, 1, 1)) -> DataFrame:

@@ -86,6 +86,29 @@ def publish(df: DataFrame, path: str, checks: Iterable[Callable[[DataFrame], boo
     fs.delete(gone, True)
 
 
+def publish_all(tables: Mapping[str, tuple[DataFrame, str]], manifest: str) -> None:
+    """Replace several tables (path: rows and their key) together. All are written beside the old ones and checked first:
+    a key that is null or repeats stops it before any table changes. ``manifest`` says which tables are meant and whether
+    the swap is ``prepared`` or ``committed``; a swap that broke off is finished by calling this again."""
+    spark = next(iter(tables.values()))[0].sparkSession
+    for path, (df, key) in tables.items():
+        building = f"{path}.building"
+        df.write.mode("overwrite").parquet(building)
+        n, filled, distinct = spark.read.parquet(building).agg(F.count("*"), F.count(key), F.count_distinct(key)).first()
+        if not n == filled == distinct:
+            raise ValueError(f"{path}: {n} rows, {filled} keys, {distinct} different ones")
+
+    def note(state: str) -> None:
+        spark.createDataFrame([(path, state) for path in tables], "path string, state string").coalesce(1).write.mode("overwrite").json(manifest)
+
+    note("prepared")
+    for path in tables:
+        fs, here = _fs(spark, path)
+        fs.delete(here, True)
+        fs.rename(_fs(spark, f"{path}.building")[1], here)
+    note("committed")
+
+
 def release(spark: SparkSession, views: Mapping[str, DataFrame], path: str) -> DataFrame:
     """A release that is never changed: each view as Parquet and CSV, and a manifest with size and hash of every file."""
     fs, here = _fs(spark, path)

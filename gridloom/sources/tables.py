@@ -16,6 +16,21 @@ def register(spark: SparkSession, folder: str, names: Iterable[str]) -> None:
         spark.read.parquet(f"{folder}/{name}.parquet").createOrReplaceTempView(name)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in whatever store Spark reads it from."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The columns of ``schema`` of a Parquet table, null where it lacks one; no rows where there is no such table."""
+    wanted = T.StructType.fromDDL(schema)
+    if not exists(spark, path):
+        return spark.createDataFrame([], wanted)
+    found = spark.read.parquet(path)
+    return found.select(*[(F.col(f.name) if f.name in found.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in wanted])
+
+
 def read_merged(spark: SparkSession, *paths: str) -> DataFrame:
     """Files or folders of Parquet whose columns differ: all columns by name, null where a file lacks one."""
     return spark.read.option("mergeSchema", True).parquet(*paths)
