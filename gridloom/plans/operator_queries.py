@@ -610,10 +610,11 @@ def _(t):
 
 @query("d20_source_score")
 def _(t):
+    """Every record against all candidates, as the margin needs the runner-up wherever it is."""
     part = lambda df, k: F.struct(_first_line("text").alias("title"), F.when(F.col(k) % 3 > 0, F.concat(F.lit("No. "), (F.col(k) % 6).cast("string"))).alias("document_number"), F.lit("agency").alias("issuing_agency"), F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col(k) % 50).cast("int")).alias("day"), F.lit("north").alias("region"), F.col("text"))
     records = t.benchmark.select("item_id", part(t.benchmark, "item_id").alias("r"))
     found = t.benchmark.select(F.col("item_id").alias("seq"), part(t.benchmark, "item_id").alias("c"), F.when(F.col("item_id") % 3 == 0, "official").when(F.col("item_id") % 3 == 1, "official_reprint").otherwise("general_media").alias("official_status"))
-    scored = records.join(found, F.col("item_id") % 8 == F.col("seq") % 8).withColumn("s", matching.source_score()).select("item_id", "seq", "official_status", "s.*")
+    scored = found.repartition("seq").crossJoin(F.broadcast(records)).withColumn("s", matching.source_score()).select("item_id", "seq", "official_status", "s.*")
     return matching.accept_best(scored, ["item_id"])
 
 

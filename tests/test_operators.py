@@ -121,6 +121,18 @@ def test_acceptance(spark):
     assert got == [("a", "recover"), ("b", "low_confidence"), ("c", "candidate_conflict"), ("d", "low_confidence"), ("e", "recover"), ("f", "candidate_conflict")]
 
 
+def test_source_score_meets_all_candidates(spark, tmp_path):
+    """A near copy at 50 has the same day and, by its number, no document number, like the record at 0."""
+    from gridloom.plans.operator_queries import QUERIES
+
+    cases = [(0, "one title of a notice"), (8, "something else entirely"), (50, "one title of a notice"), (51, "unlike all others")]
+    spark.createDataFrame(cases, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r["item_id"]: r for r in QUERIES["d20_source_score"](spark, str(tmp_path)).collect()}
+    assert sorted(got) == [0, 8, 50, 51]
+    assert (got[0]["seq"], got[0]["margin"], got[0]["decision"]) == (0, 0.0, "candidate_conflict")
+    assert got[50]["seq"] == 0 and got[50]["margin"] == 0.0
+
+
 def test_verdicts(spark):
     df = spark.createDataFrame([("official", False, 0.85, True, 0.72, 0.98), ("official", True, 1.0, True, 1.0, 1.0), ("official", False, 1.0, True, 1.0, None), ("unknown", False, 0.1, False, 0.1, None)], "o string, c boolean, comp double, a boolean, f double, s double")
     got = [tuple(r) for r in df.select(review.verdict(F.col("o"), F.col("c"), F.col("comp"), F.col("a"), F.col("f"), F.col("s"), F.lit(True)).alias("v")).select("v.*").collect()]
