@@ -1,9 +1,11 @@
-"""Helpers that the corpus operators share: scratch tables, Arrow batches, small column idioms."""
+"""Helpers that the corpus operators share: scratch tables, Arrow batches, joins with heavy keys, small column idioms."""
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,47 +15,99 @@ from pyspark.sql import types as T
 #: ``[\x20\x09-\x0D]`` as a Java character class and as Python bytes.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
-#: Rows in one Arrow batch: a few hundred very long texts still fit in a Python worker.
+#: Rows that a Python worker takes from an Arrow batch at once. Spark bounds the bytes of a batch by itself
+#: (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB), so the session's settings stay as they are.
 ARROW_ROWS = 256
+#: Most keys that ``lookup`` treats as heavy, and rows that a key must have for it.
+HEAVY_KEYS, HEAVY_ROWS = 10_000, 10_000
+#: Lists of the scratch folders written since each open ``scratch_scope`` began.
+_scopes: list[list[str]] = []
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a local default only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/checkpoints"
+    """The folder all executors share (``spark.checkpoint.dir``). Only a local master may leave it unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", None) or ""):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file:///tmp/checkpoints"
     return root.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared scratch folder, which the open scopes delete when they end."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared scratch folder and read it back.
 
     Lineage is cut at the files, so lost executors cost only the tasks after them, and the sizes of the
     files let Spark decide by itself what is small enough to broadcast.
     """
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches at ``ARROW_ROWS`` rows at most, as texts may be very long."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    jvm = spark._jvm
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders written inside are deleted at the end: store what is to stay before that."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        delete_paths(spark, paths)
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of ``rows`` rows at most, without copies; empty ones are left out."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` for a function of one batch; no shuffle, memory bounded by the batch."""
-    small_batches(df.sparkSession)
+    """``mapInArrow`` for a function of some rows; no shuffle, memory bounded by the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+        for part in slices(batches):
+            yield fn(part)
 
     return df.mapInArrow(run, schema)
 
 
+def lookup(left: DataFrame, right: DataFrame, on: list[str], *, rows: str, total: int, spread: list[str]) -> DataFrame:
+    """``left`` inner-joined with ``right``, which has one row for each key and in ``rows`` the key's rows in ``left``.
+
+    Keys with ``HEAVY_ROWS`` rows or more, and at least one in ``HEAVY_KEYS`` of ``total``, are broadcast: there are
+    ``HEAVY_KEYS`` of them at most, whatever the data. Their rows of ``left`` are dealt by a hash of ``spread``
+    instead of the key, so no task gets all rows of a heavy key. The first key is a long; no key is null.
+    """
+    limit = max(HEAVY_ROWS, -(-total // HEAVY_KEYS))
+    values = [c for c in right.columns if c not in on and c != rows]
+    heavy_name = {c: free_name(left, f"_heavy_{c}") for c in values}
+    is_heavy, first = free_name(left, "_is_heavy"), free_name(left, f"_first_{on[0]}")
+    heavy = right.where(F.col(rows) >= limit).select(*on, F.lit(True).alias(is_heavy), *[F.col(c).alias(heavy_name[c]) for c in values])
+    light = right.where(F.col(rows) < limit).select(F.col(on[0]).alias(first), *on[1:], *values)
+    marked = left.join(F.broadcast(heavy), on, "left")
+    marked = marked.withColumn(first, F.when(F.col(is_heavy), F.xxhash64(*spread)).otherwise(F.col(on[0])))
+    found = marked.join(light.withColumn("_found", F.lit(True)), [first, *on[1:]], "left").where(F.col(is_heavy) | F.col("_found"))
+    return found.select(*[F.col(c) for c in left.columns], *[F.when(F.col(is_heavy), F.col(heavy_name[c])).otherwise(F.col(c)).alias(c) for c in values])
+
+
 def whole_text(name: str = "text") -> Column:
     """The text column, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

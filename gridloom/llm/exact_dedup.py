@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import map_batches, small_batches, table, whole_text, written
+from gridloom.llm.common import map_batches, slices, table, whole_text, written
 
 #: Leading bytes of the text in the range key; splitters are sent to the driver, so they stay short.
 HEAD = 48
@@ -58,7 +58,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ready.extend((m, digest, members[0], len(members), i == 0, part, edge) for i, m in enumerate(members))
         held.clear()
 
-    for batch in batches:
+    for batch in slices(batches):
         for doc, head, hashed, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if text != norm or (head, hashed) != key:
                 close()
@@ -82,7 +82,6 @@ _TYPES = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(
 
 def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text)."""
-    small_batches(docs.sparkSession)
     rows = map_batches(docs.select(F.col(id_col).cast("long"), whole_text(text_col)), _normalise, "doc_id long, head binary, hash long, norm binary")
     down = F.col("doc_id").desc_nulls_last()
     ordered = rows.repartitionByRange("head", "hash", down).sortWithinPartitions("head", "hash", "norm", down)

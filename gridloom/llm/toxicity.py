@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import crc32_mod, map_batches, small_batches, table, whole_text, written
+from gridloom.llm.common import crc32_mod, map_batches, slices, table, whole_text, written
 
 _WORD = re.compile(r"\w+")
 #: Lengths of word beginnings that count as stems.
@@ -119,7 +119,7 @@ def _document_counts(sample: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
-        for batch in batches:
+        for batch in slices(batches):
             for positive, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 counts[positive].update({f for w in words_of(text) for f in features_of(w)})
         names = list(counts[0].keys() | counts[1].keys())
@@ -160,7 +160,6 @@ def _rows_of_features(sample: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_positive: int = 4000, max_unlabelled: int = 12000, max_features: int = 4096) -> Model:
     """A model from rows with ``may_learn`` (a condition on the identifier)."""
-    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     usable = labels.where(may_learn & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("y"))
     n_labels, n_toxic = usable.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
