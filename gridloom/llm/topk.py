@@ -2,29 +2,39 @@
 
 Components are floored to integers first. For integer vectors ``2 <q, x> = |q|^2 + |x|^2 - d(q, x)^2``, and by the triangle
 inequality ``d(q, x) >= |d(q, p) - d(x, p)|`` for any pivot p. The table of distances to the pivots is computed once, so
-each query has an upper bound of every candidate's score without touching its vector. Candidates below the best k scores
-among the pivots are gone at once; the others are scored in order of their bound, until the next bound is below the k-th
-best score. Bounds carry a margin for rounding, scores are exact, so the result is exact.
+each query has an upper bound of every candidate's score without touching its vector. Each query also has a floor: the
+k-th best score in a sample of ``SAMPLE`` rows, of which the pivots are the first.
 
-Candidates are dealt by a hash to cells of about ``CELL`` rows, queries to blocks of about ``BLOCK``; a task works on one
-cell and one block, and returns at most k rows for each of its queries. Neither all queries nor all candidates are ever
-in one place.
+Elimination has two steps. Candidates are dealt to cells of about ``cell_rows`` rows by their nearest pivots, queries to
+blocks of about ``block_rows`` in the same way. A cell and a block know the least and the greatest distance to every pivot,
+their largest norm and (the block) its lowest floor; a block gets the vectors of those cells only whose bound reaches the
+floor, so far cells are dropped before any vector moves. Inside a cell candidates are scored in order of their own bound,
+until the next bound is below the k-th best score. Bounds carry a margin for rounding and scores are exact, so the result
+is exact. Neither all queries nor all candidates are ever in one place, and only the sample is on the driver.
 
 Defined cases: null vectors, those with a null or non-finite component and null ids take no part; vectors are compared
-with those of their own length only; rows that repeat an id count as one (for each length), the one with the smallest vector; ties go to
-the smaller id; an empty table gives no rows; other columns are ignored.
+with those of their own length only; every row is a candidate and a query is not its own, so rows that repeat an id or a
+vector all count, and a repeated query id has a ranking for each of its rows; ties go to the smaller id; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import table, written
+from gridloom.llm.common import slices, table, written
 
-PIVOTS, CELL, BLOCK, CHUNK = 32, 4096, 1024, 128
+PIVOTS, SAMPLE = 32, 2048
+#: Rows in a cell, queries in a block, candidates scored at first, and rows measured at once.
+CELL, BLOCK, CHUNK, ROWS = 4096, 1024, 128, 1024
+#: Groups of cells among which the comparison of cells with blocks is dealt out, and nearest pivots in a cell's code.
+DEALS, DEPTH = 64, 3
 
 
 def quantised(vectors: DataFrame, *, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
@@ -41,95 +51,139 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), dim)
 
 
+def _lists(m: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * m.shape[1]), pa.array(m.ravel()))
+
+
+def _norms(m: np.ndarray) -> np.ndarray:
+    return (m.astype(np.float64) ** 2).sum(axis=1)
+
+
 def _distances(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(((v[:, None, :].astype(np.float64) - pivots[None, :, :]) ** 2).sum(axis=2), 0))
+    return np.sqrt(np.maximum(_norms(v)[:, None] + _norms(pivots)[None, :] - 2 * (v.astype(np.float64) @ pivots.astype(np.float64).T), 0))
 
 
 def exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Integer inner products of the rows of a with those of b; floating point only where every sum is exact in it."""
-    largest = float(np.sqrt((a.astype(np.float64) ** 2).sum(axis=1).max(initial=0) * (b.astype(np.float64) ** 2).sum(axis=1).max(initial=0)))
+    largest = math.sqrt(_norms(a).max(initial=0) * _norms(b).max(initial=0))
     kind = np.float32 if largest < 2**23 else np.float64 if largest < 2**52 else np.int64
     return (a.astype(kind) @ b.astype(kind).T).astype(np.int64)
 
 
 def search_cell(queries: dict, cell: dict, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query ids, vector ids, scores): the k best of the cell's candidates for each query, fewer if others are as good."""
+    """(query numbers, candidate numbers, scores): the k best of the cell's candidates for each query, fewer if others are
+    as good."""
     q, x = queries["v"], cell["v"]
-    lower = np.zeros((len(q), len(x)), dtype=np.float32)
+    lower, gap = np.zeros((len(q), len(x)), dtype=np.float32), np.empty((len(q), len(x)), dtype=np.float32)
     for p in range(queries["far"].shape[1]):
-        np.maximum(lower, np.abs(queries["far"][:, p, None] - cell["far"][None, :, p]), out=lower)
-    q2, x2 = ((m.astype(np.float64) ** 2).sum(axis=1) for m in (q, x))
-    margin = 2.0 + 1e-5 * (q2.max(initial=0) + x2.max(initial=0))
-    upper = (0.5 * (q2[:, None] + x2[None, :] - lower.astype(np.float64) ** 2) + margin).astype(np.float64)
-    largest = np.sqrt(q2.max(initial=0) * x2.max(initial=0))
+        np.subtract(queries["far"][:, p, None], cell["far"][None, :, p], out=gap)
+        np.maximum(lower, np.abs(gap, out=gap), out=lower)
+    q2, x2 = _norms(q), _norms(x)
+    upper = 0.5 * (q2[:, None] + x2[None, :] - lower.astype(np.float64) ** 2) + _margin(q2.max(initial=0), x2.max(initial=0))
+    largest = math.sqrt(q2.max(initial=0) * x2.max(initial=0))
     kind = np.float32 if largest < 2**23 else np.float64 if largest < 2**52 else np.int64
     qk, xk = q.astype(kind), x.astype(kind)
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    out = [(np.zeros(0, dtype=np.int64),) * 3]
     for i in range(len(q)):
-        left = np.flatnonzero((upper[i] >= queries["floor"][i]) & (cell["id"] != queries["id"][i]))
+        left = np.flatnonzero((upper[i] >= queries["floor"][i]) & (cell["row"] != queries["row"][i]))
         order = left[np.argsort(-upper[i, left], kind="stable")]
-        best = np.zeros(0, dtype=np.int64)
-        ids = np.zeros(0, dtype=np.int64)
+        best = found = np.zeros(0, dtype=np.int64)
         at, step = 0, CHUNK
         while at < len(order) and (len(best) < k or upper[i, order[at]] >= best[k - 1]):
             some = order[at : at + step]
-            best = np.concatenate([best, (xk[some] @ qk[i]).astype(np.int64)])
-            ids = np.concatenate([ids, cell["id"][some]])
-            top = np.lexsort((ids, -best))[:k]
-            best, ids = best[top], ids[top]
+            best, found = np.concatenate([best, (xk[some] @ qk[i]).astype(np.int64)]), np.concatenate([found, some])
+            top = np.lexsort((cell["id"][found], -best))[:k]
+            best, found = best[top], found[top]
             at, step = at + step, step * 2
-        out.append((np.full(len(ids), queries["id"][i]), ids, best))
-    return tuple(np.concatenate(c) if out else np.zeros(0, dtype=np.int64) for c in (zip(*out) if out else ((), (), ())))
+        out.append((np.full(len(found), i), found, best))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _margin(q2, x2):
+    """What rounding of distances can add to a score's bound, and more."""
+    return 2.0 + 1e-5 * (q2 + x2)
 
 
-def top_k(vectors: DataFrame, is_query: str = "vec_id % 50 = 0", k: int = 5, *, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: the k best other vectors for each vector with ``is_query`` (on vec_id)."""
+def _placed(rows: DataFrame, name: str, size: int, n: int) -> DataFrame:
+    """``rows`` with the column ``name``: the numbers of their nearest pivots, as many as make groups of about ``size``, and
+    a part by a hash where a group is larger than that."""
+    depth = max(0, min(DEPTH, round(math.log(max(1.0, n / size)) / math.log(PIVOTS))))
+    code = F.aggregate(F.slice("nearest", 1, depth), F.lit(0).cast("long"), lambda a, p: a * PIVOTS + p) if depth else F.lit(0).cast("long")
+    coded = rows.withColumn("code", code)
+    sizes = coded.groupBy("dim", "code").agg(F.ceil(F.count("*") / F.lit(size)).alias("parts"))
+    part = F.pmod(F.xxhash64(F.lit("deal"), "row"), F.col("parts"))
+    return coded.join(sizes, ["dim", "code"]).withColumn(name, F.col("code") * F.lit(1 << 40) + part).drop("code", "parts")
+
+
+def _summary(rows: DataFrame, name: str, pivots: int, *more: Column) -> DataFrame:
+    """For each cell or block: its largest squared norm and the range of its distances to every pivot."""
+    ranges = [f(F.get("far", F.lit(p))).alias(f"{name}_{edge}{p}") for p in range(pivots) for f, edge in ((F.min, "lo"), (F.max, "hi"))]
+    return rows.groupBy("dim", name).agg(F.max("norm2").alias(f"{name}_norm2"), *ranges, *more)
+
+
+def near_pairs(cells: DataFrame, blocks: DataFrame, pivots: int) -> DataFrame:
+    """(dim, cell, block) for the summaries of cells and blocks whose bound reaches the block's floor."""
+    gaps = [F.col(f"{a}_lo{p}") - F.col(f"{b}_hi{p}") for p in range(pivots) for a, b in (("cell", "block"), ("block", "cell"))]
+    gap = F.greatest(F.lit(0.0), F.lit(0.0), *[F.coalesce(g.cast("double"), F.lit(0.0)) for g in gaps])
+    bound = (F.col("block_norm2") + F.col("cell_norm2") - gap * gap) / 2 + _margin(F.col("block_norm2"), F.col("cell_norm2"))
+    dealt = cells.withColumn("deal", F.pmod(F.xxhash64("cell"), F.lit(DEALS)).cast("int"))
+    asked = blocks.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
+    return dealt.join(asked, ["dim", "deal"]).where(bound >= F.col("floor")).select("dim", "cell", "block")
+
+
+def top_k(
+    vectors: DataFrame, is_query: str = "vec_id % 50 = 0", k: int = 5, *, id_col: str = "vec_id", vec_col: str = "embedding",
+    scale: int = 256, cell_rows: int = CELL, block_rows: int = BLOCK,
+) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score: the k best other vectors for each row with ``is_query`` (on vec_id)."""
     rows = quantised(vectors, id_col=id_col, vec_col=vec_col, scale=scale)
-    head = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(PIVOTS).collect()  # a bounded sample
-    dim = head[0]["dim"] if head else 0
-    chosen = {r["vec_id"]: r["v"] for r in reversed(head) if r["dim"] == dim}  # of a repeated id, the smallest vector
-    pivot_ids, pivots = np.array(list(chosen), dtype=np.int64), np.array(list(chosen.values()), dtype=np.int64).reshape(len(chosen), dim)
+    head = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE).toArrow()  # a bounded sample
+    dim = head["dim"][0].as_py() if head.num_rows else 0
+    sample = _matrix(head.filter(pa.compute.equal(head["dim"], dim))["v"], dim) if dim else np.zeros((0, 0), dtype=np.int64)
+    pivots = sample[:PIVOTS]
 
-    def add_distances(batches):
-        for batch in batches:
+    def measure(batches):
+        for batch in slices(batches, ROWS):
             for d in np.unique(batch.column(1).to_numpy()).tolist():
                 part = batch.filter(pa.array(batch.column(1).to_numpy() == d))
                 v = _matrix(part.column(2), d)
                 far = _distances(v, pivots) if d == dim else np.zeros((len(v), 0))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * far.shape[1]), pa.array(far.ravel().astype(np.float32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=["vec_id", "dim", "v", "far"])
-
-    table_ = written(rows.mapInArrow(add_distances, "vec_id long, dim int, v array<bigint>, far array<float>"), "pivot-table")
-    queries = table_.where(is_query).groupBy("vec_id", "dim").agg(F.min(F.struct("v", "far")).alias("x")).select("vec_id", "dim", "x.v", "x.far")
-    n, n_queries = table_.count(), table_.where(is_query).count()
-    cells, blocks = max(1, -(-n // CELL)), max(1, -(-n_queries // BLOCK))
-    own = lambda m: F.pmod(F.xxhash64(F.lit("deal"), "vec_id"), F.lit(m)).cast("int")
-    dealt = table_.select("*", own(cells).alias("cell"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    asked = queries.select("*", own(blocks).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"))
+                floor = np.full(len(v), -np.inf)
+                asked = np.flatnonzero(part.column(3).to_numpy(zero_copy_only=False))
+                if d == dim and len(sample) > k and len(asked):  # one more than k, as the query itself may be in the sample
+                    floor[asked] = -np.sort(-exact_scores(v[asked], sample), axis=1)[:, k]
+                nearest = np.argsort(far, axis=1, kind="stable")[:, :DEPTH].astype(np.int64)
+                more = [_lists(far.astype(np.float32)), _lists(nearest), pa.array(_norms(v)), pa.array(floor)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], names=names)
+
+    schema = "vec_id long, dim int, v array<bigint>, asked boolean, far array<float>, nearest array<bigint>, norm2 double, floor double"
+    names = [c.split()[0] for c in schema.split(", ")]
+    marked = rows.withColumn("asked", F.expr(f"coalesce({is_query}, false)"))
+    # A row's number is only told apart from others' after it is written, so a task that runs again may change it before.
+    table_ = written(marked.mapInArrow(measure, schema).withColumn("row", F.monotonically_increasing_id()), "pivot-table")
+    n, n_queries = table_.agg(F.count("*"), F.count_if("asked")).first()
+    dealt = written(_placed(table_, "cell", cell_rows, n).drop("asked", "floor", "nearest"), "pivot-cells")
+    asked = written(_placed(table_.where("asked"), "block", block_rows, n_queries).drop("asked", "nearest"), "pivot-blocks")
+    cells, blocks = _summary(dealt, "cell", len(pivots)), _summary(asked, "block", len(pivots), F.min("floor").alias("floor"))
+    pairs = written(near_pairs(cells, blocks, len(pivots)), "pivot-pairs")
 
     def arrays(t: pa.Table) -> dict:
         d = t["dim"][0].as_py()
-        return {"id": t["vec_id"].to_numpy(), "v": _matrix(t["v"], d), "far": _matrix(t["far"], len(pivots) if d == dim else 0)}
+        return {"row": t["row"].to_numpy(), "id": t["vec_id"].to_numpy(), "v": _matrix(t["v"], d), "far": _matrix(t["far"], len(pivots) if d == dim else 0)}
 
     def one(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        found = [np.zeros(0, dtype=np.int64)] * 3
+        out = [np.zeros(0, dtype=np.int64)] * 4
         if left.num_rows and right.num_rows:
             qs, xs = arrays(left), arrays(right)
-            if len(np.unique(xs["id"])) < len(xs["id"]):  # repeated ids: the smallest vector stands for them
-                order = np.lexsort((*xs["v"].T[::-1], xs["id"]))
-                first = order[np.unique(xs["id"][order], return_index=True)[1]]
-                xs = {a: b[first] for a, b in xs.items()}
-            qs["floor"] = np.full(len(qs["id"]), -np.inf)
-            if qs["v"].shape[1] == dim and len(pivots) > k:  # pivots are candidates too: the k-th best of them is a floor
-                s = exact_scores(qs["v"], pivots).astype(np.float64)
-                s[qs["id"][:, None] == pivot_ids[None, :]] = -np.inf
-                qs["floor"] = np.sort(s, axis=1)[:, -k]
-            found = search_cell(qs, xs, k)
-        return pa.table({"query_id": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.int64())})
-
-    keys = ("cell", "block", "dim")
-    hits = asked.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(one, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+            qs["floor"] = left["floor"].to_numpy()
+            i, j, score = search_cell(qs, xs, k)
+            out = [qs["row"][i], qs["id"][i], xs["id"][j], score]
+        return pa.table({c: pa.array(x, pa.int64()) for c, x in zip(("query_row", "query_id", "vec_id", "score"), out, strict=True)})
+
+    keys = ("dim", "cell", "block")
+    left, right = asked.join(pairs, ["dim", "block"]), dealt.join(pairs, ["dim", "cell"])
+    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(one, "query_row long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -138,10 +192,10 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, x.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.v, x.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 50 = 0),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+s AS (SELECT q.id, q.vec_id AS query_id, x.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.v, x.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.id <> x.id AND len(q.v) = len(x.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """

@@ -7,27 +7,37 @@ import numpy as np
 import pytest
 from helpers import clashing, rows
 
-from gridloom.llm.topk import exact_scores, search_cell, top_k
+from gridloom.llm.topk import ORACLE_SQL, exact_scores, search_cell, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
 def brute(vectors, k=5):
-    ok = {}
+    """Every row but the query's own is a candidate."""
+    ok = []
     for i, v, _ in vectors:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            q = [math.floor(256 * float(np.float32(x))) for x in v]
-            ok[i] = min(q, ok[i]) if i in ok else q
-    out = set()
-    for i, q in ok.items():
+            ok.append((i, [math.floor(256 * float(np.float32(x))) for x in v]))
+    out = []
+    for row, (i, q) in enumerate(ok):
         if i % 50 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in ok.items() if j != i)
-            out |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:k])}
-    return out
+            scored = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for other, (j, v) in enumerate(ok) if other != row and len(v) == len(q))
+            out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:k])]
+    return sorted(out)
 
 
 def got(df):
-    return {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in rows(df)}
+    return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in rows(df))
+
+
+def by_sql(tmp_path, df):
+    import duckdb
+
+    df.write.parquet(f"{tmp_path}/embeddings")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings/*.parquet'")
+    at = con.sql(ORACLE_SQL)
+    return sorted(tuple(r[at.columns.index(c)] for c in ("query_id", "rank", "vec_id", "score")) for r in at.fetchall())
 
 
 @pytest.mark.parametrize("kind", ["random", "clustered", "ties"])
@@ -41,14 +51,38 @@ def test_equals_brute_force(spark, kind):
     assert got(top_k(spark.createDataFrame(vectors, SCHEMA))) == brute(vectors)
 
 
-def test_small_cells_and_blocks(spark, monkeypatch):
-    import gridloom.llm.topk as module
-
-    monkeypatch.setattr(module, "CELL", 64)
-    monkeypatch.setattr(module, "BLOCK", 3)
+def test_small_cells_and_blocks(spark):
     r = random.Random(4)
     vectors = [(i, [r.gauss(0, 0.2) for _ in range(8)], 0) for i in range(400)]
-    assert got(top_k(spark.createDataFrame(vectors, SCHEMA))) == brute(vectors)
+    assert got(top_k(spark.createDataFrame(vectors, SCHEMA), cell_rows=16, block_rows=3)) == brute(vectors)
+
+
+def test_far_cells_are_never_shipped(spark, monkeypatch):
+    """In tight clusters most pairs of a cell and a block go by their bound, and the result stays exact."""
+    import gridloom.llm.topk as module
+
+    seen = []
+
+    def counted(cells, blocks, pivots, own=module.near_pairs):
+        pairs = own(cells, blocks, pivots)
+        seen.append((pairs.count(), cells.count() * blocks.count()))
+        return pairs
+
+    monkeypatch.setattr(module, "near_pairs", counted)
+    r = random.Random(5)
+    centres = [[r.gauss(0, 2) for _ in range(16)] for _ in range(12)]
+    vectors = [(i, [c + r.gauss(0, 0.02) for c in centres[i % 12]], 0) for i in range(1200)]
+    assert got(top_k(spark.createDataFrame(vectors, SCHEMA), cell_rows=40, block_rows=1)) == brute(vectors)
+    assert seen[0][0] < 0.25 * seen[0][1], seen
+
+
+def test_repeated_ids_equal_the_sql(spark, tmp_path):
+    first = [(0, 1.0), (7, 0.9), (7, 0.5), (8, 0.7), (50, 0.2), (50, 0.3), (100, 1.0)]
+    vectors = [(i, [x, 0.1], 0) for i, x in first]
+    df = spark.createDataFrame(vectors, SCHEMA)
+    found = got(top_k(df))
+    assert found == brute(vectors) == by_sql(tmp_path, df)
+    assert [r[2:] for r in found if r[0] == 0][:2] == [(100, 256 * 256 + 25 * 25), (7, 256 * 230 + 25 * 25)]
 
 
 def test_odd_rows(spark):
@@ -57,17 +91,17 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(vectors, SCHEMA)
     assert got(top_k(clashing(df))) == brute(vectors)
     assert top_k(df.limit(0)).count() == 0
-    assert got(top_k(spark.createDataFrame([(0, [1.0], 0)], SCHEMA))) == set()
+    assert got(top_k(spark.createDataFrame([(0, [1.0], 0)], SCHEMA))) == []
     mixed = spark.createDataFrame([(0, [1.0], 0), (1, [1.0, 1.0], 0), (2, [0.5], 0)], SCHEMA)
-    assert got(top_k(mixed)) == {(0, 1, 2, 256 * 128)}
+    assert got(top_k(mixed)) == [(0, 1, 2, 256 * 128)]
 
 
 def test_scores_stay_exact_when_large():
     a = np.array([[1 << 30, 3, -7]], dtype=np.int64)
     assert exact_scores(a, a).tolist() == [[(1 << 60) + 9 + 49]]
-    q = {"id": np.array([0]), "v": a, "far": np.zeros((1, 0), np.float32), "floor": np.array([-np.inf])}
-    x = {"id": np.array([1, 2]), "v": np.array([[1 << 30, 2, 0], [1 << 30, 3, 0]], dtype=np.int64), "far": np.zeros((2, 0), np.float32)}
-    assert search_cell(q, x, 1)[1].tolist() == [2]
+    q = {"row": np.array([0]), "v": a, "far": np.zeros((1, 0), np.float32), "floor": np.array([-np.inf])}
+    x = {"row": np.array([1, 2]), "id": np.array([1, 2]), "v": np.array([[1 << 30, 2, 0], [1 << 30, 3, 0]], dtype=np.int64), "far": np.zeros((2, 0), np.float32)}
+    assert search_cell(q, x, 1)[1].tolist() == [1]
 
 
 def test_elimination_skips_far_candidates():
