@@ -13,7 +13,8 @@ Kinds email, ip, card and phone follow fixed patterns (leftmost, non-overlapping
 
 Two more kinds come from the other anchors: ``url`` (scheme, then a host with a dot or a user part) and ``account`` (an
 identifier cue, a separator and a value of at least 8 letters and digits with a digit in it; after ``iban`` the value
-must pass the mod 97 test).
+must pass the mod 97 test). They too are leftmost and don't overlap within their kind. Parsers remember how far they
+have read, so the whole is linear in the text.
 
 Defined cases: a null or empty text has no spans; repeated rows are each scanned; an empty table gives no rows.
 """
@@ -44,7 +45,9 @@ _DIGITS = re.compile(r"[0-9]+")
 _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE_RUN = re.compile(r"[ ().0-9-]+")
 _URL_TAIL = re.compile(r"[^\s<>\"'`{}|\\^\[\]]+")
-_VALUE = re.compile(r"[\"']?\s{0,3}[:=#]\s{0,3}[\"']?([A-Za-z0-9][A-Za-z0-9_+/=-]{7,})")
+_HOST_END = re.compile(r"[/?#]")
+_SEPARATOR = re.compile(r"[\"']?\s{0,3}[:=#]\s{0,3}[\"']?(?=[A-Za-z0-9])")
+_VALUE = re.compile(r"[A-Za-z0-9_+/=-]+")
 _IBAN = re.compile(r"\W{1,4}([A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,3})?)")
 
 
@@ -108,24 +111,37 @@ def phone_at(text: str, plus: int) -> Span | None:
     return (plus, end) if 8 <= sum(c in _DIGIT for c in text[plus:end]) <= 15 else None
 
 
-def url_at(text: str, start: int, after: int) -> Span | None:
+def url_end(text: str, after: int) -> int:
+    """Where the run behind a scheme ends, without closing punctuation. All schemes in one run share its end."""
     m = _URL_TAIL.match(text, after)
-    if not m:
-        return None
-    end = m.end()
+    end = m.end() if m else after
     while end > after and text[end - 1] in ".,;:!?)*":
         end -= 1
-    host = re.split(r"[/?#]", text[after:end], maxsplit=1)[0]
-    return (start, end) if "." in host.rpartition("@")[2].strip(".") or "@" in host else None
+    return end
+
+
+def url_host(text: str, after: int, end: int) -> bool:
+    """Whether there is a user part, or a host with a dot. Reads no further than the next scheme's slashes."""
+    m = _HOST_END.search(text, after, end)
+    host = text[after : m.start() if m else end]
+    return "." in host.rpartition("@")[2].strip(".") or "@" in host
+
+
+def iban_at(text: str, after: int) -> Span | None:
+    m = _IBAN.match(text, after)
+    return m.span(1) if m and iban_ok(m.group(1)) else None
 
 
-def account_at(text: str, cue: str, after: int) -> Span | None:
-    """A value behind an identifier cue; the span is the value alone."""
-    if cue == "iban":
-        m = _IBAN.match(text, after)
-        return m.span(1) if m and iban_ok(m.group(1)) else None
-    m = _VALUE.match(text, after)
-    return m.span(1) if m and not _DIGIT.isdisjoint(m.group(1)) else None
+def value_at(text: str, after: int, barren: int) -> tuple[Span | None, int]:
+    """A value behind a cue and a separator, and ``barren``: the end of the last run of value characters that holds no
+    digit from where it was read, so that no value that starts in it is read again."""
+    m = _SEPARATOR.match(text, after)
+    if not m or m.end() < barren:
+        return None, barren
+    value = _VALUE.match(text, m.end())
+    if not _DIGITS.search(text, *value.span()):
+        return None, value.end()
+    return (value.span() if value.end() - value.start() >= 8 else None), barren
 
 
 class Finder:
@@ -144,7 +160,7 @@ class Finder:
     def __call__(self, text: str) -> dict[str, list[Span]]:
         """Spans by kind, in order, as code points with exclusive ends."""
         spans: dict[str, list[Span]] = {k: [] for k in KINDS}
-        email_free = ip_free = card_free = account_free = 0
+        email_free = ip_free = card_free = url_free = url_run = account_free = barren = 0
         for last, (kind, word) in self.anchors.iter(text):
             if kind == "digit":
                 if last >= ip_free:
@@ -163,11 +179,20 @@ class Finder:
                 if span := phone_at(text, last):
                     spans["phone"].append(span)
             elif kind == "scheme":
-                if span := url_at(text, last - len(word) + 1, last + 1):
-                    spans["url"].append(span)
-            elif last >= account_free and (span := account_at(text, word, last + 1)):
-                spans["account"].append(span)
-                account_free = span[1]
+                start, after = last - len(word) + 1, last + 1
+                if start >= url_free:
+                    url_run = url_end(text, after) if start >= url_run else url_run
+                    if url_run > after and url_host(text, after, url_run):
+                        spans["url"].append((start, url_run))
+                        url_free = url_run
+            elif last >= account_free:
+                if word == "iban":
+                    span = iban_at(text, last + 1)
+                else:
+                    span, barren = value_at(text, last + 1, barren)
+                if span:
+                    spans["account"].append(span)
+                    account_free = span[1]
         return spans
 
 
@@ -175,11 +200,12 @@ def joined(spans: dict[str, list[Span]], kinds: tuple[str, ...]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k in kinds for a, b in spans[k])
 
 
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_url long, n_account long, n_spans long"
 
 
 def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Spans of every text: counts by base kind, the SHA-256 of the base spans, and all spans as ``kind:start:end``."""
+    """Spans of every text: counts by base kind, the SHA-256 of the base spans, all spans as ``kind:start:end``, and
+    the counts of the other kinds and of all spans."""
     state: list[Finder] = []
 
     def batch_spans(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -190,6 +216,8 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
         columns += [pa.array([len(f[k]) for f in found], pa.int64()) for k in BASE_KINDS]
         columns.append(pa.array([hashlib.sha256(joined(f, BASE_KINDS).encode()).hexdigest() for f in found], pa.string()))
         columns.append(pa.array([joined(f, KINDS) for f in found], pa.string()))
+        columns += [pa.array([len(f[k]) for f in found], pa.int64()) for k in KINDS[len(BASE_KINDS) :]]
+        columns.append(pa.array([sum(map(len, f.values())) for f in found], pa.int64()))
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return map_batches(docs.select(F.col(id_col).cast("long"), whole_text(text_col)), batch_spans, SCHEMA)

@@ -3,12 +3,14 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
+import pytest
 from helpers import clashing, docs_of, odd_docs, rows, texts
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from gridloom.llm.pii import BASE_KINDS, Finder, find_pii, iban_ok, luhn, redact_pii
+from gridloom.llm.pii import BASE_KINDS, CUES, Finder, find_pii, iban_ok, luhn, redact_pii
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -53,6 +55,36 @@ def test_added_kinds():
     assert iban_ok("DE89370400440532013000") and not iban_ok("DE88370400440532013000")
 
 
+def plain_added(text: str) -> dict:
+    """URLs and values behind cues, each tried at every place in order, leftmost and without overlap."""
+    url, account = [], []
+    for m in re.finditer("https?://|HTTPS?://|Https?://|ftp://|FTP://|Ftp://", text):
+        run = re.match(r"[^\s<>\"'`{}|\\^\[\]]*", text[m.end() :]).group().rstrip(".,;:!?)*")
+        host = re.split("[/?#]", run)[0]
+        if (not url or m.start() >= url[-1][1]) and ("@" in host or "." in host.rpartition("@")[2].strip(".")):
+            url.append((m.start(), m.end() + len(run)))
+    cues = [c for w in CUES if w != "iban" for c in (w, w.upper(), w.capitalize())]
+    for m in sorted((m for c in cues for m in re.finditer(c, text)), key=lambda m: m.end()):
+        v = re.compile(r"[\"']?\s{0,3}[:=#]\s{0,3}[\"']?([A-Za-z0-9][A-Za-z0-9_+/=-]{7,})").match(text, m.end())
+        if v and (not account or m.end() > account[-1][1]) and re.search("[0-9]", v.group(1)):
+            account.append(v.span(1))
+    return {"url": url, "account": account}
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["http://", "https://", "Ftp://", "a.b", "x@y", "/", " ", ".", "token", "Secret", "=", ": ", '"', "abcdefgh", "1", "12345678", "?", ")"]), max_size=14).map("".join))
+def test_added_spans_equal_a_plain_search(text):
+    found = FINDER(text)
+    assert {k: found[k] for k in ("url", "account")} == plain_added(text)
+
+
+@pytest.mark.parametrize("unit", ["http://a.b", "http://", "https://x@", "token=", "secret: ", "account#abcdefgh ", "iban DE89 ", "a@", "+1 ", "1.1.", "http://a.b/token=x1y2z3w4&"])
+def test_a_megabyte_of_anchors_is_linear(unit):
+    began = time.perf_counter()
+    FINDER(unit * (1_000_000 // len(unit)))
+    assert time.perf_counter() - began < 10
+
+
 def test_table(spark):
     some = texts(80, 1)
     got = {r["doc_id"]: r for r in rows(find_pii(docs_of(spark, some)))}
@@ -63,6 +95,7 @@ def test_table(spark):
         joined = ",".join(f"{k}:{a}:{b}" for k in BASE_KINDS for a, b in spans[k])
         assert got[i]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert got[i]["spans"].startswith(joined)
+        assert got[i]["n_spans"] == len([s for s in got[i]["spans"].split(",") if s])
 
 
 def test_odd_rows_and_empty(spark):
