@@ -4,7 +4,8 @@ A document's ``L`` ids (its tokens and the end id) are cut into ``L // 1024`` pi
 binary digit of the rest, longest first. Every piece is a sequence by itself, so no sequence crosses documents, none
 needs padding, and equal lengths share a bucket. It is one narrow pass: nothing is shuffled or gathered.
 
-Defined cases: a null or empty text is the end id alone; repeated rows and repeated ``doc_id`` are packed each for
+Defined cases: a null or empty text is the end id alone; the string of an added token in a text is that token, unless
+``special_as_text`` is set; repeated rows and repeated ``doc_id`` are packed each for
 itself; an empty table gives no rows; columns other than the id and the text are ignored.
 """
 
@@ -21,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import small_batches, table, whole_text
+from gridloom.llm.common import slices, table, whole_text
 
 #: sequence_id is bucket << BUCKET_SHIFT | partition << PARTITION_SHIFT | running number: unique in a job, and the
 #: bucket of equal lengths can be read from it.
@@ -33,21 +34,28 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 class Encoder:
-    """Ids of ``byte_bpe_50k.json``. The rank file holds the same vocabulary, and its encoder is several times faster."""
+    """Ids of ``byte_bpe_50k.json`` as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
-    def __init__(self, json_path: str | None = None, rank_path: str | None = None):
+    The rank file holds the same vocabulary and its encoder is several times faster, with the same ids (see the tests);
+    texts that hold the string of an added token go to ``tokenizers``, which reads it as that token. With
+    ``special_as_text`` such strings are ordinary text.
+    """
+
+    def __init__(self, json_path: str | None = None, rank_path: str | None = None, special_as_text: bool = False):
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
 
         self.slow = Tokenizer.from_file(json_path or public_tokenizers.path("byte_bpe_50k.json"))
-        self.slow.encode_special_tokens = True
+        self.slow.encode_special_tokens = special_as_text
+        added = [] if special_as_text else [t.content for t in self.slow.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         with open(rank_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> list[int]:
-        if LONG_SPACE.search(text):
+        if self.added.search(text) or LONG_SPACE.search(text):
             return self.slow.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
 
@@ -60,7 +68,7 @@ def piece_lengths(tokens: int, limit: int = 1024) -> list[int]:
 
 def pack_power_of_two(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024, end_id: int = 0,
-    json_path: str | None = None, rank_path: str | None = None, with_ids: bool = True,
+    json_path: str | None = None, rank_path: str | None = None, with_ids: bool = True, special_as_text: bool = False,
 ) -> DataFrame:
     """One row per piece (``PIECES``, and ``ids array<int>`` unless ``with_ids`` is false).
 
@@ -68,13 +76,12 @@ def pack_power_of_two(
     """
     if limit < 1 or limit & (limit - 1):
         raise ValueError("limit must be a power of two")
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(json_path, rank_path)
+        encode = Encoder(json_path, rank_path, special_as_text)
         part = TaskContext.get().partitionId()
         number = 0
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             ids: list[np.ndarray] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

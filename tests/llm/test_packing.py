@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from helpers import clashing, docs_of, odd_docs, rows, texts
 from hypothesis import given, settings
@@ -15,7 +16,8 @@ from gridloom.llm.packing import Encoder, pack_power_of_two, piece_lengths, writ
 
 ENCODER = Encoder()
 REFERENCE = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-REFERENCE.encode_special_tokens = True
+PLAIN = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+PLAIN.encode_special_tokens = True
 
 
 def ids_of(text: str | None) -> list[int]:
@@ -28,11 +30,25 @@ def test_ids_equal_the_tokenizer(text):
     assert [*ENCODER(text), 0] == ids_of(text)
 
 
-@pytest.mark.parametrize("text", [" " * 60_000, "\n" * 50_000 + "x", "a" * 50_000, "<|endoftext|> x", "é" * 5000])
+@pytest.mark.parametrize("text", [" " * 60_000, "\n" * 50_000 + "x", "a" * 50_000, "<|endoftext|> x", "x<|endoftext|><|endoftext|", " <|endoftext|>  ", "é" * 5000])
 def test_long_runs(text):
     assert [*ENCODER(text), 0] == ids_of(text)
 
 
+def test_special_tokens_strings_as_text():
+    encode = Encoder(special_as_text=True)
+    for text in ("<|endoftext|> x", "a<|endoftext|>"):
+        assert encode(text) == PLAIN.encode(text, add_special_tokens=False).ids != REFERENCE.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_of_all_documents_equal_the_tokenizer():
+    """The fast encoder has the ids of the contract's call on every text of the table."""
+    some = pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()
+    for at in range(0, len(some), 500):
+        part = [t or "" for t in some[at : at + 500]]
+        assert [ENCODER(t) for t in part] == [e.ids for e in REFERENCE.encode_batch(part, add_special_tokens=False)]
+
+
 @given(st.integers(1, 10_000))
 def test_lengths_are_powers_of_two(n):
     pieces = piece_lengths(n)
