@@ -20,6 +20,8 @@ SPACE_BYTES = b" \t\n\x0b\x0c\r"
 ARROW_ROWS = 256
 #: Most keys that ``lookup`` treats as heavy, and rows that a key must have for it.
 HEAVY_KEYS, HEAVY_ROWS = 10_000, 10_000
+#: The column in which operators keep a hash of the whole text, to tell rows of one identifier apart.
+TEXT_HASH = "_text_hash"
 #: Lists of the scratch folders written since each open ``scratch_scope`` began.
 _scopes: list[list[str]] = []
 
@@ -128,3 +130,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def crc32_mod(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo ``n``: the folds that the queries hold out by. A null key is fold 0's text ''."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
+
+
+def keep_one(docs: DataFrame, marked: DataFrame, classes: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest identifier, then text hash; a null identifier comes
+    last, and of rows with the same identifier and text one stays.
+
+    ``marked(doc_id, _text_hash, class)`` has a row for each row of ``docs``, ``classes(class, n, root)`` each class with
+    its rows and its component. Only rows of components with several rows are looked at.
+    """
+    sizes = classes.groupBy("root").agg(F.sum("n").alias("rows"))
+    several = written(classes.join(sizes.where("rows > 1"), "root").select("class", "n", "root", "rows"), "keep-classes")
+    found = written(lookup(marked, several, ["class"], rows="n", total=marked.count(), spread=["doc_id", TEXT_HASH]).select("doc_id", TEXT_HASH, "root"), "keep-rows")
+    rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", TEXT_HASH)
+    best = found.groupBy("root").agg(F.min(rank).alias("best"), F.count("*").alias("n"))
+    ranked = lookup(found.select("root", rank.alias("rank")).distinct(), best, ["root"], rows="n", total=found.count(), spread=["rank"])
+    gone = ranked.where(F.col("rank") != F.col("best")).select("rank.doc_id", f"rank.{TEXT_HASH}")
+    again = found.groupBy("doc_id", TEXT_HASH).count().where("count > 1")
+    again = written(again.join(gone, [again["doc_id"].eqNullSafe(gone["doc_id"]), again[TEXT_HASH] == gone[TEXT_HASH]], "left_anti").drop("count"), "keep-repeated")
+
+    own, out = free_name(docs, TEXT_HASH), docs.columns
+    is_row = lambda left, right: left[id_col].cast("long").eqNullSafe(right["doc_id"]) & (left[own] == right[TEXT_HASH])
+    kept = docs.withColumn(own, F.xxhash64(whole_text(text_col)))
+    kept = kept.join(gone, is_row(kept, gone), "left_anti")
+    if again.isEmpty():
+        return kept.select(*out)
+    single = kept.join(again, is_row(kept, again), "left_anti").select(*out)
+    repeated = kept.join(again, is_row(kept, again), "left_semi").groupBy(id_col, own).agg(F.min_by(F.struct(*out), F.xxhash64(*out)).alias("row"))
+    return single.unionByName(repeated.select("row.*"))

@@ -3,9 +3,10 @@
 Fingerprints: 64 bits over 4-word shingles, one Arrow pass over the texts, whose only output is (id, fingerprint).
 Equal fingerprints are folded before anything is joined, so a group of copies costs one row.
 
-Join: two fingerprints within 4 bits agree wholly in one of 5 blocks of the 64 bits. For each block the fingerprints that
-share its value form a binary trie; the trie is walked by pairs of nodes that start as (root, root), go down together bit
-by bit, carry the number of bits in which their paths differ, and are dropped as soon as that exceeds the budget. What
+Join: two fingerprints within 4 bits agree wholly in one of 5 blocks of the 64 bits, which is how a trie over all of them
+is dealt to tasks. For each block the fingerprints that share its value form a binary trie; every trie, however small, is
+walked by pairs of nodes that start as (root, root), go down together bit by bit, carry the number of bits in which their
+paths differ, and are dropped as soon as that exceeds the budget. A task walks the tries of many groups at once. What
 comes out of a group is one link from each linked fingerprint to the smallest one it reaches there, not all pairs, so
 links grow with the fingerprints even where thousands are near each other. Components over these links equal those over
 all pairs.
@@ -20,7 +21,6 @@ is no other; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -30,34 +30,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.common import map_batches, table, whole_text, written
+from gridloom.llm import near_copies
+from gridloom.llm.common import TEXT_HASH, keep_one, lookup, map_batches, table, whole_text, written
 from gridloom.llm.components import connected_components
+from gridloom.llm.shingles import shingle_hashes
 
-SEED = 42
-#: Pairs of leaves that are compared one by one: under a pair of nodes, and in a whole trie.
-LEAF_PAIRS, DIRECT_PAIRS = 16, 1 << 18
 #: Pairs of nodes that go down together, which bounds the memory of a step.
 FRONTIER = 1 << 17
 #: Fingerprints in a group that one task takes at once; larger groups are cut by more bits.
-GROUP = 1 << 14
-_WORD = re.compile(rb"[^ \t\n\x0b\x0c\r]+")
-
-
-def shingle_hashes(text: str, width: int = 4) -> np.ndarray:
-    """XXH64 (seed 42) of each run of ``width`` words, space-joined; A-Z count as lower case."""
-    import xxhash
-
-    words = _WORD.findall(text.encode().lower())
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    line = memoryview(b" ".join(words))
-    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
-    if len(words) <= width:
-        return np.array([xxhash.xxh64_intdigest(line, SEED)], dtype=np.uint64)
-    starts = np.concatenate([[0], ends[: len(words) - width] + 1]).tolist()
-    stops = ends[width - 1 :].tolist()
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)), dtype=np.uint64, count=len(starts))
+GROUP = 1 << 13
+#: Fingerprints, of many groups, whose tries are walked at once.
+FOREST = 1 << 16
 
 
 def fingerprint(text: str, width: int = 4) -> int:
@@ -72,79 +55,35 @@ def fingerprint(text: str, width: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long with the unsigned one's bits."""
+    """(doc_id, fp, a hash of the text): the fingerprint as a signed long with the unsigned one's bits."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), batch.column(2)], names=["doc_id", "fp", TEXT_HASH])
 
-    return map_batches(docs.select(F.col(id_col).cast("long"), whole_text(text_col)), run, "doc_id long, fp long")
+    text = whole_text(text_col)
+    return map_batches(docs.select(F.col(id_col).cast("long"), text, F.xxhash64(text)), run, f"doc_id long, fp long, {TEXT_HASH} long")
 
 
-def trie_links(fps: np.ndarray, budget: int) -> np.ndarray:
-    """For distinct uint64 fingerprints: the index of the smallest one that each reaches over links of ``budget`` bits.
+class Forest:
+    """Binary tries, one for each group, over leaves in the order of (group, fingerprint).
 
-    Sorted fingerprints are the trie's leaves in order, a node is a range of them. The frontier holds pairs of nodes of
-    one depth with the bits by which their paths differ; a step goes one bit down in all pairs at once. Pairs of nodes
-    with few leaves are compared leaf by leaf, as are the leaves of a small trie.
+    A node of a depth is a range of leaves of one group that share that many leading bits; nodes are numbered in order, and
+    only the ranges' starts are held. A node with one leaf ends its path: what is left of it is a single edge.
     """
-    n = len(fps)
-    order = np.argsort(fps)
-    trie = Trie(fps[order])
-    root = np.arange(n)
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    def roots(i: np.ndarray) -> np.ndarray:
-        while (root[i] != i).any():
-            i = root[i]
-        return i
-
-    def link(i: np.ndarray, j: np.ndarray) -> None:
-        i, j = roots(i), roots(j)
-        open_pairs = np.unique((i * n + j)[i != j])  # most pairs of a dense cluster are joined already
-        for a, b in zip((open_pairs // n).tolist(), (open_pairs % n).tolist(), strict=True):
-            a, b = find(a), find(b)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-
-    if n * n <= DIRECT_PAIRS:
-        i, j = np.nonzero(np.triu(np.bitwise_count(trie.leaves[:, None] ^ trie.leaves[None, :]) <= budget, 1))
-        link(i, j)
-    else:
-        top = np.zeros(1, dtype=np.int64)
-        stack = [(0, top, top, top.astype(np.int8))]  # depth, two nodes, the bits by which their paths differ
-        while stack:
-            depth, a, b, bits = stack.pop()
-            if len(a) > FRONTIER:
-                half = len(a) // 2
-                stack += [(depth, a[:half], b[:half], bits[:half]), (depth, a[half:], b[half:], bits[half:])]
-                continue
-            small = trie.sizes(depth)[a] * trie.sizes(depth)[b] <= LEAF_PAIRS
-            link(*trie.near_leaves(depth, a[small], b[small], budget))
-            if not small.all():
-                stack.append((depth + 1, *trie.descend(depth, a[~small], b[~small], bits[~small], budget)))
-    out = np.empty(n, dtype=np.int64)
-    out[order] = order[np.array([find(i) for i in range(n)], dtype=np.int64)]
-    return out
 
-
-class Trie:
-    """A binary trie over sorted leaves. A node of a depth is a range of leaves that share that many leading bits; it is
-    numbered in order, and only the ranges' starts are held."""
-
-    def __init__(self, leaves: np.ndarray):
+    def __init__(self, groups: np.ndarray, leaves: np.ndarray):
         self.leaves = leaves
-        self._starts: dict[int, np.ndarray] = {0: np.zeros(1, dtype=np.int64)}
+        self.opens = np.concatenate([[True], np.diff(groups) != 0])[: len(leaves)]
+        self._starts: dict[int, np.ndarray] = {}
         self._sizes: dict[int, np.ndarray] = {}
 
     def starts(self, depth: int) -> np.ndarray:
         if depth not in self._starts:
-            self._starts[depth] = np.concatenate([[0], np.flatnonzero(np.diff(self.leaves >> np.uint64(64 - depth))) + 1])
+            opens = self.opens.copy()
+            if depth:
+                opens[1:] |= np.diff(self.leaves >> np.uint64(64 - depth)) != 0
+            self._starts[depth] = np.flatnonzero(opens)
         return self._starts[depth]
 
     def sizes(self, depth: int) -> np.ndarray:
@@ -170,15 +109,48 @@ class Trie:
                 found.append((left[near], right[near], more[near].astype(np.int8)))
         return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
-    def near_leaves(self, depth: int, a: np.ndarray, b: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-        """Leaves i < j under the pairs (a, b) that are within ``budget`` bits."""
-        starts, sizes = self.starts(depth), self.sizes(depth)
-        pairs = sizes[a] * sizes[b]
-        of = np.repeat(np.arange(len(a)), pairs)
-        at = np.arange(len(of)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
-        i, j = starts[a][of] + at // sizes[b][of], starts[b][of] + at % sizes[b][of]
-        near = (i < j) & (np.bitwise_count(self.leaves[i] ^ self.leaves[j]) <= budget)
-        return i[near], j[near]
+    def near_pairs(self, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Leaves i < j of one group within ``budget`` bits, in parts. Pairs of nodes go down together from (root, root) of
+        every group, bit by bit, and are dropped when their paths differ by more than the budget."""
+        roots = np.arange(len(self.starts(0)))
+        stack = [(0, roots, roots, np.zeros(len(roots), dtype=np.int8))]  # depth, two nodes, the bits by which their paths differ
+        while stack:
+            depth, a, b, bits = stack.pop()
+            if len(a) > FRONTIER:
+                half = len(a) // 2
+                stack += [(depth, a[:half], b[:half], bits[:half]), (depth, a[half:], b[half:], bits[half:])]
+                continue
+            ended = (self.sizes(depth)[a] == 1) & (self.sizes(depth)[b] == 1)
+            i, j = self.starts(depth)[a[ended]], self.starts(depth)[b[ended]]
+            near = (i < j) & (np.bitwise_count(self.leaves[i] ^ self.leaves[j]) <= budget)  # both paths' last edges at once
+            yield i[near], j[near]
+            if not ended.all():
+                stack.append((depth + 1, *self.descend(depth, a[~ended], b[~ended], bits[~ended], budget)))
+
+
+def trie_links(groups: np.ndarray, fps: np.ndarray, budget: int) -> np.ndarray:
+    """For uint64 fingerprints, distinct in each group: the index of the smallest one of its group that each reaches over
+    links of ``budget`` bits."""
+    n = len(fps)
+    order = np.lexsort((fps, groups))
+    root = np.arange(n)
+
+    def roots(i: np.ndarray) -> np.ndarray:
+        at = root[i]
+        while not np.array_equal(up := root[at], at):
+            at = up
+        root[i] = at
+        return at
+
+    for i, j in Forest(groups[order], fps[order]).near_pairs(budget):
+        while len(i):
+            i, j = roots(i), roots(j)
+            apart = i != j
+            i, j = np.minimum(i, j)[apart], np.maximum(i, j)[apart]
+            root[j] = i  # one of the pairs of a root wins; the others come again from where it leads
+    out = np.empty(n, dtype=np.int64)
+    out[order] = order[roots(np.arange(n))]
+    return out
 
 
 _LINKS = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
@@ -219,59 +191,74 @@ def groups(distinct: DataFrame, budget: int = 4, limit: int = GROUP) -> DataFram
 def near_links(distinct: DataFrame, budget: int = 4, limit: int = GROUP) -> DataFrame:
     """Links (u, v) between fingerprints of ``distinct(fp)`` whose components are those of all pairs within ``budget`` bits.
 
-    Rows are dealt by group and sorted by it; a task reads its groups one after another, each as an array of 8-byte
-    fingerprints, and returns at most one link for each of its rows.
+    Rows are dealt by group and sorted by it; a task reads its groups one after another, 8 bytes a fingerprint, walks the
+    tries of many groups at once, and returns at most one link for each of its rows.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def done() -> list[np.ndarray]:
-            fps = np.concatenate(held).view(np.uint64) if held else np.zeros(0, dtype=np.uint64)
-            if len(fps) < 2:
-                return []
-            to = trie_links(fps, budget)
-            own = np.flatnonzero(to != np.arange(len(fps)))
-            return [np.stack([fps[own].view(np.int64), fps[to[own]].view(np.int64)])] if len(own) else []
+    def links(parts: list[np.ndarray]) -> pa.RecordBatch:
+        groups_, fps = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        to = trie_links(groups_, fps.view(np.uint64), budget)
+        own = np.flatnonzero(to != np.arange(len(fps)))
+        return pa.RecordBatch.from_arrays([pa.array(fps[own]), pa.array(fps[to[own]])], names=["u", "v"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, number = None, 0  # the group that is open, and its number in the task
+        held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             turn, mask, value, fps = (c.to_numpy() for c in batch.columns)
-            cuts = np.flatnonzero((np.diff(turn) != 0) | (np.diff(mask) != 0) | (np.diff(value) != 0)) + 1
-            edges = [0, *cuts.tolist(), len(fps)]
-            found: list[np.ndarray] = []
-            for a, b in zip(edges, edges[1:], strict=False):
-                if (turn[a], mask[a], value[a]) != key:
-                    found += done()
-                    key, held = (turn[a], mask[a], value[a]), []
-                held.append(fps[a:b])
-            if found:
-                u, v = np.concatenate(found, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
-        if found := done():
-            u, v = np.concatenate(found, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+            opens = np.concatenate([[(turn[0], mask[0], value[0]) != key], (np.diff(turn) != 0) | (np.diff(mask) != 0) | (np.diff(value) != 0)])
+            groups_ = number + np.cumsum(opens)
+            key, number = (turn[-1], mask[-1], value[-1]), int(groups_[-1])
+            held.append(np.stack([groups_, fps]))
+            size += len(fps)
+            if size >= FOREST:  # all groups but the open one, which may go on
+                rows = np.concatenate(held, axis=1)
+                whole = int(np.searchsorted(rows[0], number))
+                if whole:
+                    yield links([rows[:, :whole]])
+                held, size = [rows[:, whole:]], rows.shape[1] - whole
+        if size:
+            yield links(held)
 
     return groups(distinct, budget, limit).repartition("turn", "mask", "value").sortWithinPartitions("turn", "mask", "value").mapInArrow(run, _LINKS)
 
 
+def _components(marked: DataFrame, budget: int) -> DataFrame:
+    """(fp, n, root): every fingerprint of ``marked(fp)``, its rows, and the smallest one that it reaches."""
+    classes = written(marked.groupBy("fp").agg(F.count("*").alias("n")), "fingerprint-classes")
+    roots = connected_components(near_links(classes.select("fp"), budget)).withColumnRenamed("node", "fp")
+    # Only fingerprints in components of more than one come back; the others stand for themselves.
+    return classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4, budget: int = 4) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id reachable)."""
     marked = written(fingerprints(docs, id_col=id_col, text_col=text_col, width=width), "fingerprints")
-    classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
-    roots = connected_components(near_links(classes.select("fp"), budget))
-    # Only fingerprints in components of more than one stay in ``linked``; the others stand for themselves.
-    linked = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(linked.join(least, "root").select("fp", "component_id"), "fingerprint-components")
-    return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4, budget: int = 4) -> DataFrame:
-    """``docs`` with one document of each component, that with the smallest identifier."""
-    gone = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width, budget=budget).where(F.col("doc_id") != F.col("component_id"))
-    return docs.join(gone.select(F.col("doc_id").alias(id_col)), id_col, "left_anti")
+    linked = written(_components(marked, budget).join(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp"), "fingerprint-roots")
+    named = written(linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "n", "component_id"), "fingerprint-components")
+    # A fingerprint that many documents have (that of empty texts, or of a mass of copies) is not one task's work.
+    found = lookup(marked, named, ["fp"], rows="n", total=marked.count(), spread=["doc_id"])
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4, budget: int = 4, similarity: float | None = None,
+) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest identifier, then text hash; a null identifier comes
+    last, and of rows with the same identifier and text one stays.
+
+    With ``similarity`` (0.8), texts are linked if the sets of their ``width``-word shingles have that Jaccard similarity or
+    more, instead of by fingerprints: pairs of 0.8 differ by up to 15 bits or so, which no walk of a trie can prune.
+    """
+    if similarity is None:
+        marked = written(fingerprints(docs, id_col=id_col, text_col=text_col, width=width), "fingerprints").withColumnRenamed("fp", "class")
+        classes = _components(marked.withColumnRenamed("class", "fp"), budget).withColumnRenamed("fp", "class")
+    else:
+        marked, classes = near_copies.classes(docs, id_col=id_col, text_col=text_col, width=width, similarity=similarity)
+    return keep_one(docs, marked, written(classes, "near-classes"), id_col=id_col, text_col=text_col)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from helpers import DOCS, clashing, docs_of, odd_docs, rows, texts
 from gridloom.llm.components import connected_components
 from gridloom.llm.exact_dedup import drop_exact_duplicates, exact_groups
 from gridloom.llm.line_dedup import LineRuns, dedup_lines, line_hashes, repeated_lines
-from gridloom.llm.simhash import DIRECT_PAIRS, GROUP, drop_near_duplicates, fingerprint, groups, near_duplicates, near_links, trie_links
+from gridloom.llm.simhash import GROUP, Forest, drop_near_duplicates, fingerprint, groups, near_duplicates, near_links, trie_links
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -132,6 +132,11 @@ def brute_components(fps: dict, budget=4):
     return {i: find(i) for i in ids}
 
 
+def one_group(fps):
+    fps = np.array(fps, dtype=np.uint64)
+    return trie_links(np.zeros(len(fps), dtype=np.int64), fps, 4)
+
+
 def test_fingerprints():
     for t in texts(40, 7) + ["", None, "a", "a b c", "A b C d e"]:
         assert fingerprint(t or "") == brute_fingerprint(t)
@@ -159,7 +164,7 @@ def test_trie_join_keeps_every_component(spark, seed):
     fps |= {r.getrandbits(64) for _ in range(300)}
     ordered = sorted(fps)
     want = brute_components(dict(enumerate(ordered)))
-    to = trie_links(np.array(ordered, dtype=np.uint64), 4)
+    to = one_group(ordered)
     assert to.tolist() == [want[i] for i in range(len(ordered))]
 
     signed = [f - (1 << 64) if f >> 63 else f for f in ordered]
@@ -188,16 +193,50 @@ def test_trie_walk_of_many_fingerprints():
     fps = r.integers(0, 1 << 63, 1500, dtype=np.uint64)
     flipped = fps[:400] ^ (np.uint64(1) << r.integers(0, 64, 400, dtype=np.uint64)) ^ (np.uint64(1) << r.integers(0, 64, 400, dtype=np.uint64))
     fps = np.unique(np.concatenate([fps, flipped]))
-    assert len(fps) ** 2 > DIRECT_PAIRS
     want = brute_components({i: int(f) for i, f in enumerate(fps)})
-    assert trie_links(fps, 4).tolist() == [want[i] for i in range(len(fps))]
+    assert one_group(fps).tolist() == [want[i] for i in range(len(fps))]
+
+
+@pytest.mark.parametrize("size", [3, 500, 20_000])
+def test_every_group_is_walked(monkeypatch, size):
+    """Whatever a group's size, its pairs come out of the walk; groups beside it stay apart."""
+    walked = []
+
+    def counted(self, depth, a, b, bits, budget, own=Forest.descend):
+        walked.append(len(a))
+        return own(self, depth, a, b, bits, budget)
+
+    monkeypatch.setattr(Forest, "descend", counted)
+    r = np.random.default_rng(size)
+    base = r.integers(0, 1 << 63, size, dtype=np.uint64)
+    near = base[: -(-size // 3)] ^ (np.uint64(1) << r.integers(0, 64, -(-size // 3), dtype=np.uint64))
+    fps = np.concatenate([base, near])
+    groups_ = np.concatenate([np.repeat([4, 9], [len(fps), len(near)])])
+    to = trie_links(groups_, np.concatenate([fps, near]), 4)
+    assert walked and sum(walked) >= size
+    assert (to[size : len(fps)] == to[: len(near)]).all()  # each near one with its origin
+    assert (to[len(fps) :] >= len(fps)).all()  # the same fingerprints in another group don't meet these
+    if size <= 500:
+        want = brute_components({i: int(f) for i, f in enumerate(fps)})
+        assert len(set(want.values())) == len(set(to[: len(fps)].tolist()))
+    else:  # a plain search of all pairs, in blocks
+        linked = {tuple(x) for at in range(0, len(fps), 500) for x in (np.argwhere(np.bitwise_count(fps[at : at + 500, None] ^ fps[None]) <= 4) + [at, 0]).tolist()}
+        assert all(to[a] == to[b] for a, b in linked)
+
+
+def test_one_row_of_each_component_stays(spark):
+    near = "alpha beta gamma delta epsilon zeta eta"
+    docs = [(5, near, "en", "a", 1), (5, near, "en", "a", 1), (5, near, "fr", "b", 1), (5, "another text, which nothing resembles at all", "en", "a", 1), (9, near, "en", "a", 1), (None, near, "en", "a", 1), (None, "only here, without an identifier", "en", "a", 1), (None, "only here, without an identifier", "en", "a", 1), (7, None, "en", "a", 1), (6, "", "en", "a", 1)]
+    for similarity in (None, 0.8):
+        got = sorted((r["doc_id"] or 0, r["text"]) for r in rows(drop_near_duplicates(clashing(spark.createDataFrame(docs, DOCS)), similarity=similarity)))
+        assert got == [(0, "only here, without an identifier"), (5, near), (5, "another text, which nothing resembles at all"), (6, "")]
 
 
 def test_trie_join_of_a_dense_cluster():
     base = 0x0123456789ABCDEF
     cluster = sorted({base ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(64)})
     assert len(cluster) > 2000
-    assert set(trie_links(np.array(cluster, dtype=np.uint64), 4).tolist()) == {0}
+    assert set(one_group(cluster).tolist()) == {0}
 
 
 def test_near_odd_rows(spark):

@@ -8,6 +8,11 @@ from test_dedup import LOWER, brute_components, brute_fingerprint
 
 import corpus_pipeline
 from gridloom.llm import near_copies
+from gridloom.llm.simhash import drop_near_duplicates
+
+
+def drop(docs):
+    return drop_near_duplicates(docs, width=5, similarity=0.8)
 
 
 def brute_kept(some: dict, width=5):
@@ -62,11 +67,12 @@ def test_order_does_not_matter(spark, monkeypatch):
     some = edited()
     monkeypatch.setattr(near_copies, "SAMPLE", 1)
     monkeypatch.setattr(near_copies, "PAIRS", 64)
-    assert {r["doc_id"] for r in rows(near_copies.drop_near_copies(docs_of(spark, some)))} == brute_kept(dict(enumerate(some)))
+    monkeypatch.setattr(near_copies, "TILE", 16)
+    assert {r["doc_id"] for r in rows(drop(docs_of(spark, some)))} == brute_kept(dict(enumerate(some)))
 
 
 def test_odd_and_empty_rows(spark):
     for docs in (odd_docs(spark), clashing(odd_docs(spark))):
-        got = rows(near_copies.drop_near_copies(docs))
+        got = rows(drop(docs))
         assert sorted(r["doc_id"] for r in got if r["doc_id"]) == [1, 4, 5, 8, 10, 11, 12]
-    assert near_copies.drop_near_copies(odd_docs(spark).limit(0)).count() == 0
+    assert drop(odd_docs(spark).limit(0)).count() == 0
