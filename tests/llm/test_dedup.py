@@ -2,16 +2,18 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
 import pytest
 import xxhash
 from helpers import DOCS, clashing, docs_of, odd_docs, rows, texts
+from pyspark.sql import functions as F
 
 from gridloom.llm.components import connected_components
 from gridloom.llm.exact_dedup import drop_exact_duplicates, exact_groups
-from gridloom.llm.line_dedup import LineRuns, dedup_lines, line_hashes, repeated_lines
+from gridloom.llm.line_dedup import LineRuns, _added_up, dedup_lines, line_hashes
 from gridloom.llm.simhash import GROUP, Forest, drop_near_duplicates, fingerprint, groups, near_duplicates, near_links, trie_links
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -81,14 +83,45 @@ def test_line_dedup(spark, batches):
 
 def test_line_runs_level_up(spark):
     hashes = line_hashes(docs_of(spark, texts(40, 6)))
-    runs = LineRuns(fanout=2)
-    for i in range(4):
-        runs.add(hashes.where(f"doc % 4 = {i}"))
-    assert [len(level) for level in runs.levels] == [0, 0, 1]
-    merged = rows(runs.merged())
-    assert len(merged) == hashes.select("h1", "h2").distinct().count()
-    assert all(r["is_new"] for r in merged)
-    assert repeated_lines(hashes, batches=1).count() == repeated_lines(hashes, batches=4).count()
+    runs = LineRuns(spark, fanout=2)
+    earlier: set = set()
+    for i in range(5):
+        own = {tuple(r) for r in hashes.where(f"doc % 5 = {i}").select("h1", "h2").collect()}
+        runs.add(hashes.where(f"doc % 5 = {i}"))
+        if i in (0, 2, 4):  # not compacted at once: the run says what the anti-join found
+            seen = {(r["h1"], r["h2"]): r["seen"] for r in runs.levels[0][-1].collect()}
+            assert seen == {k: k in earlier for k in own}
+        earlier |= own
+    assert [len(level) for level in runs.levels] == [1, 0, 1] and runs.compactions == 3
+    new = [(r["h1"], r["h2"]) for run in runs.runs() for r in run.where("not seen").collect()]
+    assert len(new) == len(set(new)) and set(new) == earlier
+    want = {(r["h1"], r["h2"]): (r["n"], r["k"]) for r in hashes.groupBy("h1", "h2").agg(F.countDistinct("doc").alias("n"), F.max("doc").alias("k")).collect()}
+    for least in (1, 3):
+        got = {(r["h1"], r["h2"]): (r["n_docs"], r["keeper"]) for r in runs.repeated(least).collect()}
+        assert got == {k: v for k, v in want.items() if v[0] >= least}
+    runs.close()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
+
+
+def test_runs_are_not_shuffled(spark):
+    """A batch meets the runs in their buckets, and compaction stays in them."""
+    hashes = line_hashes(docs_of(spark, texts(40, 6)))
+    runs = LineRuns(spark, fanout=9)
+    for i in range(3):
+        runs.add(hashes.where(f"doc % 3 = {i}"))
+    plans = [_added_up(runs.runs()), runs.runs()[0].join(runs.runs()[1].hint("merge"), ["h1", "h2"], "left_anti")]
+    for df in plans:
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    runs.close()
+
+
+def test_long_texts_of_repeated_lines(spark):
+    """Three documents that share 200,000 lines: the time is linear in the lines."""
+    body = "\n".join(f"line number {i} is long enough" for i in range(200_000))
+    began = time.perf_counter()
+    got = {r["doc_id"]: (r["n_dropped"], len(r["text"])) for r in rows(dedup_lines(docs_of(spark, [body] * 3)))}
+    assert got == {0: (200_000, 0), 1: (200_000, 0), 2: (0, len(body))}
+    assert time.perf_counter() - began < 120
 
 
 def test_line_odd_rows(spark):
