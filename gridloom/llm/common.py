@@ -20,6 +20,8 @@ SPACE_BYTES = b" \t\n\x0b\x0c\r"
 ARROW_ROWS = 256
 #: Most keys that ``lookup`` treats as heavy, and rows that a key must have for it.
 HEAVY_KEYS, HEAVY_ROWS = 10_000, 10_000
+#: Most rows of a few numbers each that are broadcast once they have been counted: some 20 MB.
+SMALL_ROWS = 500_000
 #: The column in which operators keep a hash of the whole text, to tell rows of one identifier apart.
 TEXT_HASH = "_text_hash"
 #: Lists of the scratch folders written since each open ``scratch_scope`` began.
@@ -63,12 +65,20 @@ def delete_paths(spark: SparkSession, paths: list[str]) -> None:
 
 
 @contextmanager
-def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Scratch folders written inside are deleted at the end: store what is to stay before that."""
+def scratch_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Scratch folders written inside are deleted at the end, but for what the scope's ``keep`` has written."""
     paths: list[str] = []
     _scopes.append(paths)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        _scopes.remove(paths)  # only outer scopes delete it
+        try:
+            return written(df, name)
+        finally:
+            _scopes.append(paths)
+
     try:
-        yield
+        yield keep
     finally:
         _scopes.remove(paths)
         delete_paths(spark, paths)
@@ -132,27 +142,33 @@ def crc32_mod(key: Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
-def keep_one(docs: DataFrame, marked: DataFrame, classes: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
+def if_small(df: DataFrame) -> DataFrame:
+    """A written table of a few numeric columns, to be broadcast if it is counted to be small, else joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+
+
+def keep_one(docs: DataFrame, marked: DataFrame, classes: DataFrame, keep: Callable[[DataFrame, str], DataFrame], *, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest identifier, then text hash; a null identifier comes
     last, and of rows with the same identifier and text one stays.
 
     ``marked(doc_id, _text_hash, class)`` has a row for each row of ``docs``, ``classes(class, n, root)`` each class with
-    its rows and its component. Only rows of components with several rows are looked at.
+    its rows and its component. Only rows of components with several rows are looked at. What the result reads is
+    written by ``keep``.
     """
     sizes = classes.groupBy("root").agg(F.sum("n").alias("rows"))
-    several = written(classes.join(sizes.where("rows > 1"), "root").select("class", "n", "root", "rows"), "keep-classes")
+    several = written(classes.join(sizes.where("rows > 1"), "root").select("class", "n", "root"), "keep-classes")
     found = written(lookup(marked, several, ["class"], rows="n", total=marked.count(), spread=["doc_id", TEXT_HASH]).select("doc_id", TEXT_HASH, "root"), "keep-rows")
     rank = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", TEXT_HASH)
-    best = found.groupBy("root").agg(F.min(rank).alias("best"), F.count("*").alias("n"))
+    best = written(found.groupBy("root").agg(F.min(rank).alias("best"), F.count("*").alias("n")), "keep-best")
     ranked = lookup(found.select("root", rank.alias("rank")).distinct(), best, ["root"], rows="n", total=found.count(), spread=["rank"])
-    gone = ranked.where(F.col("rank") != F.col("best")).select("rank.doc_id", f"rank.{TEXT_HASH}")
+    gone = keep(ranked.where(F.col("rank") != F.col("best")).select("rank.doc_id", f"rank.{TEXT_HASH}"), "keep-gone")
     again = found.groupBy("doc_id", TEXT_HASH).count().where("count > 1")
-    again = written(again.join(gone, [again["doc_id"].eqNullSafe(gone["doc_id"]), again[TEXT_HASH] == gone[TEXT_HASH]], "left_anti").drop("count"), "keep-repeated")
+    again = keep(again.join(if_small(gone), [again["doc_id"].eqNullSafe(gone["doc_id"]), again[TEXT_HASH] == gone[TEXT_HASH]], "left_anti").drop("count"), "keep-repeated")
 
     own, out = free_name(docs, TEXT_HASH), docs.columns
     is_row = lambda left, right: left[id_col].cast("long").eqNullSafe(right["doc_id"]) & (left[own] == right[TEXT_HASH])
     kept = docs.withColumn(own, F.xxhash64(whole_text(text_col)))
-    kept = kept.join(gone, is_row(kept, gone), "left_anti")
+    kept = kept.join(if_small(gone), is_row(kept, gone), "left_anti")
     if again.isEmpty():
         return kept.select(*out)
     single = kept.join(again, is_row(kept, again), "left_anti").select(*out)

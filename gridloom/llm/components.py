@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import lookup, written
+from gridloom.llm.common import lookup, scratch_scope, written
 
 #: Rounds are logarithmic in the number of nodes in practice; far beyond that something is wrong.
 MAX_ROUNDS = 60
@@ -40,10 +40,11 @@ def _is_done(edges: DataFrame) -> bool:
 def connected_components(edges: DataFrame) -> DataFrame:
     """``edges(u long, v long)`` to ``(node, root)``, root the smallest node of the component; nodes that are roots
     themselves or have no edge are left out. Self-links, repeated and reversed edges do no harm."""
-    now = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "cc-0")
-    for i in range(1, MAX_ROUNDS + 1):
-        if _is_done(now):
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        n = now.count()
-        now = written(_small_star(_large_star(now, n), n), f"cc-{i}")
+    with scratch_scope(edges.sparkSession) as keep:
+        now = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "cc-0")
+        for i in range(1, MAX_ROUNDS + 1):
+            if _is_done(now):
+                return keep(now.select(F.col("u").alias("node"), F.col("v").alias("root")), "cc")
+            n = now.count()
+            now = written(_small_star(_large_star(now, n), n), f"cc-{i}")
     raise RuntimeError(f"no fixed point in {MAX_ROUNDS} rounds")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm import near_copies
-from gridloom.llm.common import TEXT_HASH, keep_one, lookup, map_batches, table, whole_text, written
+from gridloom.llm.common import TEXT_HASH, keep_one, lookup, map_batches, scratch_scope, table, whole_text, written
 from gridloom.llm.components import connected_components
 from gridloom.llm.shingles import shingle_hashes
 
@@ -253,12 +253,13 @@ def drop_near_duplicates(
     With ``similarity`` (0.8), texts are linked if the sets of their ``width``-word shingles have that Jaccard similarity or
     more, instead of by fingerprints: pairs of 0.8 differ by up to 15 bits or so, which no walk of a trie can prune.
     """
-    if similarity is None:
-        marked = written(fingerprints(docs, id_col=id_col, text_col=text_col, width=width), "fingerprints").withColumnRenamed("fp", "class")
-        classes = _components(marked.withColumnRenamed("class", "fp"), budget).withColumnRenamed("fp", "class")
-    else:
-        marked, classes = near_copies.classes(docs, id_col=id_col, text_col=text_col, width=width, similarity=similarity)
-    return keep_one(docs, marked, written(classes, "near-classes"), id_col=id_col, text_col=text_col)
+    with scratch_scope(docs.sparkSession) as keep:
+        if similarity is None:
+            marked = written(fingerprints(docs, id_col=id_col, text_col=text_col, width=width), "fingerprints").withColumnRenamed("fp", "class")
+            classes = _components(marked.withColumnRenamed("class", "fp"), budget).withColumnRenamed("fp", "class")
+        else:
+            marked, classes = near_copies.classes(docs, id_col=id_col, text_col=text_col, width=width, similarity=similarity)
+        return keep_one(docs, marked, written(classes, "near-classes"), keep, id_col=id_col, text_col=text_col)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
