@@ -5,9 +5,10 @@ word-stem indicators is fitted in numpy to the class-prior-corrected risk ``prio
 with logistic loss; where the corrected part turns negative its gradient is reversed (Kiryo et al., 2017). The prior is
 the share of toxic rows among the labels that may be learnt from.
 
-Training sees a bounded sample: ``max_positive`` and ``max_unlabelled`` documents, drawn by a hash of the identifier.
-Words are counted where the texts are; the driver gets at most ``max_features`` features and, for each sampled document,
-the numbers of those it has. Scoring is one narrow pass over whole texts.
+Which features count is decided on all texts that may be learnt from: those of the positives are counted over every one
+of them, where the texts are. The fit itself sees a bounded sample: ``max_positive`` and ``max_unlabelled`` documents, drawn
+by a hash of the identifier. The driver gets the counts of ``MAX_CANDIDATES`` features at most and, for each sampled
+document, the numbers of the ``max_features`` features it has. Scoring is one narrow pass over whole texts.
 
 Defined cases: a null or empty text has no words and is scored by the bias alone; labels of null, or for identifiers that
 no document has, are ignored; repeated rows are each scored; without any positive every score is the prior (0 if there
@@ -32,8 +33,12 @@ from gridloom.llm.common import crc32_mod, map_batches, slices, table, whole_tex
 _WORD = re.compile(r"\w+")
 #: Lengths of word beginnings that count as stems.
 STEMS = (5, 6, 7, 8)
-#: A feature is kept if it is in this share of the positives or more, and so many standard errors more frequent there.
-SUPPORT, DEVIATIONS = 0.02, 5.0
+#: A feature is kept if it is so many standard errors more frequent in the positives.
+DEVIATIONS = 5.0
+#: Steps between looks at the weights, and the largest change of any of them that ends the fit.
+LOOK, STILL = 50, 2e-3
+#: Features of the positives, the most frequent ones, that are counted over all texts.
+MAX_CANDIDATES = 50_000
 #: Words whose features a worker remembers before it starts anew.
 MEMO = 400_000
 
@@ -84,9 +89,11 @@ class Scorer:
 def fit_nnpu(p: tuple[np.ndarray, np.ndarray, np.ndarray], u: tuple[np.ndarray, np.ndarray, np.ndarray], n_features: int, prior: float, *, steps: int = 3000, rate: float = 0.05) -> np.ndarray:
     """Weights, the length's weight and the bias. ``p`` and ``u`` are (row numbers, feature numbers, lengths by row).
 
-    The penalty on the weights falls with the number of positives, as the evidence for them grows.
+    The penalty on the weights falls with the number of positives, as the evidence for them grows. The fit ends after
+    ``steps``, or as soon as ``LOOK`` steps have moved no weight by more than ``STILL``.
     """
     w = np.zeros(n_features + 2)
+    before = w.copy()
     l2 = min(1e-4, 0.04 / max(1, len(p[2])))
     first, second = np.zeros_like(w), np.zeros_like(w)
     sets = []
@@ -111,36 +118,69 @@ def fit_nnpu(p: tuple[np.ndarray, np.ndarray, np.ndarray], u: tuple[np.ndarray,
         g[:-1] += l2 * w[:-1]
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         w -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        if step % LOOK == 0:
+            if np.abs(w - before).max() < STILL:
+                break
+            before = w.copy()
     return w
 
 
-def _document_counts(sample: DataFrame) -> DataFrame:
-    """(feature, positive, unlabelled): documents that have each feature, added up by task first."""
+def _positive_counts(positives: DataFrame) -> DataFrame:
+    """(feature, n): sampled positives that have each feature, added up by task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        counts: Counter = Counter()
         for batch in slices(batches):
-            for positive, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[positive].update({f for w in words_of(text) for f in features_of(w)})
-        names = list(counts[0].keys() | counts[1].keys())
+            for text in batch.column(0).to_pylist():
+                counts.update({f for w in words_of(text) for f in features_of(w)})
+        names = list(counts)
         for at in range(0, len(names), 100_000):
             some = names[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([counts[1][x] for x in some], pa.int64()), pa.array([counts[0][x] for x in some], pa.int64())], names=["feature", "positive", "unlabelled"])
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([counts[x] for x in some], pa.int64())], names=["feature", "n"])
 
-    rows = sample.select("positive", "text").mapInArrow(run, "feature string, positive long, unlabelled long")
-    return rows.groupBy("feature").agg(F.sum("positive").alias("positive"), F.sum("unlabelled").alias("unlabelled"))
+    return positives.select("text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
-def _vocabulary(counts: DataFrame, n_pos: int, n_unl: int, limit: int) -> list[str]:
-    """Features of the positives; of those with one stem and the same counts, the longest."""
-    share = (F.col("positive") + F.col("unlabelled")) / F.lit(float(n_pos + n_unl))
-    spread = F.sqrt(share * (1 - share) * F.lit(1 / n_pos + 1 / n_unl) + F.lit(1e-12))
-    z = (F.col("positive") / F.lit(n_pos) - F.col("unlabelled") / F.lit(n_unl)) / spread
-    best = counts.where(F.col("positive") >= max(2.0, SUPPORT * n_pos)).withColumn("z", z).where(F.col("z") > DEVIATIONS)
-    rows = best.orderBy(F.desc("z"), "feature").limit(limit).collect()
+def _counts_everywhere(texts: DataFrame, features: list[str]) -> np.ndarray:
+    """How many of all ``texts`` have each of the features; a task returns one number for each."""
+    number = {f: i for i, f in enumerate(features)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(number), dtype=np.int64)
+        memo: dict[str, tuple[int, ...]] = {}
+        for batch in slices(batches):
+            for text in batch.column(0).to_pylist():
+                hits: set[int] = set()
+                for w in words_of(text):
+                    if (found := memo.get(w)) is None:
+                        if len(memo) >= MEMO:
+                            memo.clear()
+                        found = memo[w] = tuple(number[f] for f in features_of(w) if f in number)
+                    hits.update(found)
+                counts[list(hits)] += 1
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["feature", "n"])
+
+    out = np.zeros(len(features), dtype=np.int64)
+    for r in texts.select("text").mapInArrow(run, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect():
+        out[r["feature"]] = r["n"]
+    return out
+
+
+def _vocabulary(positives: DataFrame, texts: DataFrame, n_pos: int, n_all: int, limit: int, support: float) -> list[str]:
+    """Features of the positives that are rarer among all ``texts``; of those with one stem and the same counts, the longest."""
+    common = _positive_counts(positives).where(F.col("n") >= max(2.0, support * n_pos)).orderBy(F.desc("n"), "feature").limit(MAX_CANDIDATES)
+    rows = [(r["feature"], r["n"]) for r in common.collect()]
+    if not rows:
+        return []
+    everywhere = _counts_everywhere(texts, [f for f, _ in rows])
+    positive = np.array([n for _, n in rows])
+    share = (positive + everywhere) / (n_pos + n_all)
+    z = (positive / n_pos - everywhere / n_all) / np.sqrt(share * (1 - share) * (1 / n_pos + 1 / n_all) + 1e-12)
+    best = sorted((i for i in np.flatnonzero(z > DEVIATIONS).tolist()), key=lambda i: (-z[i], rows[i][0]))[:limit]
     kept: dict[tuple, str] = {}
-    for r in sorted(rows, key=lambda r: (r["feature"].endswith("*"), -len(r["feature"]), r["feature"])):
-        kept.setdefault((r["feature"].rstrip("*")[: STEMS[0]], r["positive"], r["unlabelled"]), r["feature"])
+    for i in sorted(best, key=lambda i: (rows[i][0].endswith("*"), -len(rows[i][0]), rows[i][0])):
+        kept.setdefault((rows[i][0].rstrip("*")[: STEMS[0]], positive[i], everywhere[i]), rows[i][0])
     return sorted(kept.values())
 
 
@@ -158,8 +198,9 @@ def _rows_of_features(sample: DataFrame, vocabulary: list[str]) -> DataFrame:
     return map_batches(sample.select("doc_id", "positive", "text"), run, "doc_id long, positive int, n_words int, features array<int>")
 
 
-def train(docs: DataFrame, labels: DataFrame, may_learn: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_positive: int = 4000, max_unlabelled: int = 12000, max_features: int = 4096) -> Model:
-    """A model from rows with ``may_learn`` (a condition on the identifier)."""
+def train(docs: DataFrame, labels: DataFrame, may_learn: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_positive: int = 4000, max_unlabelled: int = 12000, max_features: int = 4096, support: float = 0.02) -> Model:
+    """A model from rows with ``may_learn`` (a condition on the identifier). Features in less than ``support`` of the sampled
+    positives are left out."""
     spark = docs.sparkSession
     usable = labels.where(may_learn & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("y"))
     n_labels, n_toxic = usable.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
@@ -179,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, *, id_col: str
     sizes = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return Model(bias=math.log(prior / (1 - prior)) if prior < 1 else 500.0)
-    vocabulary = _vocabulary(_document_counts(sample), sizes[1], sizes[0], max_features)
+    vocabulary = _vocabulary(sample.where("positive = 1"), free, sizes[1], n, max_features, support)
     found = sorted(_rows_of_features(sample, vocabulary).collect(), key=lambda r: (r["positive"], r["doc_id"] is not None, r["doc_id"] or 0, r["n_words"]))
     sets = []
     for kind in (1, 0):
