@@ -76,14 +76,15 @@ def without_shared_lines(classes: list[list[str]], least: int = 20) -> list[list
 
 
 def build_dictionary(texts: list[str]) -> bytes:
-    """A dictionary from the pieces of whole texts; from their bytes as they are where they are too few to choose from."""
+    """A trained dictionary of ``DICTIONARY`` bytes from the pieces of whole texts. Up to ten times that is too little for
+    the trainer to choose from: then the pieces are the dictionary themselves, all of them."""
     import zstandard
 
     data = [t.encode() for t in texts]
     pieces = [d[at : at + PIECE] for d in data for at in range(0, len(d), PIECE)]
-    if sum(map(len, pieces)) > 10 * DICTIONARY:
-        return zstandard.train_dictionary(DICTIONARY, pieces).as_bytes()
-    return b"".join(pieces)[-DICTIONARY:]
+    if sum(map(len, pieces)) <= 10 * DICTIONARY:
+        return b"".join(pieces)
+    return zstandard.train_dictionary(DICTIONARY, pieces).as_bytes()
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 50, l2: float = 1e-3) -> np.ndarray:

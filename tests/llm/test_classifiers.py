@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -59,6 +60,48 @@ def test_held_out_accuracy(corpus, module, fold, out, column):
     assert {r["doc_id"]: round(r["score"], 6) for r in again} == {r["doc_id"]: round(r["score"], 6) for r in scored}
 
 
+@pytest.mark.parametrize("query, fold, out, column, threshold", [(quality.op7_quality, 5, 0, "quality", 0.3), (toxicity.op6_toxicity, 3, 1, "toxic", 0.7)])
+def test_queries_on_held_out_rows(spark, query, fold, out, column, threshold):
+    """The registered queries on a whole table, against labels they have not seen."""
+    folder = "/root/testdata/sf0.1"
+    got = {r["doc_id"]: r for r in rows(query(spark, folder))}
+    assert len(got) == spark.read.parquet(f"{folder}/documents.parquet").count()
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % fold == out) and r["predicted"] == (r["score"] >= threshold) for i, r in got.items())
+    labels = {r["doc_id"]: r[column] for r in rows(spark.read.parquet(f"{folder}/labels.parquet")) if r[column] is not None}
+    test = [(got[i]["score"], y) for i, y in labels.items() if i in got and got[i]["held_out"]]
+    assert {y for _, y in test} == {0, 1} and auc(*zip(*test, strict=True)) > 0.97
+
+
+def test_scores_equal_a_plain_computation(spark, corpus):
+    """Scores from the models' numbers by the plain definitions."""
+    import math
+
+    import zstandard
+
+    docs, labels, _ = corpus
+    some = {r["doc_id"]: r["text"] for r in docs.where("doc_id % 40 = 0").collect()}
+    model = toxicity.train(docs, labels, F.lit(True))
+    for r in rows(toxicity.score(docs, model).where("doc_id % 40 = 0")):
+        words = set(re.findall(r"\w+", some[r["doc_id"]].lower()))
+        features = words | {f"{w[:k]}*" for w in words for k in (5, 6, 7, 8) if len(w) > k}
+        z = model.bias + model.length * (math.log1p(len(words)) / 5 - 1) + sum(w for f, w in model.weights.items() if f in features)
+        assert abs(r["score"] - 1 / (1 + math.exp(-z))) < 1e-9
+    model = quality.train(docs, labels, F.lit(True))
+    sizes = lambda data, raw: sum(len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(raw), write_content_size=False, write_checksum=False, write_dict_id=False).compress(data[at : at + 256])) for at in range(0, len(data), 256))
+    for r in rows(quality.score(docs, model).where("doc_id % 200 = 0")):
+        data = some[r["doc_id"]].encode()
+        good, bad = sizes(data, model.good), sizes(data, model.bad)
+        z = model.weights[0] + model.weights[1] * (bad - good) / (bad + good) + model.weights[2] * min(1.0, min(good, bad) / len(data))
+        assert abs(r["score"] - 1 / (1 + math.exp(-z))) < 0.02
+
+
+def test_features_are_counted_over_all_texts(spark):
+    """A word that a rare clean source has too is no sign, even if no sampled text shows it."""
+    docs = spark.createDataFrame([(i, f"word{i % 7} common plain text " + ("gruzzle blorpish" if i % 10 == 0 else "blorpish" if i % 10 == 1 else ""), "en", "a", 1) for i in range(600)], DOCS)
+    everywhere = toxicity._counts_everywhere(docs, ["gruzzle", "blorpish", "word3", "absent"])
+    assert everywhere.tolist() == [60, 120, len([i for i in range(600) if i % 7 == 3]), 0]
+
+
 @pytest.mark.parametrize("module, column", [(quality, "quality"), (toxicity, "toxic")])
 def test_held_out_labels_are_not_learnt(corpus, module, column):
     """Scores are the same when the labels of the held-out fold are turned around."""
