@@ -65,48 +65,80 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _move(fs, here, there) -> None:
+    if not fs.rename(here, there):
+        raise OSError(f"{here} could not be renamed to {there}")
+
+
+def _swap(spark: SparkSession, path: str) -> None:
+    """Put the new table beside ``path`` in its place. At every step the old table or the new one is there, the old one
+    perhaps under ``.old``; calling this again goes on where it stopped."""
+    fs, here = _fs(spark, path)
+    _, fresh = _fs(spark, f"{path}.building")
+    _, old = _fs(spark, f"{path}.old")
+    if fs.exists(fresh):
+        if fs.exists(here):
+            fs.delete(old, True)
+            _move(fs, here, old)
+        _move(fs, fresh, here)
+    elif not fs.exists(here) and fs.exists(old):
+        _move(fs, old, here)
+    fs.delete(old, True)
+
+
 def publish(df: DataFrame, path: str, checks: Iterable[Callable[[DataFrame], bool]] = ()) -> None:
     """Replace a table at ``path``: written beside it, read back, checked, then renamed. If a check fails, the old table
     stays as it is."""
     spark = df.sparkSession
-    building, old = f"{path}.building", f"{path}.old"
-    fs, here = _fs(spark, path)
-    _, fresh = _fs(spark, building)
-    _, gone = _fs(spark, old)
+    building = f"{path}.building"
     df.write.mode("overwrite").parquet(building)
     written = spark.read.parquet(building)
     for check in checks:
         if not check(written):
+            fs, fresh = _fs(spark, building)
             fs.delete(fresh, True)
             raise ValueError(f"{path}: a check of the new table failed")
-    fs.delete(gone, True)
-    if fs.exists(here):
-        fs.rename(here, gone)
-    fs.rename(fresh, here)
-    fs.delete(gone, True)
+    _swap(spark, path)
+
+
+def _note(spark: SparkSession, manifest: str, paths: Iterable[str], state: str) -> None:
+    fresh = f"{manifest}.new"
+    spark.createDataFrame([(path, state) for path in paths], "path string, state string").coalesce(1).write.mode("overwrite").json(fresh)
+    fs, here = _fs(spark, manifest)
+    fs.delete(here, True)
+    _move(fs, _fs(spark, fresh)[1], here)
+
+
+def finish_publish(spark: SparkSession, manifest: str) -> bool:
+    """Finish a swap of ``publish_all`` that broke off, as its manifest says; whether there was one. To be called before
+    the tables are read again."""
+    fs, here = _fs(spark, manifest)
+    if not fs.exists(here):
+        return False
+    paths = [r["path"] for r in spark.read.schema("path string, state string").json(manifest).where("state = 'prepared'").collect()]
+    for path in paths:
+        _swap(spark, path)
+    if paths:
+        _note(spark, manifest, paths, "committed")
+    return bool(paths)
 
 
 def publish_all(tables: Mapping[str, tuple[DataFrame, str]], manifest: str) -> None:
     """Replace several tables (path: rows and their key) together. All are written beside the old ones and checked first:
     a key that is null or repeats stops it before any table changes. ``manifest`` says which tables are meant and whether
-    the swap is ``prepared`` or ``committed``; a swap that broke off is finished by calling this again."""
+    the swap is ``prepared`` or ``committed``; ``finish_publish`` ends one that broke off in between, and so does this."""
     spark = next(iter(tables.values()))[0].sparkSession
+    finish_publish(spark, manifest)
     for path, (df, key) in tables.items():
         building = f"{path}.building"
         df.write.mode("overwrite").parquet(building)
         n, filled, distinct = spark.read.parquet(building).agg(F.count("*"), F.count(key), F.count_distinct(key)).first()
         if not n == filled == distinct:
             raise ValueError(f"{path}: {n} rows, {filled} keys, {distinct} different ones")
-
-    def note(state: str) -> None:
-        spark.createDataFrame([(path, state) for path in tables], "path string, state string").coalesce(1).write.mode("overwrite").json(manifest)
-
-    note("prepared")
+    _note(spark, manifest, tables, "prepared")
     for path in tables:
-        fs, here = _fs(spark, path)
-        fs.delete(here, True)
-        fs.rename(_fs(spark, f"{path}.building")[1], here)
-    note("committed")
+        _swap(spark, path)
+    _note(spark, manifest, tables, "committed")
 
 
 def release(spark: SparkSession, views: Mapping[str, DataFrame], path: str) -> DataFrame:

@@ -44,4 +44,8 @@ def test_equals_sql(spark, sf, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_runs(spark, sf, name):
-    assert QUERIES[name](spark, sf).count() >= 0
+    """What SQL cannot express at least gives rows, with every column filled somewhere; values are held against small cases
+    in the other tests."""
+    got = QUERIES[name](spark, sf)
+    rows = got.collect()
+    assert rows and all(any(r[c] is not None for r in rows) for c in got.columns)

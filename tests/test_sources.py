@@ -82,3 +82,41 @@ def test_streams(spark, tmp_path):
     assert {(r["event_id"], r["value"]) for r in spark.read.parquet(f"file://{tmp_path}/snap").collect()} == {(i, float(i + 6)) for i in range(6)}
     live = streams.tumbling(stream, width="6 hours")
     assert live.isStreaming and streams.tumbling(spark.createDataFrame(rows, schema), width="6 hours").agg(F.sum("n")).first()[0] == 12
+
+
+def test_rule_sources(spark, tmp_path):
+    from gridloom.sources import rules
+
+    (tmp_path / "r.json").write_text('{"sheets": {"s": {"primary": {"collection": "a", "subcollection": "x"}, "secondary": [{"collection": "b"}]}}, "taxonomy": {"a": {"subcollections": ["x", "y"]}, "b": {}}, "rules": [{"id": 1, "collection": "a", "keywords": ["k"]}]}')
+    found = rules.read_rules(spark, f"file://{tmp_path}/r.json")
+    assert [tuple(r) for r in rules.sheet_mappings(spark, found["sheets"]).collect()] == [("s", "a", "x", "primary", 0), ("s", "b", None, "secondary", 1)]
+    assert {tuple(r) for r in rules.taxonomy(spark, found["taxonomy"]).collect()} == {("a", "x"), ("a", "y"), ("b", None)}
+    (rule,) = rules.collection_rules(found["rules"])
+    assert (rule.rule_id, rule.keywords, rule.confidence, rule.gate) == ("1", ("k",), 0.8, None)
+
+
+def test_a_swap_that_stops_half_way_is_finished(spark, tmp_path, monkeypatch):
+    """Stopped before any rename, one table or several may be old; none is ever gone, and finishing makes all new."""
+    one = lambda *k: spark.createDataFrame([(x,) for x in k], "k int")
+    keys = lambda path: sorted(r["k"] for r in spark.read.parquet(path).collect())
+    real = sinks._move
+    for stop in range(1, 8):
+        a, b, manifest = (f"file://{tmp_path}/{stop}/{n}" for n in ("a", "b", "manifest"))
+        sinks.publish_all({a: (one(1), "k"), b: (one(2), "k")}, manifest)
+        moves = []
+
+        def counted(fs, here, there, moves=moves, stop=stop):
+            moves.append(str(there))
+            if len(moves) == stop:
+                raise OSError("stopped")
+            real(fs, here, there)
+
+        monkeypatch.setattr(sinks, "_move", counted)
+        try:
+            sinks.publish_all({a: (one(7), "k"), b: (one(8), "k")}, manifest)
+        except OSError:
+            pass
+        monkeypatch.setattr(sinks, "_move", real)
+        finished = sinks.finish_publish(spark, manifest)
+        assert (keys(a), keys(b)) in ([([7], [8])] if finished or len(moves) < stop or stop > 1 else [([1], [2])]), (stop, finished)
+        assert not sinks.finish_publish(spark, manifest)
