@@ -101,15 +101,18 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
     return df.mapInArrow(run, schema)
 
 
-def lookup(left: DataFrame, right: DataFrame, on: list[str], *, rows: str, total: int, spread: list[str]) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, on: list[str], *, rows: str, total: int, spread: list[str], stored: bool = True) -> DataFrame:
     """``left`` inner-joined with ``right``, which has one row for each key and in ``rows`` the key's rows in ``left``.
 
     Keys with ``HEAVY_ROWS`` rows or more, and at least one in ``HEAVY_KEYS`` of ``total``, are broadcast: there are
     ``HEAVY_KEYS`` of them at most, whatever the data. Their rows of ``left`` are dealt by a hash of ``spread``
-    instead of the key, so no task gets all rows of a heavy key. The first key is a long; no key is null.
+    instead of the key, so no task gets all rows of a heavy key. The first key is a long; no key is null. Where no key is
+    heavy it is a plain join, which takes a look at ``right`` if it is ``stored``.
     """
     limit = max(HEAVY_ROWS, -(-total // HEAVY_KEYS))
     values = [c for c in right.columns if c not in on and c != rows]
+    if total < limit or (stored and right.where(F.col(rows) >= limit).isEmpty()):
+        return left.join(right.select(*on, *values), on).select(*left.columns, *values)
     heavy_name = {c: free_name(left, f"_heavy_{c}") for c in values}
     is_heavy, first = free_name(left, "_is_heavy"), free_name(left, f"_first_{on[0]}")
     heavy = right.where(F.col(rows) >= limit).select(*on, F.lit(True).alias(is_heavy), *[F.col(c).alias(heavy_name[c]) for c in values])

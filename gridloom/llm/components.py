@@ -20,14 +20,14 @@ def _large_star(edges: DataFrame, n: int) -> DataFrame:
     """Every node links its larger neighbours to the smallest of its neighbourhood."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-    found = lookup(both.where("v > u"), least, ["u"], rows="n", total=2 * n, spread=["v"])
+    found = lookup(both.where("v > u"), least, ["u"], rows="n", total=2 * n, spread=["v"], stored=False)
     return found.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame, n: int) -> DataFrame:
     """Edges point down (u > v); every node links its smaller neighbours and itself to the smallest of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    moved = lookup(edges, least, ["u"], rows="n", total=2 * n, spread=["v"]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    moved = lookup(edges, least, ["u"], rows="n", total=2 * n, spread=["v"], stored=False).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 

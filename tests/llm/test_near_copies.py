@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 from helpers import clashing, docs_of, odd_docs, rows, texts
 from test_dedup import LOWER, brute_components, brute_fingerprint
 
@@ -76,3 +77,21 @@ def test_odd_and_empty_rows(spark):
         got = rows(drop(docs))
         assert sorted(r["doc_id"] for r in got if r["doc_id"]) == [1, 4, 5, 8, 10, 11, 12]
     assert drop(odd_docs(spark).limit(0)).count() == 0
+
+
+def test_parity_maps_bound_the_difference():
+    r = np.random.default_rng(2)
+    for n, edits in ((50, 3), (2000, 100), (9000, 900), (30_000, 20_000)):
+        a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[edits // 2 :], r.integers(0, 1 << 63, edits // 3, dtype=np.uint64)]))
+        differing = len(np.setxor1d(a, b))
+        p, q = near_copies.parities(a), near_copies.parities(b)
+        w = min(len(p), len(q))
+        bound = np.bitwise_count(near_copies.folded(p, w) ^ near_copies.folded(q, w)).sum()
+        assert 0.2 * differing < bound <= differing
+        assert (near_copies.folded(p, 16) == near_copies.folded(near_copies.folded(p, w), 16)).all()
+    long = r.integers(0, 1 << 63, (2, 3000), dtype=np.uint64)
+    keys, similar = np.array([1, 2]), near_copies.Similar(0.8)
+    maps = np.empty(2, dtype=object)
+    maps[:] = [near_copies.parities(np.unique(x)) for x in long]
+    assert near_copies.group_pairs(keys, np.array([3000, 3000]), maps, keys, keys * 0, nearest=False, similar=similar).shape == (2, 0)
