@@ -23,11 +23,17 @@ def match_candidates(rows: DataFrame, records: DataFrame) -> DataFrame:
     """Up to three records for each row, by title, place and date.
 
     ``rows``: row_number, block, row_date, row_title, linked_id. ``records``: record_id, block, record_date,
-    record_title, seq. The block is joined by equality, the date band is tested on the joined rows, and only what is left
-    is scored. A record without a date is in any band and loses nothing for it.
+    record_title, seq. The block and the date's period are joined by equality: a row meets its own period, those beside it
+    and the records without a date, which are in any band and lose nothing for it; only a row without a date meets its
+    whole block. The band is tested on the joined rows, and only what is left is scored.
     """
     days = days_apart(F.col("record_date"), F.col("row_date"))
-    near = rows.join(records, "block").withColumn("date_difference_days", days).where(F.col("date_difference_days").isNull() | (F.col("date_difference_days") <= DAYS))
+    period = lambda c: F.floor(F.datediff(F.col(c), F.lit("1970-01-01").cast("date")) / (DAYS + 1)).cast("int")
+    undated = F.lit(-1_000_000)
+    placed = records.withColumn("_period", F.coalesce(period("record_date"), undated))
+    own = rows.where("row_date IS NOT NULL").withColumn("_period", F.explode(F.array(period("row_date") - 1, period("row_date"), period("row_date") + 1, undated)))
+    met = own.join(placed, ["block", "_period"]).drop("_period").unionByName(rows.where("row_date IS NULL").join(records, "block"))
+    near = met.withColumn("date_difference_days", days).where(F.col("date_difference_days").isNull() | (F.col("date_difference_days") <= DAYS))
     titled = F.col("row_title").isNotNull()
     title = F.when(titled, weighted_ratio_udf(F.coalesce("row_title", F.lit("")), F.coalesce("record_title", F.lit("")))).otherwise(0.0)
     date = F.when(F.col("row_date").isNotNull(), F.greatest(F.lit(0.0), F.lit(100.0) - F.coalesce("date_difference_days", F.lit(0)) * F.lit(4.0))).otherwise(0.0)

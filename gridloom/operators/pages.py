@@ -6,6 +6,7 @@ HTML is parsed by a small stdlib helper, one page at a time inside an Arrow pass
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from html.parser import HTMLParser
 from urllib.parse import urljoin, urlsplit
 
@@ -138,28 +139,42 @@ def parse_pages(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, PAGE)
 
 
+def _bound(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is computed once, as a lambda's variable, however often ``fn`` names it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def merge_blocks(blocks: Column, min_chars: int = 24) -> Column:
-    """struct(blocks, repairs) of an array of (text, kind, page): a left fold that joins a block to the one before if that
-    does not end a sentence (or the sentence goes on over a page), or if one of them is short; headings start anew, and
-    tables are not joined for being short."""
+    """struct(blocks, repairs) of an array of (text, kind, page): a block joins the one before if that does not end a
+    sentence (or the sentence goes on over a page), or if one of them is short; headings start anew, and tables are not
+    joined for being short.
+
+    The fold carries the length and the end of the block that is open and marks each block as a start, joined or joined by
+    a new line; texts are put together once, run by run.
+    """
     cleaned = F.filter(F.transform(blocks, lambda b: F.struct(F.btrim(F.regexp_replace(F.replace(b["text"], F.lit("\r"), F.lit("")), "[ \\t\u3000]+", " "), F.lit(" \n")).alias("text"), b["kind"].alias("kind"), b["page"].alias("page"))), lambda b: b["text"] != "")
-    empty = F.struct(F.array().cast(f"array<{BLOCK}>").alias("blocks"), F.lit(0).alias("repairs"))
+    empty = F.struct(F.array().cast("array<int>").alias("marks"), F.lit(0).alias("length"), F.lit("").alias("end"), F.lit(None).cast("int").alias("page"))
 
     def step(acc: Column, b: Column) -> Column:
-        n = F.size(acc["blocks"])
-        last = F.get(acc["blocks"], n - 1)
-        cross = F.coalesce(b["page"] != last["page"], F.lit(False))
-        runs_on = ~F.contains(F.lit(END_PUNCTUATION), F.right(last["text"], F.lit(1)))
-        short = (F.char_length(b["text"]) < min_chars) | (F.char_length(last["text"]) < min_chars)
+        cross = F.coalesce(b["page"] != acc["page"], F.lit(False))
+        runs_on = ~F.contains(F.lit(END_PUNCTUATION), acc["end"])
+        short = (F.char_length(b["text"]) < min_chars) | (acc["length"] < min_chars)
         heading = F.coalesce(b["kind"] == "heading", F.lit(False))
         sentence = ~heading & (runs_on | (cross & short))
         joined = sentence | (short & ~F.coalesce(b["kind"].isin("heading", "table"), F.lit(False)))
-        glue = F.when(sentence, "").otherwise("\n")
-        grown = F.concat(F.slice(acc["blocks"], 1, n - 1), F.array(F.struct(F.concat(last["text"], glue, b["text"]).alias("text"), last["kind"].alias("kind"), last["page"].alias("page"))))
-        put = F.concat(acc["blocks"], F.array(b))
-        return F.when(n == 0, F.struct(F.array(b).alias("blocks"), acc["repairs"].alias("repairs"))).otherwise(F.struct(F.when(joined, grown).otherwise(put).alias("blocks"), (acc["repairs"] + joined.cast("int")).alias("repairs")))
-
-    return F.aggregate(cleaned, empty, step)
+        mark = F.when((acc["length"] == 0) | ~joined, 0).when(sentence, 1).otherwise(2)
+        return _bound(mark, lambda m: F.struct(
+            F.concat(acc["marks"], F.array(m)).alias("marks"), (F.when(m == 0, 0).otherwise(acc["length"] + m - 1) + F.char_length(b["text"])).alias("length"),
+            F.right(b["text"], F.lit(1)).alias("end"), F.when(m == 0, b["page"]).otherwise(acc["page"]).cast("int").alias("page")))
+
+    def put(c: Column, marks: Column) -> Column:
+        pieces = F.zip_with(c, marks, lambda b, m: F.concat(F.when(m == 2, "\n").otherwise(""), b["text"]))
+        starts = F.filter(F.sequence(F.lit(1), F.size(c)), lambda i: F.get(marks, i - 1) == 0)
+        run = lambda x, s, k: F.struct(F.array_join(F.slice(x["pieces"], s, F.coalesce(F.get(x["starts"], k + 1), F.size(c) + 1) - s), "").alias("text"), F.get(c, s - 1)["kind"].alias("kind"), F.get(c, s - 1)["page"].alias("page"))
+        return _bound(F.struct(pieces.alias("pieces"), starts.alias("starts")), lambda x: F.struct(F.transform(x["starts"], lambda s, k: run(x, s, k)).alias("blocks"), (F.size(c) - F.size(x["starts"])).alias("repairs")))
+
+    none = F.struct(F.array().cast(f"array<{BLOCK}>").alias("blocks"), F.lit(0).alias("repairs"))
+    return _bound(cleaned, lambda c: F.when(F.size(c) == 0, none).otherwise(_bound(F.aggregate(c, empty, step)["marks"], lambda marks: put(c, marks))))
 
 
 def completeness(text: Column, title: Column) -> Column:

@@ -125,7 +125,7 @@ class Star:
     @cached_property
     def places(self) -> DataFrame:
         """25 cities with their provinces."""
-        return self.table("nation").join(F.broadcast(self.table("region")), F.col("n_regionkey") == F.col("r_regionkey"))
+        return self.table("nation").join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
 
     @cached_property
     def owned(self) -> DataFrame:
@@ -135,7 +135,7 @@ class Star:
     @cached_property
     def records(self) -> DataFrame:
         key, digit = F.col("o_orderkey"), F.substring("o_orderpriority", 1, 1)
-        located = self.owned.join(F.broadcast(self.places), F.col("c_nationkey") == F.col("n_nationkey"))
+        located = self.owned.join(self.places, F.col("c_nationkey") == F.col("n_nationkey"))
         return located.select(
             key.alias("record_id"),
             F.to_date("o_orderdate").alias("record_date"),
@@ -156,7 +156,7 @@ class Star:
     @cached_property
     def geographies(self) -> DataFrame:
         owned = self.owned.select("o_orderkey", "c_nationkey")
-        return owned.join(F.broadcast(self.places), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        return owned.join(self.places, F.col("c_nationkey") == F.col("n_nationkey")).select(
             F.col("o_orderkey").alias("record_id"), F.concat_ws("/", "r_name", "n_name").alias("geography_original"),
             F.col("r_name").alias("province_name"), F.col("n_name").alias("city_name"), F.lit(None).cast("string").alias("parent_city_name"),
             F.col("n_nationkey").cast("string").alias("city_code"), F.lit(None).cast("string").alias("county_name"), F.lit("city").alias("jurisdiction_level"),

@@ -611,12 +611,15 @@ def _(t):
 
 @query("d20_source_score")
 def _(t):
-    """Every record against the candidates that its search brought: five for each, its own copy among them."""
+    """Every record against the candidates whose titles share two words in a row with its own (or are the same single word),
+    met by equality: each pair once, with the wide columns joined only to pairs."""
     part = lambda df, k: F.struct(_first_line("text").alias("title"), F.when(F.col(k) % 3 > 0, F.concat(F.lit("No. "), (F.col(k) % 6).cast("string"))).alias("document_number"), F.lit("agency").alias("issuing_agency"), F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col(k) % 50).cast("int")).alias("day"), F.lit("north").alias("region"), F.col("text"))
     records = t.benchmark.select("item_id", part(t.benchmark, "item_id").alias("r"))
     found = t.benchmark.select(F.col("item_id").alias("seq"), part(t.benchmark, "item_id").alias("c"), F.when(F.col("item_id") % 3 == 0, "official").when(F.col("item_id") % 3 == 1, "official_reprint").otherwise("general_media").alias("official_status"))
-    last = t.benchmark.agg(F.max("item_id")).first()[0] or 0
-    hits = t.benchmark.select("item_id", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("hit")).select("item_id", ((F.col("item_id") + F.col("hit") * F.col("hit") * 7) % F.lit(last + 1)).alias("seq"))
+    words = F.split(F.lower(_first_line("text")), " ")
+    runs = F.when(F.size(words) < 2, words).otherwise(F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1), lambda a, b: F.concat_ws(" ", a, b)))
+    titled = t.benchmark.select("item_id", F.explode(F.array_distinct(runs)).alias("run"))
+    hits = titled.join(titled.withColumnRenamed("item_id", "seq"), "run").select("item_id", "seq").distinct()
     scored = hits.join(records, "item_id").join(found, "seq").withColumn("s", matching.source_score()).select("item_id", "seq", "official_status", "s.*")
     return matching.accept_best(scored, ["item_id"])
 

@@ -114,7 +114,7 @@ def sliced(
     if cities:
         places = places.where(F.col("city_name").isin(*cities))
     links = lib.applicable if with_unreviewed else lib.applicable.where(~F.col("needs_review"))
-    joined = found.join(links, "record_id").join(F.broadcast(places), "city_id")  # a dimension of fixed size
+    joined = found.join(links, "record_id").join(places, "city_id")
     return joined.select("record_id", "record_date", "title", "direction", "official_status", "source_quality", "primary_source_url", "city_id", "city_name", F.col("province_name").alias("province"))
 
 

@@ -200,7 +200,7 @@ def scope_cities(lib: Library, since: dt.date = dt.date(2018, 1, 1)) -> DataFram
     recent = lib.records.where(F.col("record_date") >= F.lit(since))
     flags = {"purchase_limit": "purchase_restriction", "sale_limit": "sale_restriction", "commercial_mortgage": "mortgage", "hpf_policy": "provident_fund", "talent_policy": "talent", "subsidy": "subsidy"}
     pivoted = term_flags(lib).select("record_id", *[F.col(old).alias(new) for new, old in flags.items()])
-    joined = recent.join(lib.applicable, "record_id").join(F.broadcast(lib.cities), "city_id")  # a dimension of fixed size
+    joined = recent.join(lib.applicable, "record_id").join(lib.cities, "city_id")
     joined = joined.join(pivoted, "record_id", "left").join(collection_flags(lib), "record_id", "left").join(lib.policies, "record_id", "left")
     names = [*flags, "supply_side", "renewal", "financing"]
     return joined.select(

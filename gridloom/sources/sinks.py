@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Callable, Iterable, Mapping
 
@@ -32,13 +31,8 @@ def stata_names(columns: Iterable[str]) -> dict[str, str]:
     return out
 
 
-#: Largest table for formats that one process writes.
-MAX_LOCAL_ROWS = 1_000_000
-
-
 def export(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    """Write as the suffix says: csv, parquet, jsonl or ndjson as folders of parts; dta as one file with its field names
-    beside it, for results of at most ``MAX_LOCAL_ROWS`` rows."""
+    """Write as the suffix says: csv, parquet, jsonl or ndjson, each as a folder of parts."""
     suffix = path.rsplit(".", 1)[-1].lower()
     if suffix == "csv":
         csv_safe(df).write.mode(mode).option("header", True).csv(path)
@@ -46,14 +40,6 @@ def export(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
         df.write.mode(mode).option("compression", "zstd").parquet(path)
     elif suffix in ("jsonl", "ndjson", "json"):
         df.write.mode(mode).json(path)
-    elif suffix == "dta":
-        names = stata_names(df.columns)
-        rows = csv_safe(df).toDF(*names.values()).limit(MAX_LOCAL_ROWS + 1).toPandas()
-        if len(rows) > MAX_LOCAL_ROWS:
-            raise ValueError(f"more than {MAX_LOCAL_ROWS} rows: export them as parquet")
-        rows.to_stata(path, write_index=False)
-        with open(f"{path.rsplit('.', 1)[0]}.fields.json", "w", encoding="utf-8") as out:
-            json.dump(names, out, ensure_ascii=False, indent=2)
     else:
         raise ValueError(f"unsupported export: {suffix}")
     return path

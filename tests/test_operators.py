@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,6 +181,61 @@ def test_block_merge(spark):
     assert merged(spark, []) == ([], 0)
 
 
+def plain_merge(blocks, least=24):
+    out, repairs = [], 0
+    for text, kind, page in blocks:
+        if not text:
+            continue
+        if not out:
+            out.append([text, kind, page])
+            continue
+        last = out[-1]
+        short = len(text) < least or len(last[0]) < least
+        sentence = kind != "heading" and (last[0][-1] not in pages.END_PUNCTUATION or (page != last[2] and short))
+        if sentence or (short and kind not in ("heading", "table")):
+            last[0] += ("" if sentence else "\n") + text
+            repairs += 1
+        else:
+            out.append([text, kind, page])
+    return [b[0] for b in out], repairs
+
+
+def test_block_merge_equals_a_plain_fold(spark):
+    r = random.Random(4)
+    cases = [[("".join(r.choice("ab 。") for _ in range(r.choice([0, 3, 10, 24, 40]))).strip(), r.choice(["text", "text", "heading", "table"]), r.randrange(3)) for _ in range(r.randrange(12))] for _ in range(60)]
+    cases = [[(" ".join(t.split()), k, p) for t, k, p in c] for c in cases]
+    df = spark.createDataFrame([(i, [dict(zip(("text", "kind", "page"), b, strict=True)) for b in c]) for i, c in enumerate(cases)], f"i int, b array<{pages.BLOCK}>")
+    got = {x["i"]: ([b["text"] for b in x["m"]["blocks"]], x["m"]["repairs"]) for x in df.select("i", pages.merge_blocks(F.col("b")).alias("m")).collect()}
+    assert got == {i: plain_merge(c) for i, c in enumerate(cases)}
+
+
+def test_long_pages_merge_in_linear_time(spark):
+    began = time.perf_counter()
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(20_000)), lambda i: F.struct(F.concat(F.lit("a block of some length that ends. "), i.cast("string")).alias("text"), F.lit("text").alias("kind"), F.lit(1).alias("page"))).alias("b"))
+    m = df.select(pages.merge_blocks(F.col("b")).alias("m")).select(F.size("m.blocks"), "m.repairs").first()
+    assert m[0] + m[1] == 20_000 and time.perf_counter() - began < 60
+
+
+def test_matching_by_periods_equals_all_pairs(spark):
+    """Periods only cut what the band refuses anyway."""
+    r = random.Random(6)
+    day = lambda: dt.date(2024, 1, 1) + dt.timedelta(days=r.randrange(300)) if r.random() < 0.8 else None
+    left = [(i, r.choice("ab"), day(), None, f"r{i}" if i % 5 == 0 else None) for i in range(60)]
+    right = [(f"r{i}", r.choice("ab"), day(), None, i) for i in range(80)]
+    got = matching.match_candidates(spark.createDataFrame(left, "row_number int, block string, row_date date, row_title string, linked_id string"), spark.createDataFrame(right, "record_id string, block string, record_date date, record_title string, seq int")).collect()
+    want = set()
+    for n, block, row_date, _, linked in left:
+        scored = []
+        for rid, b, d, _, seq in right:
+            apart = abs((d - row_date).days) if d and row_date else None
+            if b == block and (apart is None or apart <= 45):
+                score = 100.0 if rid == linked else max(0.0, 100.0 - 4.0 * (apart or 0)) if row_date else 0.0
+                if score >= 55:
+                    scored.append((-score, seq, rid))
+        want |= {(n, rid, -s) for s, _, rid in sorted(scored)[:3]}
+    assert {(x["row_number"], x["candidate_record_id"], x["match_score"]) for x in got} == want
+
+
 def test_pages(spark):
     html = "<html><head><title>T &amp; U</title><script>var a='<p>no</p>'</script></head><body><nav><a href='/nav'>Nav</a></nav><article><h1>Head</h1><p>First <b>bold</b> text that goes on.<p>Second<ul><li>item<li>two</ul><a href='/x/?utm_a=1#f'>X</a><a href='f.pdf'>File</a></article><a href='https://other.org/'>O</a></body></html>"
     df = spark.createDataFrame([(1, "https://a.org/p", html), (2, "https://a.org/q", None), (3, "https://a.org/r", "plain")], "page_id long, url string, html string")
