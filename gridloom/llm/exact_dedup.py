@@ -22,7 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import map_batches, slices, table, whole_text, written
+from gridloom.llm.common import free_name, map_batches, slices, table, whole_text, written
+from gridloom.llm.line_dedup import ascii_lower
 
 #: Leading bytes of the text in the range key; splitters are sent to the driver, so they stay short.
 HEAD = 48
@@ -100,9 +101,13 @@ def exact_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text a row with a larger identifier has too. Identifiers must be unique."""
-    kept = exact_groups(docs, id_col=id_col, text_col=text_col).where("kept").select(F.col("doc_id").alias(id_col))
-    return docs.join(kept, id_col, "left_semi")
+    """``docs`` with one row of each text: that with the largest identifier, a null one only where there is no other; of
+    rows with the same identifier and text one stays."""
+    own = free_name(docs, "_sha")
+    kept = exact_groups(docs, id_col=id_col, text_col=text_col).where("kept").select("doc_id", "text_sha256")
+    marked = docs.withColumn(own, F.sha2(ascii_lower(whole_text(text_col)).cast("binary"), 256))
+    is_kept = marked[id_col].cast("long").eqNullSafe(kept["doc_id"]) & (marked[own] == kept["text_sha256"])
+    return marked.join(kept, is_kept, "left_semi").dropDuplicates([id_col, own]).drop(own)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,8 +92,8 @@ p AS (SELECT source, greatest(1, CAST(ceil(rate / {PART}) AS INTEGER)) AS parts,
 k AS (SELECT source, parts, k, exp(-mean + k * ln(mean) - lgamma(k + 1)) AS mass FROM p, range({LAST + 1}) AS t(k)),
 c AS (SELECT source, parts, k, sum(mass) OVER (PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS cdf FROM k),
 u AS (SELECT d.*, p.parts, i, (CAST('0x' || substr(md5('7:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || i), 1, 13) AS BIGINT) + 0.5) / CAST({1 << 52} AS DOUBLE) AS u
-      FROM documents d JOIN p ON d.source = p.source, LATERAL (SELECT unnest(range(1, p.parts + 1)) AS i)),
-n AS (SELECT u.doc_id, u.i, count(c.k) AS n FROM u LEFT JOIN c ON u.source = c.source AND c.cdf < u.u GROUP BY u.doc_id, u.i),
+      FROM documents d JOIN p ON d.source IS NOT DISTINCT FROM p.source, LATERAL (SELECT unnest(range(1, p.parts + 1)) AS i)),
+n AS (SELECT u.doc_id, u.i, count(c.k) AS n FROM u LEFT JOIN c ON u.source IS NOT DISTINCT FROM c.source AND c.cdf < u.u GROUP BY u.doc_id, u.i),
 m AS (SELECT doc_id, CAST(sum(n) AS INTEGER) AS n_copies FROM n GROUP BY doc_id)
 SELECT d.*, m.n_copies, CAST(copy AS INTEGER) AS copy, md5('order:7:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || copy) AS mix_key
 FROM documents d JOIN m ON d.doc_id = m.doc_id, LATERAL (SELECT unnest(range(1, m.n_copies + 1)) AS copy)

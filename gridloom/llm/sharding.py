@@ -9,7 +9,8 @@ range to range. So the records move once, dealt by range, and no task holds more
 Sizes of ranges and the samples come to the driver; both are bounded by ``max_ranges``.
 
 Everything is DataFrame code. Defined cases: a null text has no bytes (the size is 1) and the CRC of no bytes; a null
-identifier sorts before the others; repeated rows are placed each for itself; an empty table gives no rows; other columns
+identifier sorts before the others; repeated rows are placed each for itself, but rows that share identifier and text stay
+in one range; an empty table gives no rows; other columns
 stay as they are.
 """
 
@@ -26,6 +27,8 @@ from gridloom.llm.common import free_name, table, written
 #: Aims: bytes in a range, sampled keys in a range, and fewest ranges in a shard.
 RANGE_BYTES, SAMPLES, RANGES_A_SHARD = 32 << 20, 32, 8
 _LOWEST = -(1 << 63)
+#: Most times that overfull ranges are sampled again and subdivided.
+MAX_CUTS = 8
 
 Key = tuple[int, int]
 
@@ -80,7 +83,7 @@ def splitters(slim: DataFrame, total: int, ranges: int) -> tuple[list[Key], dict
     aim = total / ranges
     bounds = _quantiles(_sample(slim, SAMPLES * ranges / total, 0), ranges)
     sizes = _range_sizes(slim, bounds)
-    for salt in (1, 2):
+    for salt in range(1, MAX_CUTS + 1):
         over = [r for r, (b, n) in sizes.items() if b > 2 * aim and n > 1]
         if not over:
             break
@@ -91,6 +94,8 @@ def splitters(slim: DataFrame, total: int, ranges: int) -> tuple[list[Key], dict
         for r in over:
             own = [x for x in drawn if bisect_right(bounds, x[0]) == r]
             cuts.update(_quantiles(own, max(2, round(sizes[r][0] / aim))))
+        if len(cuts) == len(bounds):  # what is left over shares one key, which nothing can cut
+            break
         bounds = sorted(cuts)
         sizes = _range_sizes(slim, bounds)
     return bounds, sizes

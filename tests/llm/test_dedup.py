@@ -55,6 +55,12 @@ def test_exact_odd_rows(spark):
     assert exact_groups(odd_docs(spark).limit(0)).count() == 0
 
 
+def test_drop_exact_duplicates_keeps_one_row(spark):
+    docs = [(1, "Same Text"), (3, "same text"), (3, "SAME text"), (3, "same text"), (3, "another"), (None, "same text"), (None, "alone"), (None, "ALONE"), (None, "alone"), (9, None), (8, "")]
+    got = sorted((r["doc_id"] or 0, (r["text"] or "").lower()) for r in rows(drop_exact_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))))
+    assert got == [(0, "alone"), (3, "another"), (3, "same text"), (9, "")]
+
+
 # ---- lines ----
 
 

@@ -68,3 +68,21 @@ def test_query(spark, sf):
     text = {r["doc_id"]: r["text"] for r in rows(spark.read.parquet(f"{sf}/documents.parquet"))}
     assert all(r["text_crc32"] == zlib.crc32(text[r["doc_id"]].encode()) and r["law"] == "bytes" and r["grown_shard"] is None for r in got)
     check(got, list(text.items()), 8)
+
+
+@pytest.mark.parametrize("case", ["mixed", "hot"])
+def test_equals_a_plain_cut(spark, case):
+    """Rows in the order of (hash of the text, identifier), each in the shard that holds the middle of its bytes."""
+    from pyspark.sql import functions as F
+
+    some = {"mixed": texts(200, 12), "hot": ["the same text " * 9] * 150 + texts(60, 3)}[case]
+    docs = docs_of(spark, some)
+    key = {r["doc_id"]: r["k"] for r in docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("k")).collect()}
+    size = [len(t.encode()) + 1 for t in some]
+    total, at, want, filled = sum(size), 0, {}, [0] * 8
+    for i in sorted(range(len(some)), key=lambda i: (key[i], i)):
+        shard = min(7, (2 * at + size[i]) * 8 // (2 * total))
+        want[i] = (shard, filled[shard])
+        filled[shard] += 1
+        at += size[i]
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in rows(shard_by_bytes(docs))} == want
