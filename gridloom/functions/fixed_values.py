@@ -80,3 +80,17 @@ PROVINCE_SUFFIXES = ["壮族自治区", "回族自治区", "维吾尔自治区",
 SPECIAL_PARENT_CITIES: list[tuple[str, str]] = [
     ("昆山市", "苏州市"), ("义乌市", "金华市"), ("慈溪市", "宁波市"), ("晋江市", "泉州市"), ("张家港市", "苏州市"), ("句容市", "镇江市"),
 ]
+
+# Patterns of dates (by centuries, and whether a digit before the year is refused), numbers, document numbers
+# and places.
+DATE_PATTERNS: dict[tuple[str, bool], str] = {
+    ("20|19", False): r"(20\d{2}|19\d{2})[-/.年](\d{1,2})[-/.月](\d{1,2})",
+    ("20|19", True): r"(?<!\d)(20\d{2}|19\d{2})[-/.年](\d{1,2})[-/.月](\d{1,2})",
+    ("20", False): r"(20\d{2})[-/.年](\d{1,2})[-/.月](\d{1,2})",
+    ("20", True): r"(?<!\d)(20\d{2})[-/.年](\d{1,2})[-/.月](\d{1,2})",
+}
+CELL_ROW_PATTERN = r"(?:ROW:|[A-Z]+)(\d+)"
+NUMBER_PATTERN = r"(?<!\d)(\d+(?:\.\d+)?)"
+DOCUMENT_NUMBER_PATTERN = r"[一-鿿]{1,8}[〔\[（(]?20\d{2}[〕\]）)]?\d{1,5}号"
+CITY_PATTERN = r"^(.{1,12}?(?:市|自治州|地区|盟))"
+COUNTY_PATTERN = r"^(.{1,12}?(?:区|县|旗|市))"

@@ -9,12 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.fixed_values import MUNICIPALITIES, NATIONAL_WORDS, PROVINCE_SUFFIXES, PROVINCES, SPECIAL_PARENT_CITIES
+from gridloom.functions.fixed_values import CITY_PATTERN, COUNTY_PATTERN, MUNICIPALITIES, NATIONAL_WORDS, PROVINCE_SUFFIXES, PROVINCES, SPECIAL_PARENT_CITIES
 from gridloom.functions.text import clean_text, split_parts, stable_id, without_suffix
 from gridloom.operators.keyed import learn_unambiguous, top_k
 
-_CITY = r"^(.{1,12}?(?:市|自治州|地区|盟))"
-_COUNTY = r"^(.{1,12}?(?:区|县|旗|市))"
 #: Aliases are no longer than this many code points.
 LONGEST_ALIAS = 24
 
@@ -63,11 +61,11 @@ def normalize_geography(df: DataFrame, column: str, cities: DataFrame, learned:
     j = named.join(hits, [key, "pos"], "left")
 
     base = F.when(F.col("rest") != "", F.col("rest")).otherwise(p)
-    parsed = F.nullif(F.regexp_extract(base, _CITY, 1), F.lit(""))
+    parsed = F.nullif(F.regexp_extract(base, CITY_PATTERN, 1), F.lit(""))
     j = j.withColumn("city_name", F.coalesce("c_name", F.when(~F.col("national"), parsed)))
     after = F.when(F.col("alias").isNotNull() & F.col("rest").startswith(F.col("alias")), F.substring("rest", F.char_length("alias") + 1, F.char_length("rest")))
     after = after.when(F.col("alias").isNull() & F.col("city_name").isNotNull(), F.substring(base, F.char_length("city_name") + 1, F.char_length(base))).otherwise("")
-    j = j.withColumn("county", F.nullif(F.regexp_extract(after, _COUNTY, 1), F.lit("")))
+    j = j.withColumn("county", F.nullif(F.regexp_extract(after, COUNTY_PATTERN, 1), F.lit("")))
     if learned is not None:
         j = j.join(learned.select("city_name", F.col("province_name").alias("l_province")), "city_name", "left")
     else:
