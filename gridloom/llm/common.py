@@ -70,17 +70,22 @@ def scratch_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], Da
     paths: list[str] = []
     _scopes.append(paths)
 
+    def leave() -> int:
+        at = next(i for i, other in enumerate(_scopes) if other is paths)  # lists of two scopes may be equal
+        del _scopes[at]
+        return at
+
     def keep(df: DataFrame, name: str) -> DataFrame:
-        _scopes.remove(paths)  # only outer scopes delete it
+        at = leave()  # only outer scopes delete it
         try:
             return written(df, name)
         finally:
-            _scopes.append(paths)
+            _scopes.insert(at, paths)
 
     try:
         yield keep
     finally:
-        _scopes.remove(paths)
+        leave()
         delete_paths(spark, paths)
 
 

@@ -41,6 +41,21 @@ def test_scope_deletes_what_was_written_inside(spark):
     assert not os.path.exists(os.path.dirname(path)) and kept.count() == 3
 
 
+def test_scopes_inside_scopes(spark):
+    """What an inner scope keeps stays until the outer one ends, and what the outer one keeps stays for good."""
+    with common.scratch_scope(spark) as outer:
+        with common.scratch_scope(spark) as inner:
+            gone = common.written(spark.range(2), "gone")
+            middle = inner(spark.range(3), "middle")
+        assert middle.count() == 3
+        with pytest.raises(Exception, match="(?i)not exist|not found|FILE_NOT_EXIST"):
+            gone.collect()
+        last = outer(middle.union(middle), "last")
+    assert last.count() == 6 and not common._scopes
+    with pytest.raises(Exception, match="(?i)not exist|not found|FILE_NOT_EXIST"):
+        middle.collect()
+
+
 def test_slices_bound_the_rows_and_leave_settings_alone(spark):
     batch = pa.RecordBatch.from_arrays([pa.array(range(600))], names=["x"])
     assert [p.num_rows for p in common.slices(iter([batch, batch.slice(0, 0)]))] == [256, 256, 88]

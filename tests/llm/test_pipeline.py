@@ -3,8 +3,9 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 
 from helpers import clashing, odd_docs, rows
-from test_dedup import brute_components, brute_fingerprint, brute_lines
+from test_dedup import brute_lines
 from test_mixing import draw
+from test_near_copies import brute_kept
 from test_packing import check
 
 import corpus_pipeline
@@ -35,7 +36,7 @@ def test_stages_against_brute_force(spark, sf):
             assert {r["doc_id"]: r["text"] for r in got} == {i: w[2] for i, w in want.items()}
             assert all(r["n_chars"] == len(r["text"]) for r in got)
         elif name == "near_dedup":
-            kept = set(brute_components({i: brute_fingerprint(t) for i, t in texts.items()}).values())
+            kept = brute_kept(texts)
             assert {r["doc_id"]: r["text"] for r in got} == {i: texts[i] for i in kept}
         elif name == "mixing":
             sizes = defaultdict(int)
