@@ -155,6 +155,22 @@ def if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= SMALL_ROWS else df
 
 
+def best_rows(df: DataFrame, by: list[str], entry: Column, limit: int, *, fan: int = 16) -> DataFrame:
+    """(by, best): the ``limit`` smallest entries of each key, in order, as an array. ``df`` is stored.
+
+    Parts of some ``fan * limit`` rows are cut to ``limit`` first, then ``fan`` parts at a time are merged, so no task holds more
+    than that of a key, however many rows the key has.
+    """
+    parts = max(1, -(-df.count() // (fan * limit)))
+    cut = lambda entries: F.slice(F.sort_array(entries), 1, limit).alias("best")
+    best = df.select(*by, entry.alias("entry")).withColumn("part", F.pmod(F.xxhash64("entry"), F.lit(parts)))
+    best = best.groupBy(*by, "part").agg(cut(F.collect_list("entry")))
+    while parts > 1:
+        parts = -(-parts // fan)
+        best = best.groupBy(*by, F.pmod("part", F.lit(parts)).alias("part")).agg(cut(F.flatten(F.collect_list("best"))))
+    return best.drop("part")
+
+
 def keep_one(docs: DataFrame, marked: DataFrame, classes: DataFrame, keep: Callable[[DataFrame, str], DataFrame], *, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest identifier, then text hash; a null identifier comes
     last, and of rows with the same identifier and text one stays.
