@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.plans import curation_queries, operator_queries, view_queries
+from gridloom.plans import crawl_queries, curation_queries, operator_queries, view_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (view_queries, operator_queries, curation_queries)
+_MODULES = (view_queries, operator_queries, curation_queries, crawl_queries)
 
 
 def queries() -> dict[str, Query]:

@@ -9,12 +9,13 @@ and one batch.
 
 A phrase that is frequent has frequent parts only. So the walk is run twice, with what is frequent in between:
 
-1. shards of at most ``SHARD_POSITIONS`` positions or one Arrow batch, of one lang each, are written with their words,
-   counts and bitmaps; words are added up over shards and get a number;
-2. pairs of frequent words are counted in every shard, added up, and get a number;
+1. shards of some ``SHARD_POSITIONS`` positions, of one lang each, are written with their words, counts and bitmaps;
+2. pairs of frequent words are counted in every shard;
 3. three and four words are counted along frequent pairs, in one walk.
 
-Frequent words and pairs go back to the shards that hold them by joins; they are broadcast only if measured to be small.
+Words and pairs are added up by windows over the shards' rows, so what is frequent comes back with the shards that hold
+it, after one shuffle. A word or pair has one row for each shard at most, so the most common one has no more rows than
+there are shards. Nothing is broadcast on the way, whatever the size.
 
 Defined cases: a null text is empty; a null lang counts as ``und``; repeated rows count each; a text of any length is
 taken in chunks; texts without words and empty tables give no phrases; other columns are not read.
@@ -26,13 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import best_rows, if_small, lookup, slices, table, whole_text, written
 
 #: Positions after which a shard is closed.
-SHARD_POSITIONS = 4_000_000
+SHARD_POSITIONS = 2_000_000
 #: Bitmap blocks of the phrases that are extended at once, bytes of text split at once.
 BATCH_BLOCKS, CHUNK_BYTES = 100_000, 1 << 20
 SEPARATOR = b"."
@@ -40,6 +41,8 @@ SEPARATOR = b"."
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz......... ")
 _SHARDS = "shard long, lang string, words array<string>, counts array<int>, blocks_of binary, blocks binary, bits binary"
 _NONE = -1
+#: Bits of a word's number in its shard, and of a shard's number in its task: together with the task's they make an id.
+_WORD_BITS, _SHARD_BITS = 25, 16
 
 
 class Words(dict):
@@ -76,11 +79,11 @@ def _unpacked(b: bytes, dtype: type) -> np.ndarray:
 
 def bitmaps(positions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, block, bits) of the blocks that hold a word, by word and then block, without the separator's."""
-    order = np.argsort(positions, kind="stable")[np.count_nonzero(positions == 0) :]
+    order = np.argsort(positions, kind="stable")[np.count_nonzero(positions == 0) :].astype(np.int32)
     word, block = positions[order], order >> 4
-    starts = np.flatnonzero((np.diff(word, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
-    bits = np.bitwise_or.reduceat(np.left_shift(1, order & 15), starts) if len(starts) else np.zeros(0, int)
-    return word[starts], block[starts].astype(np.int32), bits.astype(np.uint16)
+    starts = np.flatnonzero((np.diff(word, prepend=np.int32(-1)) != 0) | (np.diff(block, prepend=np.int32(-1)) != 0))
+    bit = np.left_shift(np.uint16(1), (order & 15).astype(np.uint16))
+    return word[starts], block[starts], np.bitwise_or.reduceat(bit, starts) if len(starts) else bit
 
 
 class _Open:
@@ -98,6 +101,8 @@ class _Open:
         positions = np.concatenate(self.parts)
         word, block, bits = bitmaps(positions)
         n = len(self.numbers)
+        if n > 1 << _WORD_BITS:
+            raise ValueError(f"a shard has {n} different words")
         return {
             "shard": shard, "lang": lang, "words": [w.decode() for w in self.numbers if w != SEPARATOR], "counts": np.bincount(positions, minlength=n)[1:],
             "blocks_of": _packed(np.bincount(word, minlength=n)[1:].astype(np.int32)), "blocks": _packed(np.diff(block, prepend=np.int32(0))), "bits": _packed(bits),
@@ -115,7 +120,9 @@ def shard_bitmaps(docs: DataFrame, *, text_col: str = "text", lang_col: str = "l
 
         def closed(lang: str) -> pa.RecordBatch:
             nonlocal made
-            row = open_shards.pop(lang).row((task << 32) + made, lang)
+            if made == 1 << _SHARD_BITS:
+                raise ValueError(f"a task has over {made} shards; use smaller input splits")
+            row = open_shards.pop(lang).row((task << _SHARD_BITS) + made, lang)
             made += 1
             return pa.RecordBatch.from_pylist([row], schema)
 
@@ -155,10 +162,11 @@ class Shard:
         return np.searchsorted(self.ids, ids)
 
     def batches(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(word, block, bits) of some words each; a word with more blocks than a batch takes comes in several batches."""
-        for at in range(0, len(self.word), BATCH_BLOCKS):
-            part = slice(at, at + BATCH_BLOCKS)
-            yield self.word[part], self.block[part], self.bits[part]
+        """(word, block, bits) of some words each, all blocks of a word together: ``BATCH_BLOCKS`` and those of one word at most."""
+        starts = np.flatnonzero(np.diff(self.word, prepend=np.int32(-1)))
+        cuts = starts[np.flatnonzero(np.diff(starts // BATCH_BLOCKS, prepend=-1))]
+        for at, end in zip(cuts, [*cuts[1:], len(self.word)], strict=True):
+            yield self.word[at:end], self.block[at:end], self.bits[at:end]
 
     def extended(self, block: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(row, word, block, bits): the given bitmaps shifted by one, ANDed with the words' bitmaps, as far as bits are left."""
@@ -198,11 +206,10 @@ def pairs_of(shard: Shard) -> Iterator[tuple[np.ndarray, ...]]:
         yield shard.ids[keys // len(shard.ids)], shard.ids[keys % len(shard.ids)], n
 
 
-def longer_of(shard: Shard, first: np.ndarray, second: np.ndarray, pair: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """(pair, third word, fourth word or -1, count) along the frequent pairs (first, second), numbered by ``pair``."""
-    known = shard.key(shard.places(first), shard.places(second))
-    order = np.argsort(known)
-    known, pair = known[order], pair[order]
+def longer_of(shard: Shard, first: np.ndarray, second: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(first, second, third word, fourth word or -1, count) along the frequent pairs (first, second)."""
+    size = len(shard.ids)
+    known = np.sort(shard.key(shard.places(first), shard.places(second)))
     for word, block, bits in shard.batches():
         row, second, block, bits = shard.extended(block, bits)
         two = _found(shard.key(word[row], second), known)
@@ -213,14 +220,14 @@ def longer_of(shard: Shard, first: np.ndarray, second: np.ndarray, pair: np.ndar
         ok = np.flatnonzero(_found(shard.key(second[row], third), known) >= 0)
         keys, third, block, bits = shard.key(two[row[ok]], third[ok]), third[ok], block[ok], bits[ok]
         three, n = _counted(keys, bits)
-        yield pair[three // len(shard.ids)], shard.ids[three % len(shard.ids)], np.full(len(n), _NONE), n
+        words = lambda three: (shard.ids[known[three // size] // size], shard.ids[known[three // size] % size], shard.ids[three % size])
+        yield *words(three), np.full(len(n), _NONE), n
         node = np.searchsorted(three, keys)
 
         row, fourth, _, bits = shard.extended(block, bits)
         ok = np.flatnonzero(_found(shard.key(third[row], fourth), known) >= 0)
         keys, n = _counted(shard.key(node[row[ok]], fourth[ok]), bits[ok])
-        of = three[keys // len(shard.ids)]
-        yield pair[of // len(shard.ids)], shard.ids[of % len(shard.ids)], shard.ids[keys % len(shard.ids)], n
+        yield *words(three[keys // size]), shard.ids[keys % size], n
 
 
 def _numbers(batch: pa.RecordBatch, column: str, row: int, field: str) -> np.ndarray:
@@ -228,15 +235,15 @@ def _numbers(batch: pa.RecordBatch, column: str, row: int, field: str) -> np.nda
 
 
 def _walked(shards: DataFrame, held: DataFrame, longer: bool) -> DataFrame:
-    """The walk in every shard: (shard, p, w, n) of pairs of the words it holds, or (shard, p, w3, w4, n) along its pairs."""
-    names = ["shard", *(("p", "w3", "w4") if longer else ("p", "w")), "n"]
+    """The walk in every shard: (shard, w1, w2, n) of pairs of the words it holds, or (shard, w1, w2, w3, w4, n) along its pairs."""
+    names = ["shard", *(("w1", "w2", "w3", "w4") if longer else ("w1", "w2")), "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 packed = [batch.column(c)[i].as_py() for c in ("blocks_of", "blocks", "bits")]
                 shard = Shard(*packed, _numbers(batch, "words", i, "at"), _numbers(batch, "words", i, "id"))
-                found = longer_of(shard, *[_numbers(batch, "pairs", i, c) for c in ("p", "w", "id")]) if longer else pairs_of(shard)
+                found = longer_of(shard, *[_numbers(batch, "pairs", i, c) for c in ("w1", "w2")]) if longer else pairs_of(shard)
                 for rows in found:
                     columns = [np.full(len(rows[0]), batch.column("shard")[i].as_py()), *rows]
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
@@ -245,38 +252,33 @@ def _walked(shards: DataFrame, held: DataFrame, longer: bool) -> DataFrame:
     return joined.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def _numbered(counts: DataFrame, keys: list[str], least: int, name: str) -> DataFrame:
-    """Keys found ``least`` times or more in all shards, with their sum, the number of shards and a number of their own."""
-    frequent = counts.groupBy(*keys).agg(F.sum("n").alias("f"), F.count("*").alias("shards")).where(F.col("f") >= least)
-    return written(frequent.withColumn("id", F.monotonically_increasing_id()), name)
+def _frequent(counts: DataFrame, keys: list[str], least: int, own: Column, name: str) -> DataFrame:
+    """Rows of keys found ``least`` times or more in all shards, with the sum ``f`` and the smallest ``own`` number as ``id``."""
+    same = Window.partitionBy(*keys)
+    summed = counts.withColumn("own", own).withColumns({"f": F.sum("n").over(same), "id": F.min("own").over(same)})
+    return written(summed.where(F.col("f") >= least).drop("n"), name)
 
 
-def _by_shard(rows: DataFrame, frequent: DataFrame, on: list[str], entry: list[str], name: str) -> DataFrame:
-    """(shard, name): what is frequent among a shard's own ``rows``, as one array; a shard bounds its length."""
-    values = [*on, "shards", "id"]
-    found = lookup(rows.select("shard", *on, *[c for c in entry if c in rows.columns and c not in on]), frequent.select(*values), on, rows="shards", total=rows.count(), spread=["shard", on[-1]])
-    return found.groupBy("shard").agg(F.collect_list(F.struct(*entry)).alias(name))
+def _by_shard(rows: DataFrame, entry: list[str], name: str) -> DataFrame:
+    """(shard, name): a shard's rows as one array, which the shard bounds."""
+    return rows.groupBy("shard").agg(F.collect_list(F.struct(*entry)).alias(name))
 
 
 def frequent_phrases(docs: DataFrame, *, least: int = 30, text_col: str = "text", lang_col: str = "lang", positions: int = SHARD_POSITIONS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(words, phrases, totals): frequent words (id, lang, word, f); frequent phrases of two to four words
     (w1, w2, w3, w4, f), by the words' ids, -1 where there is none; all words of each lang (lang, n)."""
     shards = written(shard_bitmaps(docs, text_col=text_col, lang_col=lang_col, positions=positions), "phrase-shards")
+    totals = shards.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda n, x: n + x)).alias("n"))
     entries = F.inline(F.arrays_zip(F.sequence(F.lit(0), F.size("words") - 1).alias("at"), F.col("words").alias("word"), F.col("counts").alias("n")))
-    own = shards.where(F.size("words") > 0).select("shard", "lang", entries)
-    totals = own.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = _numbered(own, ["lang", "word"], least, "phrase-words")
-
-    hashed = lambda df: df.withColumn("h", F.xxhash64("lang", "word"))
-    held = _by_shard(hashed(own), hashed(words), ["h", "lang", "word"], ["at", "id"], "words")
-    held = written(held, "phrase-words-held")
-    pair_counts = written(_walked(shards, held, longer=False), "phrase-pair-counts")
-    pairs = _numbered(pair_counts, ["p", "w"], least, "phrase-pairs")
-    pairs_held = _by_shard(pair_counts, pairs, ["p", "w"], ["p", "w", "id"], "pairs")
-    longer = _walked(shards, held.join(pairs_held, "shard"), longer=True).groupBy("p", "w3", "w4").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    longer = longer.join(pairs.select("id", F.col("p").alias("w1"), F.col("w").alias("w2")), longer["p"] == F.col("id")).select("w1", "w2", "w3", "w4", "f")
+    own_words = shards.where(F.size("words") > 0).select("shard", "lang", entries)
+    held = _frequent(own_words, ["lang", "word"], least, F.expr(f"shiftleft(shard, {_WORD_BITS}) + at"), "phrase-words")
+    words = held.where("own = id").select("id", "lang", "word", "f")
+    held = _by_shard(held, ["at", "id"], "words")
+    pairs = _frequent(_walked(shards, held, longer=False), ["w1", "w2"], least, F.col("shard"), "phrase-pairs")
     none = F.lit(_NONE).cast("long")
-    two = pairs.select(F.col("p").alias("w1"), F.col("w").alias("w2"), none.alias("w3"), none.alias("w4"), "f")
+    two = pairs.where("shard = id").select("w1", "w2", none.alias("w3"), none.alias("w4"), "f")
+    longer = _walked(shards, held.join(_by_shard(pairs, ["w1", "w2"], "pairs"), "shard"), longer=True)
+    longer = longer.groupBy("w1", "w2", "w3", "w4").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     return words, written(two.unionByName(longer), "phrases"), totals
 
 

@@ -1,140 +1,48 @@
 """Web pages: text, blocks and links from HTML, merging of broken blocks, completeness, source health.
 
-HTML is parsed by a small stdlib helper, one page at a time inside an Arrow pass; everything after it is DataFrame code.
+HTML is read by a small stdlib helper (``html.py``), one page at a time inside an Arrow pass; everything after it is DataFrame code.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
-from html.parser import HTMLParser
-from urllib.parse import urljoin, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from gridloom.functions.urls import canonical_url
+from gridloom.functions.urls import absolute_url, authority, canonical_url
+from gridloom.operators.html import read_page
 from gridloom.operators.keyed import top_k
 
-_SKIP = {"script", "style", "noscript", "nav", "footer", "header"}
-_BLOCKS = {"h1": "heading", "h2": "heading", "h3": "heading", "p": "text", "li": "text", "tr": "table"}
 #: Punctuation that ends a block.
 END_PUNCTUATION = "。！？；.!?;：:"
-#: Elements that hold a page's main text, by tag, id or class.
-MAIN_TAGS, MAIN_IDS = ("article", "main"), ("UCAP-CONTENT",)
-MAIN_CLASSES = ("TRS_Editor", "article-content", "article_content", "content")
 #: Endings of attached files, and the word that marks them.
 ATTACHMENT_SUFFIXES = [".pdf", ".doc", ".docx", ".xls", ".xlsx", ".zip", ".rar"]
 ATTACHMENT_WORD = "附件"
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-_DYNAMIC = re.compile(r"(__NEXT_DATA__|webpack|ajax|iframe|加载中|请开启JavaScript)", re.I)
-
 BLOCK = "struct<text:string,kind:string,page:int>"
-PAGE = f"page_id long, url string, title string, blocks array<{BLOCK}>, links array<struct<href:string,label:string>>, dynamic boolean"
-
-
-class _Reader(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.skipped = 0
-        self.title: list[str] | None = None
-        self.titles: list[str] = []
-        self.blocks: list[tuple[str, str, int]] = []
-        self.open: tuple[str, list[str]] | None = None
-        self.stack: list[tuple[str, int | None]] = []  # open elements; main ones with their number
-        self.mains: list[list[tuple[str, str, int]]] = []
-        self.links: list[tuple[str, str]] = []
-        self.link: tuple[str, list[str]] | None = None
-
-    def _close_block(self) -> None:
-        if self.open:
-            text = " ".join(" ".join(self.open[1]).split())
-            if text:
-                self.blocks.append((text, self.open[0], 1))
-                for main in {m for _, m in self.stack if m is not None}:
-                    self.mains[main].append(self.blocks[-1])
-            self.open = None
-
-    def _close_link(self) -> None:
-        if self.link:
-            self.links.append((self.link[0], " ".join(" ".join(self.link[1]).split())))
-            self.link = None
-
-    def main_blocks(self) -> list[tuple[str, str, int]]:
-        """Blocks of the main element with the most text; all blocks where there is none."""
-        return max(self.mains, key=lambda m: sum(len(t) for t, _, _ in m), default=self.blocks) or self.blocks
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        named = dict(attrs)
-        is_main = tag in MAIN_TAGS or named.get("id") in MAIN_IDS or not set(MAIN_CLASSES).isdisjoint((named.get("class") or "").split())
-        if tag in _BLOCKS and not self.skipped:
-            self._close_block()
-        if tag not in _VOID:
-            self.stack.append((tag, len(self.mains) if is_main else None))
-            if is_main:
-                self.mains.append([])
-        if tag in _SKIP:
-            self.skipped += 1
-        if tag == "title" and not self.titles:
-            self.title = []
-        if tag in _BLOCKS and not self.skipped:
-            self.open = (_BLOCKS[tag], [])
-        if tag == "a" and (href := named.get("href")):
-            self._close_link()
-            self.link = (href, [])
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in _SKIP and self.skipped:
-            self.skipped -= 1
-        if tag == "title" and self.title is not None:
-            self.titles.append(" ".join(" ".join(self.title).split()))
-            self.title = None
-        if tag in _BLOCKS:
-            self._close_block()
-        if tag == "a":
-            self._close_link()
-        for i in range(len(self.stack) - 1, -1, -1):  # an end tag closes what was left open inside
-            if self.stack[i][0] == tag:
-                if any(m is not None or t in _BLOCKS for t, m in self.stack[i:]):
-                    self._close_block()
-                del self.stack[i:]
-                break
-
-    def handle_data(self, data: str) -> None:
-        if self.title is not None:
-            self.title.append(data)
-        if self.link is not None:
-            self.link[1].append(data)
-        if self.open is not None and not self.skipped:
-            self.open[1].append(data)
-
-
-def read_page(html: str | None) -> tuple[str | None, list[tuple[str, str, int]], list[tuple[str, str]], bool]:
-    """(title, blocks, links, whether the page seems to load its text by script)."""
-    reader = _Reader()
-    reader.feed(html or "")
-    reader.close()
-    reader._close_block()
-    reader._close_link()
-    return (reader.titles[0] or None if reader.titles else None), reader.main_blocks(), reader.links, bool(_DYNAMIC.search(html or ""))
+LINK = "struct<href:string,label:string,is_next:boolean,date_hint:date,skipped:boolean>"
+PAGE = f"page_id long, url string, title string, blocks array<{BLOCK}>, loose string, links array<{LINK}>, dynamic boolean"
+
+
+_LINK = pa.struct([("href", pa.string()), ("label", pa.string()), ("is_next", pa.bool_()), ("date_hint", pa.date32()), ("skipped", pa.bool_())])
+_BLOCK = pa.struct([("text", pa.string()), ("kind", pa.string()), ("page", pa.int32())])
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
     """``PAGE`` rows for pages(page_id, url, html)."""
-    pairs = lambda rows, names, types: pa.array([[dict(zip(names, x, strict=True)) for x in row] for row in rows], pa.list_(pa.struct(list(zip(names, types, strict=True)))))
 
     def run(batches):
         for batch in batches:
             found = [read_page(h) for h in batch.column(2).to_pylist()]
             if not found:
                 continue
-            title, blocks, links, dynamic = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(title, pa.string()), pairs(blocks, ("text", "kind", "page"), (pa.string(), pa.string(), pa.int32())), pairs(links, ("href", "label"), (pa.string(), pa.string())), pa.array(dynamic)],
-                names=["page_id", "url", "title", "blocks", "links", "dynamic"],
-            )
+            blocks = [[{"text": text, "kind": kind, "page": 1} for text, kind in p.blocks] for p in found]
+            columns = [
+                batch.column(0), batch.column(1), pa.array([p.title for p in found], pa.string()), pa.array(blocks, pa.list_(_BLOCK)), pa.array([p.loose for p in found], pa.string()),
+                pa.array([[vars(link) for link in p.links] for p in found], pa.list_(_LINK)), pa.array([p.dynamic for p in found]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "title", "blocks", "loose", "links", "dynamic"])
 
     return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, PAGE)
 
@@ -183,9 +91,10 @@ def completeness(text: Column, title: Column) -> Column:
 
 
 def page_records(parsed: DataFrame) -> DataFrame:
-    """One row per page: merged text, number of blocks and repairs, completeness, parse status."""
+    """One row per page: merged text, or the loose text where no block has any, number of blocks and repairs, completeness, parse status."""
     merged = parsed.withColumn("m", merge_blocks(F.col("blocks")))
-    text = F.array_join(F.transform("m.blocks", lambda b: b["text"]), "\n\n")
+    joined = F.array_join(F.transform("m.blocks", lambda b: b["text"]), "\n\n")
+    text = F.when(joined == "", F.coalesce("loose", F.lit(""))).otherwise(joined)
     full = merged.select("page_id", "url", "title", text.alias("full_text"), F.size("m.blocks").alias("n_blocks"), F.col("m.repairs").alias("n_repairs"), "dynamic")
     return full.withColumn("completeness_score", completeness(F.col("full_text"), F.col("title"))).withColumn("parse_status", F.when(F.char_length("full_text") >= 40, "parsed").otherwise("partial"))
 
@@ -195,39 +104,36 @@ SKIP_WORDS = ["登录", "注册", "首页", "javascript:", "mailto:", "#"]
 SKIP_SUFFIXES = [".jpg", ".jpeg", ".png", ".gif", ".css", ".js", ".zip", ".rar"]
 
 
-@F.arrow_udf(T.StringType())
-def _absolute(base: pa.Array, href: pa.Array) -> pa.Array:
-    def one(b: str | None, h: str | None) -> str | None:
-        try:
-            joined = urljoin(b or "", h or "")
-            return joined if urlsplit(joined).netloc == urlsplit(b or "").netloc else None
-        except ValueError:
-            return None
-
-    return pa.array([one(b, h) for b, h in zip(base.to_pylist(), href.to_pylist(), strict=True)], pa.string())
-
-
-def discover_links(parsed: DataFrame) -> DataFrame:
-    """Links of each page to other pages of its host, each canonical URL once, the first one found."""
-    links = parsed.select("page_id", "url", F.posexplode("links").alias("pos", "link")).select("page_id", "url", "pos", "link.*")
+def page_links(parsed: DataFrame) -> DataFrame:
+    """Links to other pages of the same host: (page_id, page, from_url, pos, target, canonical_url, title_hint, is_next,
+    date_hint); ``page`` is the canonical URL of the page they are on."""
+    links = parsed.select("page_id", F.col("url").alias("from_url"), canonical_url(F.col("url")).alias("page"), F.posexplode("links").alias("pos", "link")).select("page_id", "from_url", "page", "pos", "link.*")
     skip = F.lit(False)
     for w in SKIP_WORDS:
         skip = skip | F.contains(F.lower("href"), F.lit(w)) | F.contains("label", F.lit(w))
-    there = links.where((F.col("href") != "") & ~skip).withColumn("target", _absolute("url", "href")).where("target IS NOT NULL")
+    there = links.where((F.col("href") != "") & ~skip).withColumn("target", absolute_url(F.col("from_url"), F.col("href")))
+    there = there.where(authority(F.col("target")) == authority(F.col("from_url")))
     path = F.lower(F.regexp_replace("target", "[?#].*$", ""))
     for s in SKIP_SUFFIXES:
         there = there.where(~path.endswith(s))
-    named = there.withColumn("canonical_url", canonical_url(F.col("target"))).where(F.col("canonical_url") != canonical_url(F.col("url")))
-    return top_k(named, ["canonical_url"], [F.asc("page_id"), F.asc("pos")]).select("canonical_url", "page_id", "target", F.nullif("label", F.lit("")).alias("title_hint"))
+    named = there.withColumn("canonical_url", canonical_url(F.col("target"))).where(F.col("canonical_url") != F.col("page"))
+    return named.select("page_id", "page", "from_url", "pos", "target", "canonical_url", F.nullif("label", F.lit("")).alias("title_hint"), "is_next", "date_hint")
+
+
+def discover_links(parsed: DataFrame) -> DataFrame:
+    """Links of each page to other pages of its host, each canonical URL once, the first one found."""
+    return top_k(page_links(parsed), ["canonical_url"], [F.asc("page_id"), F.asc("pos")]).select("canonical_url", "page_id", "target", "title_hint")
 
 
 def attachments(parsed: DataFrame) -> DataFrame:
-    """Links that lead to attached files."""
-    links = parsed.select("page_id", "url", F.explode("links").alias("link")).select("page_id", "url", "link.*")
+    """Links that lead to attached files, outside navigation: (page_id, href, label, attachment_url)."""
+    links = parsed.select("page_id", "url", F.explode("links").alias("link")).select("page_id", "url", "link.*").where("NOT skipped")
     path, is_file = F.lower(F.regexp_replace("href", "[?].*$", "")), F.lit(False)
     for s in ATTACHMENT_SUFFIXES:
         is_file = is_file | path.endswith(s)
-    return links.where((F.col("href") != "") & (is_file | F.contains("label", F.lit(ATTACHMENT_WORD))))
+    found = links.where((F.col("href") != "") & (is_file | F.contains("label", F.lit(ATTACHMENT_WORD))))
+    label = F.when(F.col("label") == "", F.col("href")).otherwise(F.col("label"))
+    return found.select("page_id", "url", "href", label.alias("label"), absolute_url(F.coalesce("url", F.lit("")), F.col("href")).alias("attachment_url"))
 
 
 def health_score(official: Column, accessible: Column, has_links: Column, body_ok: Column, listed: Column) -> Column:

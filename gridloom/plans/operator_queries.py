@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +13,7 @@ from gridloom.functions.fuzzy import ratio_udf, weighted_ratio_udf
 from gridloom.operators import geography, ingest, keyed, matching, pages, review, rules, validation, versions
 from gridloom.plans.library import Library, star_sql
 from gridloom.sources import sinks, tables
+from gridloom.sources.scratch import scratch_path as scratch
 from gridloom.streaming import events as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,16 +39,6 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder all executors share; only a local master may leave it unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", None) or ""):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = "file:///tmp/checkpoints"
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # ---- joins -------------------------------------------------------------------------------------------------------
 
 @query("j06_semi_join", "SELECT doc_id, lang FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1)")
