@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,8 +25,8 @@ HEAVY_KEYS, HEAVY_ROWS = 10_000, 10_000
 SMALL_ROWS = 500_000
 #: The column in which operators keep a hash of the whole text, to tell rows of one identifier apart.
 TEXT_HASH = "_text_hash"
-#: Lists of the scratch folders written since each open ``scratch_scope`` began.
-_scopes: list[list[str]] = []
+#: Lists of the scratch folders written since each ``scratch_scope`` began that is open in this thread or task.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scratch_scopes", default=())
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -41,7 +42,7 @@ def scratch_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared scratch folder, which the open scopes delete when they end."""
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    for scope in _scopes:
+    for scope in _scopes.get():
         scope.append(path)
     return path
 
@@ -66,26 +67,23 @@ def delete_paths(spark: SparkSession, paths: list[str]) -> None:
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
-    """Scratch folders written inside are deleted at the end, but for what the scope's ``keep`` has written."""
+    """Scratch folders that the same thread (or asynchronous task) writes inside are deleted at the end, but for what the
+    scope's ``keep`` has written. What other threads write meanwhile is not the scope's."""
     paths: list[str] = []
-    _scopes.append(paths)
-
-    def leave() -> int:
-        at = next(i for i, other in enumerate(_scopes) if other is paths)  # lists of two scopes may be equal
-        del _scopes[at]
-        return at
+    outer = _scopes.get()
+    token = _scopes.set((*outer, paths))
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        at = leave()  # only outer scopes delete it
+        inside = _scopes.set(tuple(scope for scope in _scopes.get() if scope is not paths))  # only outer scopes delete it
         try:
             return written(df, name)
         finally:
-            _scopes.insert(at, paths)
+            _scopes.reset(inside)
 
     try:
         yield keep
     finally:
-        leave()
+        _scopes.reset(token)
         delete_paths(spark, paths)
 
 

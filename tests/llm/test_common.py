@@ -51,11 +51,42 @@ def test_scopes_inside_scopes(spark):
         with pytest.raises(Exception, match="(?i)not exist|not found|FILE_NOT_EXIST"):
             gone.collect()
         last = outer(middle.union(middle), "last")
-    assert last.count() == 6 and not common._scopes
+    assert last.count() == 6 and not common._scopes.get()
     with pytest.raises(Exception, match="(?i)not exist|not found|FILE_NOT_EXIST"):
         middle.collect()
 
 
+def test_scopes_of_two_threads_leave_each_other_alone(spark):
+    import os
+    import threading
+
+    both_open, first_closed = threading.Barrier(2), threading.Event()
+    seen: dict[str, object] = {}
+    folder = lambda df: os.path.dirname(df.inputFiles()[0].removeprefix("file:").replace("///", "/"))
+
+    def first():
+        with common.scratch_scope(spark):
+            both_open.wait(60)
+            seen["first"] = folder(common.written(spark.range(3), "first"))
+        first_closed.set()
+
+    def second():
+        with common.scratch_scope(spark):
+            table = common.written(spark.range(4), "second")
+            both_open.wait(60)
+            first_closed.wait(60)
+            seen["rows"], seen["second"] = table.count(), folder(table)
+
+    threads = [threading.Thread(target=f) for f in (first, second)]
+    outside = common.written(spark.range(5), "outside")
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(120)
+    assert seen["rows"] == 4 and outside.count() == 5
+    assert not os.path.exists(seen["first"]) and not os.path.exists(seen["second"])
+
+
 def test_slices_bound_the_rows_and_leave_settings_alone(spark):
     batch = pa.RecordBatch.from_arrays([pa.array(range(600))], names=["x"])
     assert [p.num_rows for p in common.slices(iter([batch, batch.slice(0, 0)]))] == [256, 256, 88]

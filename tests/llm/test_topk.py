@@ -4,10 +4,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import clashing, rows
 
-from gridloom.llm.topk import ORACLE_SQL, exact_scores, search_cell, top_k
+from gridloom.llm.topk import ORACLE_SQL, _bytes, _distances, _numbers, exact_scores, search_cell, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -63,8 +64,10 @@ def test_far_cells_are_never_shipped(spark, monkeypatch):
 
     seen = []
 
-    def counted(cells, blocks, pivots, own=module.near_pairs):
-        pairs = own(cells, blocks, pivots)
+    near_pairs = module.near_pairs
+
+    def counted(cells, blocks, *more):
+        pairs = near_pairs(cells, blocks, *more)
         seen.append((pairs.count(), cells.count() * blocks.count()))
         return pairs
 
@@ -76,6 +79,69 @@ def test_far_cells_are_never_shipped(spark, monkeypatch):
     assert seen[0][0] < 0.25 * seen[0][1], seen
 
 
+def test_far_vectors_and_pivots(spark):
+    """A few vectors far out, of which some become pivots, beside clusters of short ones."""
+    r = random.Random(6)
+    centres = [[r.gauss(0, 1) for _ in range(8)] for _ in range(5)]
+    for far in (4e3, 4e6):
+        vectors = [(i, [(far if i % 8 == 0 and j == 0 else 0) + c + r.gauss(0, 0.05) for j, c in enumerate(r.choice(centres))], 0) for i in range(1200)]
+        assert got(top_k(spark.createDataFrame(vectors, SCHEMA), cell_rows=50, block_rows=4)) == brute(vectors)
+
+
+@pytest.mark.parametrize("norm", [1e6, 1e8, 1e9, 2e9])
+def test_bounds_hold_with_a_pivot_far_out(norm):
+    r = np.random.default_rng(2)
+    pivots = np.zeros((1, 8))
+    pivots[0, 0] = norm
+    wrong = 0
+    for _ in range(10):
+        x = r.normal(0, 500, (300, 8)).round().astype(np.int64)
+        q = r.normal(0, 500, (40, 8)).round().astype(np.int64)
+        far = lambda v: _distances(v, pivots).astype(np.float32)
+        queries = {"row": -np.arange(1, 41), "v": q, "far": far(q), "floor": np.full(40, -np.inf)}
+        i, j, _ = search_cell(queries, {"row": np.arange(300), "id": np.arange(300), "v": x, "far": far(x)}, 5)
+        scores = q @ x.T
+        for a in range(40):
+            wrong += j[i == a].tolist() != sorted(range(300), key=lambda b: (-scores[a, b], b))[:5]
+    assert not wrong
+
+
+def test_packed_rows_of_any_width():
+    parts = [np.array([[1, -2], [32767, -32768]]), np.array([[40000, 1]]), np.array([[1 << 40, -1]]), np.zeros((0, 2), int)]
+    column = pa.chunked_array([_bytes(m) for m in parts])
+    assert np.array_equal(_numbers(column, 2), np.concatenate(parts))
+    assert [len(b) for b in column.to_pylist()] == [4, 4, 8, 16]
+
+
+def test_vectors_travel_less(spark, monkeypatch):
+    """Without clusters every cell meets every block: a candidate's copies are the blocks, and its bytes are narrow."""
+    import gridloom.llm.topk as module
+
+    r = np.random.default_rng(7)
+    vectors = [(i * 50, [float(x) for x in r.normal(0, 0.2, 64)], 0) for i in range(2600)]
+    df = spark.createDataFrame(vectors, SCHEMA)
+    moved = []
+
+    def noted(df, name, own=module.written):
+        out = own(df, name)
+        if name == "pivot-pairs":
+            moved.append(out.select("cell", "block").distinct().count() / max(1, out.select("cell").distinct().count()))
+        if name == "pivot-cells":
+            moved.append(out.selectExpr("avg(octet_length(v))").first()[0])
+        return out
+
+    monkeypatch.setattr(module, "written", noted)
+    top_k(df, cell_rows=800).count()
+    width, copies = moved
+    old_width, old_copies = 8 * 64, -(-len(vectors) // 1024)
+    assert old_width * old_copies >= 8 * width * copies
+
+
+def test_too_long_vectors_raise(spark):
+    with pytest.raises(Exception, match="64 bits"):
+        top_k(spark.createDataFrame([(0, [1e9, 1.0], 0), (1, [1.0, 1.0], 0)], SCHEMA)).count()
+
+
 def test_repeated_ids_equal_the_sql(spark, tmp_path):
     first = [(0, 1.0), (7, 0.9), (7, 0.5), (8, 0.7), (50, 0.2), (50, 0.3), (100, 1.0)]
     vectors = [(i, [x, 0.1], 0) for i, x in first]
