@@ -14,7 +14,7 @@ A phrase that is frequent has frequent parts only. So the walk is run twice, wit
 3. three and four words are counted along frequent pairs, in one walk.
 
 Words and pairs are added up by windows over the shards' rows, so what is frequent comes back with the shards that hold
-it, after one shuffle. A word or pair has one row for each shard at most, so the most common one has no more rows than
+it, after one shuffle. Frequent words are numbered without gaps, so that two of them make one 64-bit number. A word or pair has one row for each shard at most, so the most common one has no more rows than
 there are shards. Nothing is broadcast on the way, whatever the size.
 
 Defined cases: a null text is empty; a null lang counts as ``und``; repeated rows count each; a text of any length is
@@ -41,6 +41,8 @@ SEPARATOR = b"."
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz......... ")
 _SHARDS = "shard long, lang string, words array<string>, counts array<int>, blocks_of binary, blocks binary, bits binary"
 _NONE = -1
+#: Bits of a word's id where two share a number; ids are below 2^31, so all ones are no word.
+_HALF, _LOW = 32, (1 << 32) - 1
 #: Bits of a word's number in its shard, and of a shard's number in its task: together with the task's they make an id.
 _WORD_BITS, _SHARD_BITS = 25, 16
 
@@ -66,15 +68,17 @@ def word_numbers(texts: list[str], numbers: Words) -> Iterator[np.ndarray]:
 
 
 def _packed(a: np.ndarray) -> bytes:
+    """Compressed, first bytes of all numbers first: the high bytes are mostly zero."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(a.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes() if len(a) else b"")
 
 
 def _unpacked(b: bytes, dtype: type) -> np.ndarray:
     import zstandard
 
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).reshape(-1)
 
 
 def bitmaps(positions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,7 +169,7 @@ class Shard:
         """(word, block, bits) of some words each, all blocks of a word together: ``BATCH_BLOCKS`` and those of one word at most."""
         starts = np.flatnonzero(np.diff(self.word, prepend=np.int32(-1)))
         cuts = starts[np.flatnonzero(np.diff(starts // BATCH_BLOCKS, prepend=-1))]
-        for at, end in zip(cuts, [*cuts[1:], len(self.word)], strict=True):
+        for at, end in zip(cuts, np.append(cuts[1:], len(self.word)), strict=False):
             yield self.word[at:end], self.block[at:end], self.bits[at:end]
 
     def extended(self, block: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -198,18 +202,20 @@ def _found(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
     return np.where(among[np.minimum(at, len(among) - 1)] == keys, at, _NONE) if len(among) else np.full(len(keys), _NONE)
 
 
-def pairs_of(shard: Shard) -> Iterator[tuple[np.ndarray, ...]]:
-    """(first word, second word, count) batch by batch."""
+def pairs_of(shard: Shard) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(pair, count) batch by batch; a pair is its first word's id, then its second's."""
+    size = len(shard.ids)
     for word, block, bits in shard.batches():
         row, second, _, left = shard.extended(block, bits)
         keys, n = _counted(shard.key(word[row], second), left)
-        yield shard.ids[keys // len(shard.ids)], shard.ids[keys % len(shard.ids)], n
+        yield shard.ids[keys // size] << _HALF | shard.ids[keys % size], n
 
 
-def longer_of(shard: Shard, first: np.ndarray, second: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """(first, second, third word, fourth word or -1, count) along the frequent pairs (first, second)."""
+def longer_of(shard: Shard, pairs: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(pair, rest, count) along the frequent ``pairs``; the rest is the third word's id, then the fourth's or all ones."""
     size = len(shard.ids)
-    known = np.sort(shard.key(shard.places(first), shard.places(second)))
+    known = np.sort(shard.key(shard.places(pairs >> _HALF), shard.places(pairs & _LOW)))
+    pair = shard.ids[known // size] << _HALF | shard.ids[known % size]
     for word, block, bits in shard.batches():
         row, second, block, bits = shard.extended(block, bits)
         two = _found(shard.key(word[row], second), known)
@@ -220,31 +226,27 @@ def longer_of(shard: Shard, first: np.ndarray, second: np.ndarray) -> Iterator[t
         ok = np.flatnonzero(_found(shard.key(second[row], third), known) >= 0)
         keys, third, block, bits = shard.key(two[row[ok]], third[ok]), third[ok], block[ok], bits[ok]
         three, n = _counted(keys, bits)
-        words = lambda three: (shard.ids[known[three // size] // size], shard.ids[known[three // size] % size], shard.ids[three % size])
-        yield *words(three), np.full(len(n), _NONE), n
+        yield pair[three // size], shard.ids[three % size] << _HALF | _LOW, n
         node = np.searchsorted(three, keys)
 
         row, fourth, _, bits = shard.extended(block, bits)
         ok = np.flatnonzero(_found(shard.key(third[row], fourth), known) >= 0)
         keys, n = _counted(shard.key(node[row[ok]], fourth[ok]), bits[ok])
-        yield *words(three[keys // size]), shard.ids[keys % size], n
-
-
-def _numbers(batch: pa.RecordBatch, column: str, row: int, field: str) -> np.ndarray:
-    return batch.column(column)[row].values.field(field).to_numpy(zero_copy_only=False)
+        of = three[keys // size]
+        yield pair[of // size], shard.ids[of % size] << _HALF | shard.ids[keys % size], n
 
 
 def _walked(shards: DataFrame, held: DataFrame, longer: bool) -> DataFrame:
-    """The walk in every shard: (shard, w1, w2, n) of pairs of the words it holds, or (shard, w1, w2, w3, w4, n) along its pairs."""
-    names = ["shard", *(("w1", "w2", "w3", "w4") if longer else ("w1", "w2")), "n"]
+    """The walk in every shard: (shard, pair, n) of the words it holds, or (shard, pair, rest, n) along the pairs it holds."""
+    names = ["shard", "pair", *(["rest"] if longer else []), "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 packed = [batch.column(c)[i].as_py() for c in ("blocks_of", "blocks", "bits")]
-                shard = Shard(*packed, _numbers(batch, "words", i, "at"), _numbers(batch, "words", i, "id"))
-                found = longer_of(shard, *[_numbers(batch, "pairs", i, c) for c in ("w1", "w2")]) if longer else pairs_of(shard)
-                for rows in found:
+                words = batch.column("words")[i].values
+                shard = Shard(*packed, *[words.field(c).to_numpy(zero_copy_only=False) for c in ("at", "id")])
+                for rows in longer_of(shard, batch.column("pairs")[i].values.to_numpy(zero_copy_only=False)) if longer else pairs_of(shard):
                     columns = [np.full(len(rows[0]), batch.column("shard")[i].as_py()), *rows]
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
@@ -253,15 +255,28 @@ def _walked(shards: DataFrame, held: DataFrame, longer: bool) -> DataFrame:
 
 
 def _frequent(counts: DataFrame, keys: list[str], least: int, own: Column, name: str) -> DataFrame:
-    """Rows of keys found ``least`` times or more in all shards, with the sum ``f`` and the smallest ``own`` number as ``id``."""
+    """Rows of keys found ``least`` times or more in all shards, with the sum ``f``, the smallest ``own`` number as ``id`` and
+    whether the row is the one with that number, ``first``."""
     same = Window.partitionBy(*keys)
-    summed = counts.withColumn("own", own).withColumns({"f": F.sum("n").over(same), "id": F.min("own").over(same)})
+    summed = counts.withColumns({"f": F.sum("n").over(same), "id": F.min(own).over(same)}).withColumn("first", own == F.col("id"))
     return written(summed.where(F.col("f") >= least).drop("n"), name)
 
 
-def _by_shard(rows: DataFrame, entry: list[str], name: str) -> DataFrame:
-    """(shard, name): a shard's rows as one array, which the shard bounds."""
-    return rows.groupBy("shard").agg(F.collect_list(F.struct(*entry)).alias(name))
+def _without_gaps(words: DataFrame) -> DataFrame:
+    """``words`` with the column ``number``, from 0 on: places in the parts of the written table, after the parts before."""
+    placed = written(words.withColumn("place", F.monotonically_increasing_id()).withColumn("part", F.shiftright("place", 33)), "phrase-words-placed")
+    parts = sorted(placed.groupBy("part").count().collect())  # a row for each part of the table
+    before = [sum(n for _, n in parts[:i]) for i in range(len(parts) + 1)]
+    if before[-1] >= _LOW >> 1:
+        raise ValueError(f"{before[-1]} frequent words")
+    starts = words.sparkSession.createDataFrame([(p, at) for (p, _), at in zip(parts, before, strict=False)], "part long, start long")
+    number = F.col("start") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(starts), "part").withColumn("number", number).drop("part", "place", "start")
+
+
+def _by_shard(rows: DataFrame, entry: Column, name: str) -> DataFrame:
+    """(shard, name): a shard's entries as one array, which the shard bounds."""
+    return rows.groupBy("shard").agg(F.collect_list(entry).alias(name))
 
 
 def frequent_phrases(docs: DataFrame, *, least: int = 30, text_col: str = "text", lang_col: str = "lang", positions: int = SHARD_POSITIONS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -272,14 +287,19 @@ def frequent_phrases(docs: DataFrame, *, least: int = 30, text_col: str = "text"
     entries = F.inline(F.arrays_zip(F.sequence(F.lit(0), F.size("words") - 1).alias("at"), F.col("words").alias("word"), F.col("counts").alias("n")))
     own_words = shards.where(F.size("words") > 0).select("shard", "lang", entries)
     held = _frequent(own_words, ["lang", "word"], least, F.expr(f"shiftleft(shard, {_WORD_BITS}) + at"), "phrase-words")
-    words = held.where("own = id").select("id", "lang", "word", "f")
-    held = _by_shard(held, ["at", "id"], "words")
-    pairs = _frequent(_walked(shards, held, longer=False), ["w1", "w2"], least, F.col("shard"), "phrase-pairs")
+    words = written(_without_gaps(held.where("first").select("id", "lang", "word", "f")), "phrase-words-numbered")
+    held = held.select("shard", "at", "id").join(words.select("id", "number"), "id")
+    held = written(_by_shard(held, F.struct("at", F.col("number").alias("id")), "words"), "phrase-words-held")
+
+    pairs = _frequent(_walked(shards, held, longer=False), ["pair"], least, F.col("shard"), "phrase-pairs")
+    longer = _walked(shards, held.join(_by_shard(pairs, F.col("pair"), "pairs"), "shard"), longer=True)
+    longer = longer.groupBy("pair", "rest").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    no_rest = F.lit(None).cast("long").alias("rest")
+    high, low = lambda c: F.shiftright(c, _HALF), lambda c: F.col(c).bitwiseAND(F.lit(_LOW))
     none = F.lit(_NONE).cast("long")
-    two = pairs.where("shard = id").select("w1", "w2", none.alias("w3"), none.alias("w4"), "f")
-    longer = _walked(shards, held.join(_by_shard(pairs, ["w1", "w2"], "pairs"), "shard"), longer=True)
-    longer = longer.groupBy("w1", "w2", "w3", "w4").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return words, written(two.unionByName(longer), "phrases"), totals
+    ids = [high("pair").alias("w1"), low("pair").alias("w2"), F.coalesce(high("rest"), none).alias("w3"), F.when(low("rest") == _LOW, none).otherwise(F.coalesce(low("rest"), none)).alias("w4")]
+    phrases = pairs.where("first").select("pair", no_rest, "f").unionByName(longer).select(*ids, "f")
+    return words.select(F.col("number").alias("id"), "lang", "word", "f"), written(phrases, "phrases"), totals
 
 
 _KEY = ["k1", "k2", "k3"]

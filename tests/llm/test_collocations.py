@@ -68,23 +68,22 @@ def test_walk_equals_plain_counts(numbers, batch):
     packed = [c._packed(a) for a in (np.bincount(word, minlength=n)[1:].astype(np.int32), np.diff(block, prepend=np.int32(0)), bits)]
     known = np.array([w for w in range(1, n) if w != 3], np.int64)  # word 3 is not frequent
     shard = c.Shard(*packed, (known - 1).astype(np.int64), known * 1000)
+    pack = lambda a, b: (a * 1000) << 32 | (b * 1000)
     runs = lambda k: Counter(tuple(numbers[i : i + k]) for i in range(len(numbers) - k + 1) if not {0, 3} & set(numbers[i : i + k]))
     held, c.BATCH_BLOCKS = c.BATCH_BLOCKS, batch
     try:
         pairs = Counter()
-        for p, w, m in c.pairs_of(shard):
-            for a, b, k in zip(p, w, m, strict=True):
-                assert (int(a) // 1000, int(b) // 1000) not in pairs  # one row of each pair
-                pairs[int(a) // 1000, int(b) // 1000] += int(k)
-        assert pairs == runs(2)
-        some = sorted(pairs)[::2] or [(1, 1)] * (len(known) > 0)
-        if not some:
-            return
-        first, second = (np.array([p[i] * 1000 for p in some], np.int64) for i in (0, 1))
+        for found, m in c.pairs_of(shard):
+            for p, k in zip(found.tolist(), m.tolist(), strict=True):
+                assert p not in pairs  # one row of each pair
+                pairs[p] += k
+        assert pairs == {pack(a, b): k for (a, b), k in runs(2).items()}
+        some = sorted(runs(2))[::2]
         longer = Counter()
-        for found in c.longer_of(shard, first, second):
-            for *run, k in zip(*found, strict=True):
-                longer[tuple(int(w) // 1000 for w in run if w != -1)] += int(k)
+        for p, rest, m in c.longer_of(shard, np.array([pack(*p) for p in reversed(some)], np.int64)):
+            for a, b, k in zip(p.tolist(), rest.tolist(), m.tolist(), strict=True):
+                ids = (a >> 32, a & c._LOW, b >> 32, b & c._LOW)
+                longer[tuple(w // 1000 for w in ids if w != c._LOW)] += k
         want = Counter()
         for k in (3, 4):
             for run, m in runs(k).items():
