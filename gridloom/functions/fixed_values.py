@@ -94,3 +94,6 @@ NUMBER_PATTERN = r"(?<!\d)(\d+(?:\.\d+)?)"
 DOCUMENT_NUMBER_PATTERN = r"[一-鿿]{1,8}[〔\[（(]?20\d{2}[〕\]）)]?\d{1,5}号"
 CITY_PATTERN = r"^(.{1,12}?(?:市|自治州|地区|盟))"
 COUNTY_PATTERN = r"^(.{1,12}?(?:区|县|旗|市))"
+
+# The sheet whose rows are matched to records.
+MATCH_SHEET = "T4 2023年城市需求支持政策"

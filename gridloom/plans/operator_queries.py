@@ -13,6 +13,7 @@ from gridloom.functions.fuzzy import ratio_udf, weighted_ratio_udf
 from gridloom.operators import geography, ingest, keyed, matching, pages, review, rules, validation, versions
 from gridloom.plans.library import Library, star_sql
 from gridloom.sources import sinks, tables
+from gridloom.sources.keyed_table import KeyedTable
 from gridloom.sources.scratch import scratch_path as scratch
 from gridloom.streaming import events as streams
 
@@ -815,7 +816,7 @@ def _(t):
     rows.where("event_id % 2 = 0").write.parquet(folder)
     rows.where("event_id % 2 = 1").write.mode("append").parquet(folder)
     streams.upsert_stream(t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1000).parquet(folder), out, ["user_id"], "event_id", f"{out}-state").awaitTermination()
-    return t.spark.read.parquet(out)
+    return KeyedTable(t.spark, out, ["user_id"], "event_id").read()
 
 
 # ---- ingest, decisions, sources -----------------------------------------------------------------------------------

@@ -45,13 +45,13 @@ def export(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
     return path
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _move(fs, here, there) -> None:
+def move(fs, here, there) -> None:
     if not fs.rename(here, there):
         raise OSError(f"{here} could not be renamed to {there}")
 
@@ -59,16 +59,16 @@ def _move(fs, here, there) -> None:
 def _swap(spark: SparkSession, path: str) -> None:
     """Put the new table beside ``path`` in its place. At every step the old table or the new one is there, the old one
     perhaps under ``.old``; calling this again goes on where it stopped."""
-    fs, here = _fs(spark, path)
-    _, fresh = _fs(spark, f"{path}.building")
-    _, old = _fs(spark, f"{path}.old")
+    fs, here = file_system(spark, path)
+    _, fresh = file_system(spark, f"{path}.building")
+    _, old = file_system(spark, f"{path}.old")
     if fs.exists(fresh):
         if fs.exists(here):
             fs.delete(old, True)
-            _move(fs, here, old)
-        _move(fs, fresh, here)
+            move(fs, here, old)
+        move(fs, fresh, here)
     elif not fs.exists(here) and fs.exists(old):
-        _move(fs, old, here)
+        move(fs, old, here)
     fs.delete(old, True)
 
 
@@ -81,7 +81,7 @@ def publish(df: DataFrame, path: str, checks: Iterable[Callable[[DataFrame], boo
     written = spark.read.parquet(building)
     for check in checks:
         if not check(written):
-            fs, fresh = _fs(spark, building)
+            fs, fresh = file_system(spark, building)
             fs.delete(fresh, True)
             raise ValueError(f"{path}: a check of the new table failed")
     _swap(spark, path)
@@ -90,15 +90,15 @@ def publish(df: DataFrame, path: str, checks: Iterable[Callable[[DataFrame], boo
 def _note(spark: SparkSession, manifest: str, paths: Iterable[str], state: str) -> None:
     fresh = f"{manifest}.new"
     spark.createDataFrame([(path, state) for path in paths], "path string, state string").coalesce(1).write.mode("overwrite").json(fresh)
-    fs, here = _fs(spark, manifest)
+    fs, here = file_system(spark, manifest)
     fs.delete(here, True)
-    _move(fs, _fs(spark, fresh)[1], here)
+    move(fs, file_system(spark, fresh)[1], here)
 
 
 def finish_publish(spark: SparkSession, manifest: str) -> bool:
     """Finish a swap of ``publish_all`` that broke off, as its manifest says; whether there was one. To be called before
     the tables are read again."""
-    fs, here = _fs(spark, manifest)
+    fs, here = file_system(spark, manifest)
     if not fs.exists(here):
         return False
     paths = [r["path"] for r in spark.read.schema("path string, state string").json(manifest).where("state = 'prepared'").collect()]
@@ -128,15 +128,22 @@ def publish_all(tables: Mapping[str, tuple[DataFrame, str]], manifest: str) -> N
 
 
 def release(spark: SparkSession, views: Mapping[str, DataFrame], path: str) -> DataFrame:
-    """A release that is never changed: each view as Parquet and CSV, and a manifest with size and hash of every file."""
-    fs, here = _fs(spark, path)
+    """A release that is never changed: each view as Parquet and CSV, and a manifest with size and hash of every file.
+
+    All of it is written beside ``path`` and renamed last, so a release that is there is whole; what a stopped run has left
+    beside it is cleared first.
+    """
+    fs, here = file_system(spark, path)
     if fs.exists(here):
         raise FileExistsError(path)
-    building = f"{path}.building"
+    building = f"{path.rstrip('/')}.building"
+    _, fresh = file_system(spark, building)
+    fs.delete(fresh, True)
     for name, df in views.items():
-        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{building}/parquet/{name}")
-        csv_safe(df).write.mode("overwrite").option("header", True).csv(f"{building}/csv/{name}")
-    fs.rename(_fs(spark, building)[1], here)
-    manifest = file_hashes(spark, path)
-    manifest.write.json(f"{path}/manifest")
-    return manifest
+        df.write.option("compression", "zstd").parquet(f"{building}/parquet/{name}")
+        csv_safe(df).write.option("header", True).csv(f"{building}/csv/{name}")
+    hashed = file_hashes(spark, building)
+    inside = F.concat(F.lit(f"{path.rstrip('/')}/"), F.substring_index("path", ".building/", -1))
+    hashed.withColumn("path", inside).write.json(f"{building}/manifest")
+    move(fs, fresh, here)
+    return spark.read.schema(hashed.schema).json(f"{path}/manifest")

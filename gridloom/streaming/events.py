@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridloom.operators.keyed import upsert
-from gridloom.sources.sinks import publish
+from gridloom.sources.keyed_table import KeyedTable
 
 
 def _zoned(events: DataFrame, time: str) -> DataFrame:
@@ -26,19 +25,12 @@ def tumbling(events: DataFrame, by: str = "event_type", time: str = "ts", width:
     return timed.groupBy(F.window(time, width).alias("w"), by).agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("value_sum")).select(F.col("w.start").alias("window_start"), by, "n", "value_sum")
 
 
-def upsert_stream(events: DataFrame, path: str, keys: list[str], seq: str, checkpoint: str) -> StreamingQuery:
-    """Keep a table of the last row of each key: every micro-batch is merged into the snapshot at ``path``. A batch that is
-    replayed changes nothing."""
-
-    def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        try:
-            old = spark.read.schema(batch.schema).parquet(path)
-            old.limit(1).count()
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = spark.createDataFrame([], batch.schema)
-        publish(upsert(old, batch, keys, seq), path)
+def upsert_stream(events: DataFrame, path: str, keys: list[str], seq: str, checkpoint: str, buckets: int = 32) -> StreamingQuery:
+    """Keep a table of the last row of each key (``KeyedTable(spark, path, keys, seq)`` reads it): every micro-batch rewrites
+    the buckets of its own keys. A batch that is replayed is left alone."""
+    table = KeyedTable(events.sparkSession, path, keys, seq, buckets)
+
+    def merge(batch: DataFrame, epoch: int) -> None:
+        table.merge(batch, epoch, writer=checkpoint)
 
     return events.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.sources import sinks, tables
+from gridloom.sources.keyed_table import KeyedTable
 from gridloom.streaming import events as streams
 
 
@@ -76,7 +77,7 @@ def test_streams(spark, tmp_path):
     assert spark.read.schema(schema).parquet(f"file://{tmp_path}/out").count() == 6
     for _ in range(2):  # a second run finds nothing new
         streams.upsert_stream(stream, f"file://{tmp_path}/snap", ["event_id"], "value", f"file://{tmp_path}/s2").awaitTermination()
-    assert {(r["event_id"], r["value"]) for r in spark.read.parquet(f"file://{tmp_path}/snap").collect()} == {(i, float(i + 6)) for i in range(6)}
+    assert {(r["event_id"], r["value"]) for r in KeyedTable(spark, f"file://{tmp_path}/snap", ["event_id"], "value").read().collect()} == {(i, float(i + 6)) for i in range(6)}
     live = streams.tumbling(stream, width="6 hours")
     assert live.isStreaming and streams.tumbling(spark.createDataFrame(rows, schema), width="6 hours").agg(F.sum("n")).first()[0] == 12
 
@@ -96,7 +97,7 @@ def test_a_swap_that_stops_half_way_is_finished(spark, tmp_path, monkeypatch):
     """Stopped before any rename, one table or several may be old; none is ever gone, and finishing makes all new."""
     one = lambda *k: spark.createDataFrame([(x,) for x in k], "k int")
     keys = lambda path: sorted(r["k"] for r in spark.read.parquet(path).collect())
-    real = sinks._move
+    real = sinks.move
     for stop in range(1, 8):
         a, b, manifest = (f"file://{tmp_path}/{stop}/{n}" for n in ("a", "b", "manifest"))
         sinks.publish_all({a: (one(1), "k"), b: (one(2), "k")}, manifest)
@@ -108,12 +109,12 @@ def test_a_swap_that_stops_half_way_is_finished(spark, tmp_path, monkeypatch):
                 raise OSError("stopped")
             real(fs, here, there)
 
-        monkeypatch.setattr(sinks, "_move", counted)
+        monkeypatch.setattr(sinks, "move", counted)
         try:
             sinks.publish_all({a: (one(7), "k"), b: (one(8), "k")}, manifest)
         except OSError:
             pass
-        monkeypatch.setattr(sinks, "_move", real)
+        monkeypatch.setattr(sinks, "move", real)
         finished = sinks.finish_publish(spark, manifest)
         assert (keys(a), keys(b)) in ([([7], [8])] if finished or len(moves) < stop or stop > 1 else [([1], [2])]), (stop, finished)
         assert not sinks.finish_publish(spark, manifest)
