@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.fixed_values import CITY_PATTERN, COUNTY_PATTERN, MUNICIPALITIES, NATIONAL_WORDS, PROVINCE_SUFFIXES, PROVINCES, SPECIAL_PARENT_CITIES
 from gridloom.functions.text import clean_text, split_parts, stable_id, without_suffix
+from gridloom.operators.anchors import find_patterns
 from gridloom.operators.keyed import learn_unambiguous, top_k
 
 #: Aliases are no longer than this many code points.
@@ -107,12 +108,11 @@ def match_scope_cities(df: DataFrame, column: str, cities: DataFrame, key: str =
     by_province = whole.join(cities.select("city_id", "province_name"), "province_name").select(
         key, "city_id", F.lit("province_scope").alias("match_method"), F.lit(0.75).alias("confidence"), F.lit("province").alias("jurisdiction_level"), F.lit(None).cast("string").alias("district_name"), F.lit(True).alias("needs_review")
     )
-    # Substrings of the text up to the longest alias, joined by equality.
     rest = text.join(whole.select(key), key, "left_anti")
-    starts = F.sequence(F.lit(1), F.char_length("text"))
-    pieces = F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST_ALIAS), F.char_length("text") - i + 1)), lambda n: F.substring("text", i, n))))
     aliases = cities.select("city_id", F.explode(F.array_distinct(F.concat(F.transform(F.split(F.coalesce("aliases", F.lit("")), r"\|"), lambda a: F.btrim(a)), F.array("city_name", "city_name_short")))).alias("alias")).where("alias <> ''")
-    hits = top_k(rest.select(key, "text", F.explode(F.array_distinct(pieces)).alias("alias")).join(aliases, "alias"), [key, "city_id"], [F.desc(F.char_length("alias")), F.asc("alias")])
+    found = find_patterns(rest, aliases, key=key, pattern_id="city_id", pattern="alias")
+    longest = top_k(found, [key, "city_id"], [F.desc("length"), F.asc("pattern")]).select(key, "city_id", F.col("pattern").alias("alias"))
+    hits = longest.join(rest.select(key, "text"), key)
     own = aliases.groupBy("city_id").agg(F.collect_set("alias").alias("own_aliases"))
     tail = F.btrim(F.substring("text", F.instr("text", F.col("alias")) + F.char_length("alias"), F.char_length("text")), F.lit(" ，,、/；;"))
     district = F.when(tail.rlike("(区|县|旗)$"), tail)

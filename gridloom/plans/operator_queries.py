@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridloom.functions import numbers, text, urls
 from gridloom.functions.fuzzy import ratio_udf, weighted_ratio_udf
 from gridloom.operators import geography, ingest, keyed, matching, pages, review, rules, validation, versions
+from gridloom.operators.intervals import interval_join
 from gridloom.plans.library import Library, star_sql
 from gridloom.sources import sinks, tables
 from gridloom.sources.keyed_table import KeyedTable
@@ -114,8 +115,11 @@ def _(t):
 @query("j18_band_join", """SELECT a.event_id AS left_id, b.event_id AS right_id FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_id < b.event_id
   AND abs(datediff('day', CAST(a.ts AS DATE), CAST(b.ts AS DATE))) <= 1 AND a.event_type = 'signup' AND b.event_type = 'purchase'""")
 def _(t):
-    side = lambda n, kind: t.events.where(F.col("event_type") == kind).select(F.col("event_id").alias(f"{n}_id"), "user_id", F.to_date("ts").alias(f"{n}_day"))
-    return side("left", "signup").join(side("right", "purchase"), "user_id").where((F.col("left_id") < F.col("right_id")) & (numbers.days_apart(F.col("left_day"), F.col("right_day")) <= 1)).select("left_id", "right_id")
+    day = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date"))
+    side = lambda kind, name: t.events.where(F.col("event_type") == kind).select("user_id", F.col("event_id").alias(name), day.alias("day"))
+    bands = side("purchase", "right_id").select("user_id", "right_id", (F.col("day") - 1).alias("since"), (F.col("day") + 1).alias("until"))
+    near = interval_join(side("signup", "left_id"), bands, ["user_id"], "day", "since", "until")
+    return near.where("left_id < right_id").select("left_id", "right_id")
 
 
 # ---- aggregates --------------------------------------------------------------------------------------------------

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridloom.operators.intervals import interval_join
+
 
 def register(spark: SparkSession, folder: str, names: Iterable[str]) -> None:
     """A temporary view for each Parquet table of a folder, under the table's name."""
@@ -82,9 +84,10 @@ def preview(df: DataFrame, condition: Column | None = None, rows: int = 20) -> t
 def cells_in_merged_ranges(cells: DataFrame, ranges: DataFrame) -> DataFrame:
     """Staged cells (sheet, row, col, ...) with the merged range they lie in and whether they are its anchor.
 
-    Ranges (sheet, row0, col0, row1, col1, name) are spelled out cell by cell, so the join is by equality.
+    Ranges (sheet, row0, col0, row1, col1, name) meet the cells by an interval join over rows, whatever their size.
     """
-    spelled = ranges.select(
-        "sheet", F.col("name").alias("merged_range"), F.explode(F.sequence("row0", "row1")).alias("row"), "col0", "col1", "row0",
-    ).select("sheet", "merged_range", "row", F.explode(F.sequence("col0", "col1")).alias("col"), "row0", "col0")
-    return cells.join(spelled, ["sheet", "row", "col"], "left").select(*cells.columns, "merged_range", F.coalesce((F.col("row") == F.col("row0")) & (F.col("col") == F.col("col0")), F.lit(False)).alias("is_anchor"), F.col("merged_range").isNotNull().alias("is_merged"))
+    named = ranges.select("sheet", F.col("name").alias("merged_range"), "row0", "col0", "row1", "col1")
+    inside = interval_join(cells.select("sheet", "row", "col").distinct(), named, ["sheet"], "row", "row0", "row1").where("col BETWEEN col0 AND col1")
+    hits = inside.select("sheet", "row", "col", "merged_range", "row0", "col0")
+    anchor = F.coalesce((F.col("row") == F.col("row0")) & (F.col("col") == F.col("col0")), F.lit(False))
+    return cells.join(hits, ["sheet", "row", "col"], "left").select(*cells.columns, "merged_range", anchor.alias("is_anchor"), F.col("merged_range").isNotNull().alias("is_merged"))
