@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import numbers, text, urls
 from gridloom.functions.fuzzy import ratio_udf, weighted_ratio_udf
-from gridloom.operators import geography, ingest, keyed, matching, pages, review, rules, validation, versions
+from gridloom.operators import geography, ingest, keyed, matching, pages, review, rules, similar, validation, versions
 from gridloom.operators.intervals import interval_join
 from gridloom.plans.library import Library, star_sql
 from gridloom.sources import sinks, tables
@@ -618,6 +618,13 @@ def _(t):
     return matching.accept_best(scored, ["item_id"])
 
 
+@query("d20_similar_titles")
+def _(t):
+    """All pairs of documents whose first lines reach a ratio of 0.95; held against all pairs in tests/test_similar.py."""
+    titles = t.documents.select(F.col("doc_id").alias("left_id"), F.substring_index("text", "\n", 1).alias("text"))
+    return similar.similar_pairs(titles, titles.withColumnRenamed("left_id", "right_id"), 0.95, left_key="left_id", right_key="right_id").where("left_id < right_id")
+
+
 # ---- review ------------------------------------------------------------------------------------------------------
 
 _DIAGNOSE_SQL = """SELECT doc_id, CASE WHEN ps = 'parser_error' THEN 'parser_error' WHEN att AND t = '' THEN 'attachment_missing' WHEN dyn AND length(t) < 80 THEN 'dynamic_page_missing' WHEN rep > 0 THEN 'segmentation_error'
