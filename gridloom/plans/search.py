@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.plans.library import Library, is_official
-from gridloom.plans.views import CITY_LEVELS, city_timeline, geography_base, policy_master
+from gridloom.plans.views import CITY_LEVELS, city_timeline, geography_base, policy_master, topics_by_record
 
 #: Columns of a result without the full text; the scan then leaves that column alone.
 NARROW = ("record_id", "record_date", "title", "summary", "city_name", "geography_original", "topics", "direction", "official_status", "source_quality", "primary_source_url", "source_sheet", "manual_review_status")
@@ -72,7 +72,11 @@ def stats(lib: Library, group_by: Sequence[str]) -> DataFrame:
     names = [g for g in group_by if g in GROUPS]
     if not names:
         raise ValueError("no supported group_by fields")
-    return policy_master(lib).groupBy(*[GROUPS[g]("record_date").alias(g) for g in names]).agg(F.count("*").alias("policy_count")).orderBy(*[F.asc_nulls_last(g) for g in names])
+    needed = ["record_date", *(c for c in ("direction", "source_quality") if c in names)]
+    counted = lib.records.select("record_id", *needed).join(lib.jurisdictions.select("record_id", F.col("jurisdiction_name").alias("city_name")), "record_id", "left")
+    if "topic" in names:  # topics are put together for that alone
+        counted = counted.join(topics_by_record(lib), "record_id", "left")
+    return counted.groupBy(*[GROUPS[g]("record_date").alias(g) for g in names]).agg(F.count("*").alias("policy_count")).orderBy(*[F.asc_nulls_last(g) for g in names])
 
 
 def dated(panel: DataFrame, start: str | dt.date | None = None, end: str | dt.date | None = None) -> DataFrame:
