@@ -7,10 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.numbers import is_blank
+from gridloom.functions.fixed_values import MATCH_SHEET, OTHER_TOPIC
+from gridloom.functions.numbers import cell_row, is_blank
 from gridloom.functions.text import first_line_title, strip, task_id
 from gridloom.functions.urls import is_valid_url
-from gridloom.operators.keyed import insert_ignore, top_k
+from gridloom.operators.keyed import insert_ignore, keep_first, top_k
+from gridloom.operators.rules import classify
 from gridloom.plans.library import is_official
 
 COLUMNS = ("task_id", "record_id", "review_type", "field_name", "source_sheet", "source_cell", "old_value", "suggested_value", "confidence", "status", "evidence_url")
@@ -168,6 +170,44 @@ def verdict(official_status: Column, conflicts: Column, completeness: Column, ag
     )
 
 
+#: Cells of a matrix sheet that are layout, by their value or the end of their heading.
+LAYOUT_VALUE, LAYOUT_HEADING = "目录", "政策现状"
+
+
+def triage_signals(tasks: DataFrame, records: DataFrame, cells: DataFrame, features: DataFrame, candidates: DataFrame, match_sheet: str = MATCH_SHEET) -> DataFrame:
+    """``tasks`` with what ``triage`` looks at, found in the tables by joins, each with one row for its key.
+
+    ``records`` (record_id, title, summary, full_text, primary_source_url); ``cells`` of the matrix sheet (source_cell,
+    cell_value, original_field_name, is_merged); ``features`` (record_id, source_sheet, source_cell); ``candidates``
+    (source_row, candidate_record_id, match_score, review_status). Of the feature tasks of one row, the one with the
+    smallest task_id is the first. Texts are read for the records of tasks that look at them only.
+    """
+    needed = tasks.where(F.col("review_type").isin("missing_title", "missing_source", "low_confidence")).select("record_id").distinct()
+    words = F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("title", "summary", "full_text")])
+    none = F.lit(None)
+    found = diagnose(F.col("full_text"), F.col("primary_source_url"), none.cast("string"), none.cast("boolean"), none.cast("boolean"), none.cast("int"))
+    told = records.join(needed, "record_id", "left_semi").select(
+        "record_id", F.col("full_text").alias("text"), found.alias("_d"), F.exists(classify(words), lambda x: x["topic"] != OTHER_TOPIC).alias("topics_found")
+    ).select("record_id", "text", "topics_found", F.col("_d.repairable").alias("repairable"), F.col("_d.confidence").alias("diagnosis_confidence"))
+
+    value, header = F.btrim(F.coalesce("cell_value", F.lit(""))), F.btrim(F.coalesce("original_field_name", F.lit("")))
+    laid_out = keep_first(cells, ["source_cell"], "source_cell").select("source_cell", "is_merged", value.alias("cell_value"), header.alias("header"), ((value == LAYOUT_VALUE) | header.endswith(LAYOUT_HEADING)).alias("is_heading"))
+
+    linked = features.where((F.col("source_sheet") == match_sheet) & F.col("record_id").isNotNull()).select(F.regexp_extract("source_cell", r"(\d+)", 1).try_cast("bigint").alias("_row")).where("_row IS NOT NULL").distinct()
+    pending = candidates.where("review_status = 'pending'").select(F.col("source_row").cast("bigint").alias("_row"), F.col("match_score").cast("double").alias("score"), "candidate_record_id")
+    two = top_k(pending, ["_row"], [F.desc("score"), F.asc("candidate_record_id")], 2, rank="_n").groupBy("_row")
+    rank = lambda n: F.max(F.when(F.col("_n") == n, F.col("score")))
+    best = two.agg(rank(1).alias("best"), (rank(1) - F.coalesce(rank(2), F.lit(0.0))).alias("margin"))
+
+    placed = tasks.withColumn("_row", F.when(F.col("review_type") == "unmatched_t4", cell_row(F.col("source_cell"))))
+    is_feature = F.coalesce(F.col("field_name").startswith("policy_features") & F.col("_row").isNotNull(), F.lit(False))
+    first = placed.where(is_feature).groupBy("_row").agg(F.min("task_id").alias("_first"))
+    matched = F.when(F.col("review_type") == "unexplained_t2", F.col("source_cell")).alias("_cell")
+    joined = placed.withColumn("_cell", matched).join(told, "record_id", "left").join(laid_out.withColumnRenamed("source_cell", "_cell"), "_cell", "left")
+    joined = joined.join(linked.withColumn("already_linked", F.lit(True)), "_row", "left").join(best, "_row", "left").join(first, "_row", "left")
+    return joined.withColumn("first_in_row", F.coalesce(is_feature & (F.col("task_id") == F.col("_first")), F.lit(False))).drop("_row", "_cell", "_first")
+
+
 def triage(all_tasks: DataFrame) -> DataFrame:
     """Tasks with automation_status, diagnostic_confidence and suggested_value by the ladder of their type.
 

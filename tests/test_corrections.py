@@ -83,3 +83,33 @@ def test_the_later_of_two_ways_to_a_cell_counts(spark):
     for order, want in ((rows, "row"), (rows[::-1], "cell"), ([*rows[::-1], ("b", *rows[1][1:2], "row again", "approved")], "cell")):
         changes = spark.createDataFrame([(i, *r) for i, r in enumerate(order)], "seq long, record_id string, field_name string, new_value string, decision string")
         assert c.correct_features(features, c.routed(changes)).first()["record_id"] == want
+
+
+def test_signals_of_triage_are_found_in_the_tables(spark):
+    from gridloom.operators import review
+
+    task = "task_id string, review_type string, record_id string, field_name string, source_cell string, old_value string, suggested_value string, confidence double"
+    feature, candidate = "policy_features.record_id", "t4_match_candidates.candidate_record_id"
+    tasks = [
+        ("a", "unexplained_t2", None, "cell", "B1", None, None, None), ("b", "unexplained_t2", None, "cell", "B2", None, None, None), ("c", "unexplained_t2", None, "cell", "B9", None, None, None),
+        ("d", "missing_source", "R1", "records.full_text", None, None, None, None), ("e", "missing_source", "R2", "records.full_text", None, None, None, None),
+        ("f", "missing_title", "R3", "records.title", None, None, None, None), ("g", "low_confidence", "R3", "t", None, None, None, None), ("h", "low_confidence", "R1", "t", None, None, None, None),
+        ("i", "unmatched_t4", None, feature, "A7", None, None, None), ("j", "unmatched_t4", None, feature, "C7", None, None, None), ("k", "unmatched_t4", None, candidate, "ROW:8:R2", None, None, None),
+        ("l", "unmatched_t4", None, feature, "A9", None, None, None), ("m", "unmatched_t4", None, feature, "A10", None, None, None), ("n", "unmatched_t4", None, feature, "D10", None, None, None),
+    ]
+    records = [("R1", None, None, None, None), ("R2", None, None, "", "https://a.org"), ("R3", None, "关于限购的通知", "A usable first line\nmore", None)]
+    cells = [("B1", " 目录 ", "x", True), ("B2", "value", "x", True), ("B2", "value", "x", True)]
+    features = [("R1", MATCH_SHEET, "A9"), (None, MATCH_SHEET, "A7"), ("R1", "other", "A7")]
+    candidates = [(7, "R1", 80.0, "pending"), (8, "R2", 95.0, "pending"), (8, "R1", 91.0, "pending"), (8, "R3", 99.0, "approved"), (10, "R1", 60.0, "pending")]
+    found = review.triage_signals(
+        spark.createDataFrame(tasks, task), spark.createDataFrame(records, "record_id string, title string, summary string, full_text string, primary_source_url string"),
+        spark.createDataFrame(cells, "source_cell string, cell_value string, original_field_name string, is_merged boolean"), spark.createDataFrame(features, "record_id string, source_sheet string, source_cell string"),
+        spark.createDataFrame(candidates, "source_row int, candidate_record_id string, match_score double, review_status string"),
+    )
+    assert found.count() == len(tasks)
+    got = {r["task_id"]: (r["automation_status"], r["diagnostic_confidence"]) for r in review.triage(found).collect()}
+    assert got == {
+        "a": ("rejected", 0.98), "b": ("auto_repaired_segmentation", 0.9), "c": ("auto_repaired_segmentation", 0.9), "d": ("manual_review_required", 0.85), "e": ("pending_diagnosis", 0.9),
+        "f": ("auto_reparsed", 0.93), "g": ("auto_reparsed", 0.91), "h": ("manual_review_required", 0.65), "i": ("pending_diagnosis", 0.8), "j": ("rejected", 0.99), "k": ("auto_verified", 0.95),
+        "l": ("auto_verified", 0.99), "m": ("manual_review_required", 0.6), "n": ("rejected", 0.99),
+    }
