@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from gridloom.api import VIEWS, Database
+from gridloom.api import TABLE_VIEWS, VIEWS, Database
 from gridloom.session import local_session
 
 
@@ -24,9 +24,9 @@ def parser() -> argparse.ArgumentParser:
     find.add_argument("--limit", type=int, default=20)
     commands.add_parser("stats").add_argument("group_by", nargs="+")
     commands.add_parser("views")
-    commands.add_parser("view").add_argument("name", choices=VIEWS)
+    commands.add_parser("view").add_argument("name", choices=[*VIEWS, *TABLE_VIEWS])
     out = commands.add_parser("export")
-    out.add_argument("name", choices=VIEWS)
+    out.add_argument("name", choices=[*VIEWS, *TABLE_VIEWS])
     out.add_argument("path")
     return p
 
@@ -34,7 +34,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     if args.command == "views":
-        print("\n".join(VIEWS))
+        print("\n".join([*VIEWS, *TABLE_VIEWS]))
         return
     db = Database.open(local_session(), args.folder)
     if args.command == "search":

@@ -12,9 +12,21 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.functions.fixed_values import FINANCING_SHEET, WHITE_LIST_PREFIX
 from gridloom.plans import search, views
 from gridloom.plans.library import HOUSING, Library, Measures
 from gridloom.sources import sinks
+from gridloom.sources.tables import read_or_empty
+
+#: First month of the grids.
+GRID_START = dt.date(2018, 1, 1)
+
+
+def grid_end(today: dt.date) -> dt.date:
+    """The last month of a grid: the last month start before a month from ``today``."""
+    last = dt.date(today.year + today.month // 12, today.month % 12 + 1, 1)
+    return last if today.day > 1 else today
+
 
 VIEWS: dict[str, Callable[[Library], DataFrame]] = {
     "v_policy_master": views.policy_master,
@@ -40,17 +52,31 @@ VIEWS: dict[str, Callable[[Library], DataFrame]] = {
     "v_urban_renewal_policies": views.urban_renewal,
     "v_information_completeness": views.information_completeness,
     "v_policy_105_cities": views.scope_cities,
+    "v_white_list_events": lambda lib: views.sheet_events(lib, prefix=WHITE_LIST_PREFIX),
+    "v_psl_financing_events": lambda lib: views.sheet_events(lib, sheet=FINANCING_SHEET),
+    "v_city_month_policy_panel_105": lambda lib: views.grid_panel(lib, grid_end(dt.date.today()), GRID_START),
+    "v_city_year_policy_panel_105": lambda lib: views.grid_year_panel(lib, grid_end(dt.date.today()), GRID_START),
 }
 
 
-#: First month of the grids.
-GRID_START = dt.date(2018, 1, 1)
+def _features(read: Callable[[str, str], DataFrame], lib: Library) -> DataFrame:
+    features = read("policy_features", "record_id string, feature_name string, feature_value string, source_cell string")
+    return views.features_resolved(features, read("auto_t4_links", "source_cell string, record_id string"))
 
 
-def grid_end(today: dt.date) -> dt.date:
-    """The last month of a grid: the last month start before a month from ``today``."""
-    last = dt.date(today.year + today.month // 12, today.month % 12 + 1, 1)
-    return last if today.day > 1 else today
+def _coverage(read: Callable[[str, str], DataFrame], lib: Library) -> DataFrame:
+    sheet = "source_sheet string, collection_code string, collection_name string, subcollection_code string, subcollection_name string, source_kind string"
+    mapped = read("source_sheet_collections", f"{sheet}, mapping_role string").where("mapping_role = 'primary'")
+    return views.source_coverage(lib, mapped.drop("mapping_role"))
+
+
+#: Views that read curated tables which play no role in others: name, and a function of (reader of a table, library).
+TABLE_VIEWS: dict[str, Callable[[Callable[[str, str], DataFrame], Library], DataFrame]] = {
+    "v_policy_quantitative_measures": lambda read, lib: read("quantitative_measures", ""),
+    "v_policy_relations": lambda read, lib: read("policy_relations", ""),
+    "v_policy_features_resolved": _features,
+    "v_source_collection_coverage": _coverage,
+}
 
 
 class Research:
@@ -82,15 +108,24 @@ class Research:
 
 
 class Database:
-    def __init__(self, lib: Library):
-        self.lib = lib
+    """``folder`` is where views find curated tables besides those of the library; without one they don't know them."""
+
+    def __init__(self, lib: Library, folder: str | None = None):
+        self.lib, self.folder = lib, folder
         self.research = Research(lib)
 
     @classmethod
     def open(cls, spark: SparkSession, folder: str, measures: Measures = HOUSING) -> Database:
-        return cls(Library.from_curated(spark, folder, measures))
+        return cls(Library.from_curated(spark, folder, measures), folder)
+
+    def table(self, name: str, schema: str = "") -> DataFrame:
+        """A curated table; given a schema, its columns, and no rows if there is no such table."""
+        spark, path = self.lib.records.sparkSession, f"{self.folder}/{name}.parquet"
+        return read_or_empty(spark, path, schema) if schema else spark.read.parquet(path)
 
     def view(self, name: str) -> DataFrame:
+        if name in TABLE_VIEWS and self.folder is not None:
+            return TABLE_VIEWS[name](self.table, self.lib)
         if name not in VIEWS:
             raise ValueError(f"unknown view: {name}")
         return VIEWS[name](self.lib)

@@ -97,3 +97,6 @@ COUNTY_PATTERN = r"^(.{1,12}?(?:区|县|旗|市))"
 
 # The sheet whose rows are matched to records.
 MATCH_SHEET = "T4 2023年城市需求支持政策"
+
+# Sheets of events, by the start of their name or by name.
+WHITE_LIST_PREFIX, FINANCING_SHEET = "房地产项目白名单", "PSL专项贷款"

@@ -104,3 +104,26 @@ def test_publish_all_changes_every_table_or_none(spark, tmp_path):
         publish_all({a: (table(7), "k"), b: (table(8, 8), "k")}, manifest)
     assert sorted(r["k"] for r in spark.read.parquet(a).collect()) == [1, 2]
     assert [r["k"] for r in spark.read.parquet(b).collect()] == [3]
+
+
+def test_views_over_other_curated_tables(spark, folder, tmp_path):
+    import shutil
+
+    there = f"{tmp_path}/curated"
+    shutil.copytree(folder, there)
+    put = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{there}/{name}.parquet")
+    put("quantitative_measures", [("R1", 2.5)], "record_id string, value double")
+    put("policy_features", [("R1", "f", "v", "A1"), (None, "f", "w", "A2"), (None, "f", "x", "A3")], "record_id string, feature_name string, feature_value string, source_cell string")
+    put("auto_t4_links", [("A2", "R2")], "source_cell string, record_id string")
+    put("source_sheet_collections", [("sheet 1", "c", "primary"), ("nowhere", "c", "primary"), ("sheet 1", "d", "secondary")], "source_sheet string, collection_code string, mapping_role string")
+    db = Database.open(spark, there, STAR)
+    assert db.view("v_policy_quantitative_measures").first()[:] == ("R1", 2.5)
+    assert {(r["source_cell"], r["record_id"], r["link_source"]) for r in db.view("v_policy_features_resolved").collect()} == {("A1", "R1", "curated"), ("A2", "R2", "deterministic_auto_match"), ("A3", None, "curated")}
+    coverage = {r["source_sheet"]: r["staging_cell_count"] for r in db.view("v_source_collection_coverage").collect()}
+    assert set(coverage) == {"sheet 1", "nowhere"} and coverage["nowhere"] == 0
+    assert db.view("v_white_list_events").count() == 0 == db.view("v_psl_financing_events").count()
+    assert db.view("v_city_year_policy_panel_105").count() > 0
+    with pytest.raises(Exception, match="(?i)path.not.found|not exist"):
+        db.view("v_policy_relations").count()
+    with pytest.raises(ValueError, match="unknown view"):
+        Database(db.lib).view("v_policy_relations")
