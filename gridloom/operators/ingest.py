@@ -102,13 +102,16 @@ def sheet_records(rows: DataFrame, kinds: DataFrame) -> DataFrame:
 
 
 def matrix_rules(cells: DataFrame, mark: str = "政策现状", first_row: int = 3, first_column: int = 3) -> DataFrame:
-    """Rules of a city matrix, wide to long: a heading in row 1 holds for the columns up to the next one, row 2 (or 3)
-    names the dimension. ``cells``: row, col, value, source_cell."""
-    value = clean_text(F.col("value"))
-    clean = cells.select("row", "col", value.alias("value"), "source_cell")
+    """Rules of city matrices, wide to long: a heading in row 1 holds for the columns up to the next one, row 2 (or 3)
+    names the dimension. ``cells``: row, col, value, source_cell, and sheet where there are several."""
+    sheet = F.col("sheet") if "sheet" in cells.columns else F.lit("")
+    place = ["_sheet", "col"]
+    clean = cells.select(sheet.alias("_sheet"), "row", "col", clean_text(F.col("value")).alias("value"), "source_cell")
     heading = F.when(F.contains("value", F.lit(mark)), F.btrim(F.substring_index("value", mark, 1)))
-    heads = clean.where("row = 1").select("col", heading.alias("city"))
-    columns = clean.select("col").distinct().join(heads, "col", "left").withColumn("city", F.last("city", ignorenulls=True).over(Window.partitionBy(F.lit(0)).orderBy("col").rowsBetween(Window.unboundedPreceding, 0)))  # the columns of one sheet
-    dimensions = clean.where("row IN (2, 3)").groupBy("col").agg(F.coalesce(F.max(F.when(F.col("row") == 2, F.col("value"))), F.max(F.when(F.col("row") == 3, F.col("value")))).alias("policy_dimension"))
+    heads = clean.where("row = 1").select(*place, heading.alias("city"))
+    across = Window.partitionBy("_sheet").orderBy("col").rowsBetween(Window.unboundedPreceding, 0)
+    columns = clean.select(*place).distinct().join(heads, place, "left").withColumn("city", F.last("city", ignorenulls=True).over(across))
+    named = lambda row: F.max(F.when(F.col("row") == row, F.col("value")))
+    dimensions = clean.where("row IN (2, 3)").groupBy(*place).agg(F.coalesce(named(2), named(3)).alias("policy_dimension"))
     body = clean.where((F.col("row") >= first_row) & (F.col("col") >= first_column) & F.col("value").isNotNull())
-    return body.join(columns, "col").where("city IS NOT NULL").join(dimensions, "col", "left").select(stable_id(F.col("city"), prefix="JUR", clean=False).alias("jurisdiction_id"), F.col("city").alias("city_name"), "policy_dimension", F.col("value").alias("rule_text"), "source_cell")
+    return body.join(columns, place).where("city IS NOT NULL").join(dimensions, place, "left").select(*([F.col("_sheet").alias("sheet")] if "sheet" in cells.columns else []), stable_id(F.col("city"), prefix="JUR", clean=False).alias("jurisdiction_id"), F.col("city").alias("city_name"), "policy_dimension", F.col("value").alias("rule_text"), "source_cell")

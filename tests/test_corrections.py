@@ -113,3 +113,14 @@ def test_signals_of_triage_are_found_in_the_tables(spark):
         "f": ("auto_reparsed", 0.93), "g": ("auto_reparsed", 0.91), "h": ("manual_review_required", 0.65), "i": ("pending_diagnosis", 0.8), "j": ("rejected", 0.99), "k": ("auto_verified", 0.95),
         "l": ("auto_verified", 0.99), "m": ("manual_review_required", 0.6), "n": ("rejected", 0.99),
     }
+
+
+def test_matrices_of_several_sheets(spark):
+    from gridloom.operators import ingest
+
+    cells = [("a", 1, 3, "甲政策现状", "C1"), ("a", 2, 3, "dim", "C2"), ("a", 5, 3, "rule", "C5"), ("a", 5, 4, "next", "D5"), ("b", 1, 4, "乙政策现状", "D1"), ("b", 5, 3, "no city", "C5"), ("b", 5, 4, "other", "D5"), ("b", 3, 4, "third", "D3")]
+    df = spark.createDataFrame(cells, "sheet string, row int, col int, value string, source_cell string")
+    got = {(r["sheet"], r["city_name"], r["policy_dimension"], r["rule_text"]) for r in ingest.matrix_rules(df, first_row=4).collect()}
+    assert got == {("a", "甲", "dim", "rule"), ("a", "甲", None, "next"), ("b", "乙", "third", "other")}
+    one = ingest.matrix_rules(df.where("sheet = 'a'").drop("sheet"), first_row=4)
+    assert "sheet" not in one.columns and one.count() == 2
