@@ -15,7 +15,7 @@ A phrase that is frequent has frequent parts only. So the walk is run twice, wit
 
 Words and pairs are added up by windows over the shards' rows, so what is frequent comes back with the shards that hold
 it, after one shuffle. Frequent words are numbered without gaps, so that two of them make one 64-bit number. A word or pair has one row for each shard at most, so the most common one has no more rows than
-there are shards. Nothing is broadcast on the way, whatever the size.
+there are shards. Only numbers of words are broadcast, if they are counted to be few.
 
 Defined cases: a null text is empty; a null lang counts as ``und``; repeated rows count each; a text of any length is
 taken in chunks; texts without words and empty tables give no phrases; other columns are not read.
@@ -237,15 +237,16 @@ def longer_of(shard: Shard, pairs: np.ndarray) -> Iterator[tuple[np.ndarray, ...
 
 
 def _walked(shards: DataFrame, held: DataFrame, longer: bool) -> DataFrame:
-    """The walk in every shard: (shard, pair, n) of the words it holds, or (shard, pair, rest, n) along the pairs it holds."""
+    """The walk in every shard: (shard, pair, n) of the words it holds, which come as their places there and their ids, or
+    (shard, pair, rest, n) along the pairs it holds."""
     names = ["shard", "pair", *(["rest"] if longer else []), "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 packed = [batch.column(c)[i].as_py() for c in ("blocks_of", "blocks", "bits")]
-                words = batch.column("words")[i].values
-                shard = Shard(*packed, *[words.field(c).to_numpy(zero_copy_only=False) for c in ("at", "id")])
+                words = batch.column("words")[i].values.to_numpy(zero_copy_only=False)
+                shard = Shard(*packed, words >> _HALF, words & _LOW)
                 for rows in longer_of(shard, batch.column("pairs")[i].values.to_numpy(zero_copy_only=False)) if longer else pairs_of(shard):
                     columns = [np.full(len(rows[0]), batch.column("shard")[i].as_py()), *rows]
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
@@ -254,12 +255,13 @@ def _walked(shards: DataFrame, held: DataFrame, longer: bool) -> DataFrame:
     return joined.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def _frequent(counts: DataFrame, keys: list[str], least: int, own: Column, name: str) -> DataFrame:
+def _frequent(counts: DataFrame, keys: list[str], least: int, own: Column, once: list[str], name: str) -> DataFrame:
     """Rows of keys found ``least`` times or more in all shards, with the sum ``f``, the smallest ``own`` number as ``id`` and
-    whether the row is the one with that number, ``first``."""
+    whether the row is the one with that number, ``first``. Columns in ``once`` are kept in that row alone."""
     same = Window.partitionBy(*keys)
     summed = counts.withColumns({"f": F.sum("n").over(same), "id": F.min(own).over(same)}).withColumn("first", own == F.col("id"))
-    return written(summed.where(F.col("f") >= least).drop("n"), name)
+    kept = summed.where(F.col("f") >= least).drop("n")
+    return written(kept.withColumns({c: F.when(F.col("first"), F.col(c)) for c in once}), name)
 
 
 def _without_gaps(words: DataFrame) -> DataFrame:
@@ -286,12 +288,12 @@ def frequent_phrases(docs: DataFrame, *, least: int = 30, text_col: str = "text"
     totals = shards.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda n, x: n + x)).alias("n"))
     entries = F.inline(F.arrays_zip(F.sequence(F.lit(0), F.size("words") - 1).alias("at"), F.col("words").alias("word"), F.col("counts").alias("n")))
     own_words = shards.where(F.size("words") > 0).select("shard", "lang", entries)
-    held = _frequent(own_words, ["lang", "word"], least, F.expr(f"shiftleft(shard, {_WORD_BITS}) + at"), "phrase-words")
+    held = _frequent(own_words, ["lang", "word"], least, F.expr(f"shiftleft(shard, {_WORD_BITS}) + at"), ["lang", "word", "f"], "phrase-words")
     words = written(_without_gaps(held.where("first").select("id", "lang", "word", "f")), "phrase-words-numbered")
-    held = held.select("shard", "at", "id").join(words.select("id", "number"), "id")
-    held = written(_by_shard(held, F.struct("at", F.col("number").alias("id")), "words"), "phrase-words-held")
+    held = held.select("shard", "at", "id").join(if_small(words.select("id", "number")), "id")
+    held = written(_by_shard(held, F.shiftleft(F.col("at").cast("long"), _HALF).bitwiseOR(F.col("number")), "words"), "phrase-words-held")
 
-    pairs = _frequent(_walked(shards, held, longer=False), ["pair"], least, F.col("shard"), "phrase-pairs")
+    pairs = _frequent(_walked(shards, held, longer=False), ["pair"], least, F.col("shard"), ["f"], "phrase-pairs")
     longer = _walked(shards, held.join(_by_shard(pairs, F.col("pair"), "pairs"), "shard"), longer=True)
     longer = longer.groupBy("pair", "rest").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     no_rest = F.lit(None).cast("long").alias("rest")
