@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridloom.functions.fuzzy import ratio_udf, weighted_ratio_udf
 from gridloom.functions.numbers import days_apart
 from gridloom.functions.text import clean_text
+from gridloom.operators.columns import evenly
 from gridloom.operators.keyed import best_and_margin, top_k
 
 DAYS, LEAST, BEST = 45, 55.0, 3
@@ -25,7 +26,7 @@ def match_candidates(rows: DataFrame, records: DataFrame) -> DataFrame:
     ``rows``: row_number, block, row_date, row_title, linked_id. ``records``: record_id, block, record_date,
     record_title, seq. The block and the date's period are joined by equality: a row meets its own period, those beside it
     and the records without a date, which are in any band and lose nothing for it; only a row without a date meets its
-    whole block. The band is tested on the joined rows, and only what is left is scored.
+    whole block. The band is tested on the joined rows, and only what is left is scored, dealt evenly over the tasks.
     """
     days = days_apart(F.col("record_date"), F.col("row_date"))
     period = lambda c: F.floor(F.datediff(F.col(c), F.lit("1970-01-01").cast("date")) / (DAYS + 1)).cast("int")
@@ -38,7 +39,7 @@ def match_candidates(rows: DataFrame, records: DataFrame) -> DataFrame:
     title = F.when(titled, weighted_ratio_udf(F.coalesce("row_title", F.lit("")), F.coalesce("record_title", F.lit("")))).otherwise(0.0)
     date = F.when(F.col("row_date").isNotNull(), F.greatest(F.lit(0.0), F.lit(100.0) - F.coalesce("date_difference_days", F.lit(0)) * F.lit(4.0))).otherwise(0.0)
     linked = F.coalesce(F.col("record_id") == F.col("linked_id"), F.lit(False))
-    scored = near.withColumn("title_score", title).withColumn("date_score", date)
+    scored = evenly(near).withColumn("title_score", title).withColumn("date_score", date)
     score = F.when(linked, 100.0).when(titled, F.col("title_score") * 0.7 + F.col("date_score") * 0.3).otherwise(F.col("date_score"))
     best = top_k(scored.withColumn("match_score", score).where(F.col("match_score") >= LEAST), ["row_number"], [F.desc("match_score"), F.asc("seq")], BEST)
     return best.select(

@@ -101,3 +101,21 @@ def _lcs(x: str, y: str) -> int:
             new.append(row[j] + 1 if a == b else max(row[j + 1], new[-1]))
         row = new
     return row[-1]
+
+
+def test_partial_ratio_is_that_of_every_part(monkeypatch):
+    """Parts left out by their bound are never the best, and long texts don't cost a comparison for each character."""
+    import random
+
+    from gridloom.functions.fuzzy import indel_ratio, partial_ratio
+
+    r = random.Random(4)
+    for _ in range(1500):
+        alphabet = r.choice(["ab", "abc ", "abcdefgh  ", "é漢😀 a"])
+        a, b = ("".join(r.choice(alphabet) for _ in range(r.randrange(1, most))) for most in (25, 60))
+        a, b = sorted((a, b), key=len)
+        assert partial_ratio(a, b) == max(indel_ratio(a, b[max(0, i) : i + len(a)]) for i in range(1 - len(a), len(b)))
+    a, b = ("".join(r.choice("abcdefghijklmnop ") for _ in range(n)) for n in (300, 20_000))
+    compared, common = [], fuzzy._common
+    monkeypatch.setattr(fuzzy, "_common", lambda *x: compared.append(1) or common(*x))
+    assert 0 < fuzzy.partial_ratio(a, b) < 80 and len(compared) < len(b) / 8
