@@ -63,3 +63,32 @@ def test_bounds_and_empty_tables(spark):
     other = df.withColumnRenamed("k", "j")
     assert similar_pairs(df.limit(0), other, 0.9, left_key="k", right_key="j").count() == 0
     assert [tuple(x) for x in similar_pairs(df, other, 0.9, left_key="k", right_key="j").collect()] == [(1, 1, 1.0)]
+
+
+@pytest.mark.parametrize("least", [0.9, 0.95, 1.0])
+def test_classes_hold_every_link_once(spark, least):
+    """Links between different texts, and copies with the name of their class, say the same as all pairs do."""
+    from gridloom.operators.similar import similar_classes
+
+    r = random.Random(int(least * 1000))
+    words = ["".join(r.choice("abcdefé漢😀") for _ in range(r.randrange(1, 9))) for _ in range(60)]
+    base = [" ".join(r.choice(words) for _ in range(r.randrange(1, 60))) for _ in range(30)]
+    texts = [(i, noisy(r, r.choice(base), "abc ")) for i in range(120)] + [(500 + i, t) for i, t in enumerate(base * 3)] + [(900, None), (901, ""), (902, "a"), (903, "a"), (904, "ab")]
+    found = [tuple(x) for x in similar_classes(spark.createDataFrame(texts, "k long, text string"), least, key="k").select("link", "left", "right", "ratio").collect()]
+    of = {right: left for link, left, right, _ in found if link == "copy"}
+    named = {}
+    for k, t in texts:
+        named.setdefault(t, min(k for k, other in texts if other == t))
+    assert of == {k: named[t] for k, t in texts if t and named[t] != k}
+    links = sorted((left, right, round(ratio, 9)) for link, left, right, ratio in found if link == "similar")
+    kept = sorted((k, t) for t, k in named.items() if t)
+    assert links == [(i, j, ratio) for i, j, ratio in plain(kept, kept, least) if i < j]
+    assert len(of) > 50 and (least == 1.0 or len(links) > 50)
+
+
+def test_copies_are_not_paired_with_each_other(spark):
+    from gridloom.operators.similar import similar_classes
+
+    df = spark.range(3000).select(F.col("id").alias("k"), F.concat(F.lit("a line that very many documents begin with, "), F.col("id") % 2).alias("text"))
+    found = similar_classes(df, 0.95, key="k")
+    assert found.count() == 2999 and [tuple(x)[1:3] for x in found.where("link = 'similar'").collect()] == [(0, 1)]
