@@ -104,3 +104,52 @@ def test_candidates_in_the_order_of_discovery(site):
     assert found(**window) == sorted([new, *rest])
     assert found(**window, max_candidates=2) == sorted([new, rest[3], rest[4]])
     assert [r["parent_url"] for r in frontier.discover(links, visited).where("canonical_url LIKE '%p4'").collect()] == ["https://a.org/list4"]
+
+
+def plain_walk(edges, seeds):
+    """(page_no, page, depth) of a queue that starts with ``seeds``; ``edges`` maps a page to its next pages in order."""
+    depth = {}
+    for s in seeds:
+        depth.setdefault(s, 0)
+    queue = list(depth)
+    for page in queue:
+        for to in edges.get(page, ()):
+            if to not in depth:
+                depth[to] = depth[page] + 1
+                queue.append(to)
+    return [(n, p, depth[p]) for n, p in enumerate(queue, 1)]
+
+
+def test_walk_equals_a_queue(spark):
+    """Long chains, branches, joins of chains and cycles, from several seeds: depths and the queue's order."""
+    import random
+
+    r = random.Random(12)
+    url = "https://{}.org/{}".format
+    edges = {url("a", i): [url("a", i + 1)] for i in range(120)}
+    edges[url("a", 120)] = [url("a", 7)]
+    for i in (20, 33, 34, 80):
+        edges[url("a", i)].insert(r.randrange(2), url("a", r.randrange(121)))
+    edges |= {url("b", i): list(dict.fromkeys(url("b", r.randrange(40)) for _ in range(r.choice([1, 1, 1, 2, 3])))) for i in range(40)}
+    edges = {p: [t for t in to if t != p] for p, to in edges.items()}
+    seeds = {"A": [url("a", 0)], "A2": [url("a", 50), url("a", 22), url("a", 60)], "B": [url("b", 3), url("b", 1)], "C": [url("c", 1)]}
+    links = spark.createDataFrame([(p, i, t, True) for p, to in edges.items() for i, t in enumerate(to)], "page string, pos int, canonical_url string, is_next boolean")
+    known = spark.createDataFrame([(p,) for p in edges], "page string")
+    given = spark.createDataFrame([(s, p, i) for s, ps in seeds.items() for i, p in enumerate(ps)], "source_id string, url string, seq int")
+    there = {p: [t for t in to if t in edges] for p, to in edges.items()}
+    want = sorted((s, *w) for s, ps in seeds.items() for w in plain_walk(there, [p for p in ps if p in edges]))
+    got = lambda **kw: sorted((x["source_id"], x["page_no"], x["page"], x["depth"]) for x in frontier.walk_pages(links, known, given, **kw).collect())
+    assert got() == want and max(w[3] for w in want) > 30
+    assert got(max_pages=9) == [w for w in want if w[1] <= 9]
+
+
+def test_a_long_chain_takes_few_tables(spark, monkeypatch):
+    """A chain is not walked page by page."""
+    written, stored = [], frontier.stored
+    monkeypatch.setattr(frontier, "stored", lambda *x: written.append(1) or stored(*x))
+    n = 400
+    page = F.concat(F.lit("https://a.org/"), F.col("id").cast("string"))
+    links = spark.range(n).select(page.alias("page"), F.lit(0).alias("pos"), F.concat(F.lit("https://a.org/"), ((F.col("id") + 1) % n).cast("string")).alias("canonical_url"), F.lit(True).alias("is_next"))
+    seeds = spark.createDataFrame([("A", "https://a.org/0", 0)], "source_id string, url string, seq int")
+    walked = frontier.walk_pages(links, links.select("page"), seeds)
+    assert walked.agg(F.count("*"), F.max("depth"), F.max("page_no")).first() == (n, n - 1, n) and len(written) < 30
