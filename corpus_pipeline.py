@@ -36,7 +36,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (5-word shingles, similarity 0.8 or more) stays, that with the smallest
-    doc_id.
+    doc_id. Fingerprints are linked by operator 10's walk of tries, checked on whole sets; a search by prefixes adds the
+    pairs of that similarity that are too far apart for the walk.
 
     Texts without words are alike; a null doc_id comes last; of rows with the same doc_id and text one stays."""
     return simhash.drop_near_duplicates(docs, width=5, similarity=0.8)

@@ -1,7 +1,8 @@
 """Near copies by exact Jaccard similarity of word shingles, for ``drop_near_duplicates(similarity=0.8)``.
 
 Two texts are near copies if the sets of their 5-word shingles have a similarity of 0.8 or more; components over these
-links are groups. All such pairs are found, by prefixes: with shingles in one order for all texts, the first fifth (and
+links are groups. Texts that the trie walk of operator 10 puts within its budget, by fingerprints of the same shingles, are
+checked first, and what is linked then is one component from there on. All other pairs are found by prefixes: with shingles in one order for all texts, the first fifth (and
 one) of both sets share a shingle. The order puts shingles that are frequent in a sample last; the sample decides how
 large groups get, never what is found.
 
@@ -19,7 +20,7 @@ empty set; texts of fewer words than a shingle's are one shingle.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import TEXT_HASH, if_small, lookup, map_batches, whole_text, written
 from gridloom.llm.components import connected_components
-from gridloom.llm.shingles import SEED, shingle_hashes
+from gridloom.llm.shingles import SEED, fingerprint_of, shingle_hashes
 
 #: One text in so many counts towards the order; shingles in at least LEAST of them, up to MOST shingles, come last.
 SAMPLE, LEAST, MOST = 16, 3, 100_000
@@ -99,11 +100,12 @@ def _frequent(docs: DataFrame, text_col: str, width: int) -> tuple[np.ndarray, n
 
 
 def _marks(docs: DataFrame, id_col: str, text_col: str, width: int, similar: Similar) -> DataFrame:
-    """(doc_id, _text_hash, class, size, bits, prefix): a row for each row of ``docs``."""
+    """(doc_id, _text_hash, class, size, bits, prefix, fp): a row for each row of ``docs``."""
     hashes, counts = _frequent(docs, text_col, width)
 
     def mark(text: str) -> tuple:
-        s = shingle_set(text, width)
+        repeated = shingle_hashes(text, width)
+        s = np.unique(repeated)
         keep = len(s) - similar.least(len(s)) + 1 if len(s) else 0
         if len(hashes):
             at = np.minimum(np.searchsorted(hashes, s), len(hashes) - 1)
@@ -112,15 +114,15 @@ def _marks(docs: DataFrame, id_col: str, text_col: str, width: int, similar: Sim
             first = rare if len(rare) == keep else s[np.lexsort((s, often))[:keep]]
         else:
             first = s[:keep]
-        return class_of(s), len(s), parities(s).tobytes(), first.view(np.int64)
+        return class_of(s), len(s), parities(s).tobytes(), first.view(np.int64), fingerprint_of(repeated)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key, n, bits, prefix = zip(*map(mark, batch.column(2).to_pylist()), strict=True)
-        columns = [batch.column(0), batch.column(1), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))]
+        key, n, bits, prefix, fp = zip(*map(mark, batch.column(2).to_pylist()), strict=True)
+        columns = [batch.column(0), batch.column(1), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), pa.array(np.array(fp, dtype=np.uint64).view(np.int64))]
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in schema.split(", ")])
 
     text = whole_text(text_col)
-    schema = f"doc_id long, {TEXT_HASH} long, class long, size long, bits binary, prefix array<long>"
+    schema = f"doc_id long, {TEXT_HASH} long, class long, size long, bits binary, prefix array<long>, fp long"
     return map_batches(docs.select(F.col(id_col).cast("long"), F.xxhash64(text), text), run, schema)
 
 
@@ -263,11 +265,26 @@ def _similar(pairs: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
     return map_batches(pairs.join(side("a", "left"), "a").join(side("b", "right"), "b").select("a", "b", "left", "right"), run, "u long, v long")
 
 
-def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """``(doc_id, _text_hash, class)`` for every row, and ``(class, n, root)`` for every class of equal sets."""
+def _walked(marks: DataFrame, near: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Pairs (a, b) of classes that the walk ``near`` of fingerprints links: the smallest classes of two fingerprints, and
+    those of one fingerprint with the smallest of it."""
+    held = written(marks.select("fp", "class").distinct(), "near-walked")
+    named = written(held.groupBy("fp").agg(F.min("class").alias("lead"), F.count("*").alias("n")), "near-fingerprints")
+    same = lookup(held, named.where("n > 1"), ["fp"], rows="n", total=held.count(), spread=["class"]).select(F.col("lead").alias("a"), F.col("class").alias("b"))
+    side = lambda k, c: named.select(F.col("fp").alias(k), F.col("lead").alias(c))
+    across = near(named.select("fp")).distinct().join(side("u", "x"), "u").join(side("v", "y"), "v")
+    return same.where("a <> b").unionByName(across.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
+
+
+def classes(docs: DataFrame, near: Callable[[DataFrame], DataFrame], *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, _text_hash, class)`` for every row, and ``(class, n, root)`` for every class of equal sets. ``near`` gives
+    pairs (u, v) of the fingerprints (fp) that it walks."""
     similar = Similar(similarity)
     marks = written(_marks(docs, id_col, text_col, width, similar), "near-marks")
     counts = marks.groupBy("class").agg(F.count("*").alias("n"))
+    walked = written(_walked(marks, near), "near-trie-pairs")
+    linked = written(_similar(walked, _sets(walked, marks, docs, text_col, width), similar), "near-trie-links")
+    begun = written(connected_components(linked).select(F.col("node").alias("class"), F.col("root").alias("part")), "near-begun")
     dealt = marks.select(F.explode("prefix").alias("h"), "class", "doc_id")
     shared = dealt.groupBy("h").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("h", "n", F.lit(1).alias("group"))
     members = lookup(dealt, written(shared, "near-shared"), ["h"], rows="n", total=dealt.count(), spread=["class", "doc_id"])
@@ -277,9 +294,9 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     alone = written(held.where("n > 1").groupBy("n", "x", "y").agg(F.min("h").alias("h")).select("h", "n", F.lit(1).alias("group")), "near-alone")
     members = written(lookup(members, alone, ["h"], rows="n", total=members.count(), spread=["class"]).select("h", "class"), "near-groups")
     two = members.groupBy("class").agg(F.array_distinct(F.array(F.min("h"), F.max("h"))).alias("two"))
-    some = written(two.select(F.explode("two").alias("h"), "class", F.col("class").alias("part")), "near-two")
+    some = written(two.join(begun, "class", "left").select(F.explode("two").alias("h"), "class", F.coalesce("part", "class").alias("part")), "near-two")
     pairs = written(_candidates(some, marks, nearest=True, similar=similar), "near-pairs")
-    links = written(_similar(pairs, _sets(pairs, marks, docs, text_col, width), similar), "near-links")
+    links = written(_similar(pairs, _sets(pairs, marks, docs, text_col, width), similar).unionByName(linked), "near-links")
     roots = connected_components(links).select(F.col("node").alias("class"), F.col("root").alias("part"))
     parts = written(members.join(roots, "class", "left").withColumn("part", F.coalesce("part", "class")), "near-parts")
     mixed = written(parts.groupBy("h").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("h", "n", F.lit(1).alias("group")), "near-mixed")

@@ -25,3 +25,13 @@ def shingle_hashes(text: str, width: int = 4) -> np.ndarray:
     stops = ends[width - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
     return np.fromiter((digest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)), dtype=np.uint64, count=len(starts))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is 1 in over half of the shingles' hashes."""
+    if not len(hashes):
+        return 0
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), 4096):  # big-endian bytes: bit 0 below is the most significant
+        ones += np.unpackbits(hashes[at : at + 4096].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")

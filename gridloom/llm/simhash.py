@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from gridloom.llm import near_copies
 from gridloom.llm.common import TEXT_HASH, keep_one, lookup, map_batches, scratch_scope, table, whole_text, written
 from gridloom.llm.components import connected_components
-from gridloom.llm.shingles import shingle_hashes
+from gridloom.llm.shingles import fingerprint_of, shingle_hashes
 
 #: Pairs of nodes that go down together, which bounds the memory of a step.
 FRONTIER = 1 << 17
@@ -44,14 +44,7 @@ FOREST = 1 << 16
 
 
 def fingerprint(text: str, width: int = 4) -> int:
-    """A bit is 1 if it is 1 in over half of the shingles' hashes."""
-    hashes = shingle_hashes(text, width)
-    if not len(hashes):
-        return 0
-    ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 4096):  # big-endian bytes: bit 0 below is the most significant
-        ones += np.unpackbits(hashes[at : at + 4096].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+    return fingerprint_of(shingle_hashes(text, width))
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
@@ -128,9 +121,9 @@ class Forest:
                 stack.append((depth + 1, *self.descend(depth, a[~ended], b[~ended], bits[~ended], budget)))
 
 
-def trie_links(groups: np.ndarray, fps: np.ndarray, budget: int) -> np.ndarray:
+def trie_links(groups: np.ndarray, fps: np.ndarray, budget: int, met: list[np.ndarray] | None = None) -> np.ndarray:
     """For uint64 fingerprints, distinct in each group: the index of the smallest one of its group that each reaches over
-    links of ``budget`` bits."""
+    links of ``budget`` bits. ``met`` gets the pairs within the budget, as indexes, that make these links: a forest."""
     n = len(fps)
     order = np.lexsort((fps, groups))
     root = np.arange(n)
@@ -143,11 +136,17 @@ def trie_links(groups: np.ndarray, fps: np.ndarray, budget: int) -> np.ndarray:
         return at
 
     for i, j in Forest(groups[order], fps[order]).near_pairs(budget):
+        pair = np.stack([i, j])
         while len(i):
             i, j = roots(i), roots(j)
             apart = i != j
-            i, j = np.minimum(i, j)[apart], np.maximum(i, j)[apart]
-            root[j] = i  # one of the pairs of a root wins; the others come again from where it leads
+            i, j, pair = np.minimum(i, j)[apart], np.maximum(i, j)[apart], pair[:, apart]
+            if met is not None:
+                won = np.unique(j, return_index=True)[1]
+                root[j[won]] = i[won]
+                met.append(order[pair[:, won]])
+            else:
+                root[j] = i  # one of the pairs of a root wins; the others come again from where it leads
     out = np.empty(n, dtype=np.int64)
     out[order] = order[roots(np.arange(n))]
     return out
@@ -188,8 +187,9 @@ def groups(distinct: DataFrame, budget: int = 4, limit: int = GROUP) -> DataFram
         opened = written(keyed.join(large, ["mask", "value"], "left_semi").join(F.broadcast(finer), "mask").select("fp", F.col("finer").alias("mask")).distinct(), "simhash-finer")
 
 
-def near_links(distinct: DataFrame, budget: int = 4, limit: int = GROUP) -> DataFrame:
-    """Links (u, v) between fingerprints of ``distinct(fp)`` whose components are those of all pairs within ``budget`` bits.
+def near_links(distinct: DataFrame, budget: int = 4, limit: int = GROUP, pairs: bool = False) -> DataFrame:
+    """Links (u, v) between fingerprints of ``distinct(fp)`` whose components are those of all pairs within ``budget`` bits;
+    with ``pairs`` every link is such a pair itself.
 
     Rows are dealt by group and sorted by it; a task reads its groups one after another, 8 bytes a fingerprint, walks the
     tries of many groups at once, and returns at most one link for each of its rows.
@@ -197,7 +197,11 @@ def near_links(distinct: DataFrame, budget: int = 4, limit: int = GROUP) -> Data
 
     def links(parts: list[np.ndarray]) -> pa.RecordBatch:
         groups_, fps = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        to = trie_links(groups_, fps.view(np.uint64), budget)
+        met = [np.zeros((2, 0), dtype=np.int64)]
+        to = trie_links(groups_, fps.view(np.uint64), budget, met if pairs else None)
+        if pairs:
+            u, v = fps[np.concatenate(met, axis=1)]
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
         own = np.flatnonzero(to != np.arange(len(fps)))
         return pa.RecordBatch.from_arrays([pa.array(fps[own]), pa.array(fps[to[own]])], names=["u", "v"])
 
@@ -250,15 +254,16 @@ def drop_near_duplicates(
     """``docs`` with one row of each component: that with the smallest identifier, then text hash; a null identifier comes
     last, and of rows with the same identifier and text one stays.
 
-    With ``similarity`` (0.8), texts are linked if the sets of their ``width``-word shingles have that Jaccard similarity or
-    more, instead of by fingerprints: pairs of 0.8 differ by up to 15 bits or so, which no walk of a trie can prune.
+    With ``similarity`` (0.8), what the walk of the trie links is checked: texts are linked if the sets of their
+    ``width``-word shingles have that Jaccard similarity or more. Pairs of 0.8 differ by up to 15 bits or so, which no walk
+    of a trie can prune, so those that the walk leaves apart are looked for by prefixes (``near_copies``).
     """
     with scratch_scope(docs.sparkSession) as keep:
         if similarity is None:
             marked = written(fingerprints(docs, id_col=id_col, text_col=text_col, width=width), "fingerprints").withColumnRenamed("fp", "class")
             classes = _components(marked.withColumnRenamed("class", "fp"), budget).withColumnRenamed("fp", "class")
         else:
-            marked, classes = near_copies.classes(docs, id_col=id_col, text_col=text_col, width=width, similarity=similarity)
+            marked, classes = near_copies.classes(docs, lambda fps: near_links(fps, budget, pairs=True), id_col=id_col, text_col=text_col, width=width, similarity=similarity)
         return keep_one(docs, marked, written(classes, "near-classes"), keep, id_col=id_col, text_col=text_col)
 
 

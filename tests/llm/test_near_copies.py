@@ -95,3 +95,38 @@ def test_parity_maps_bound_the_difference():
     maps = np.empty(2, dtype=object)
     maps[:] = [near_copies.parities(np.unique(x)) for x in long]
     assert near_copies.group_pairs(keys, np.array([3000, 3000]), maps, keys, keys * 0, nearest=False, similar=similar).shape == (2, 0)
+
+
+def test_the_walk_gives_pairs_that_make_its_links():
+    """With ``met``, every pair is within the budget, and the pairs have the components of the links."""
+    from gridloom.llm.simhash import trie_links
+
+    r = np.random.default_rng(5)
+    base = r.integers(0, 1 << 63, 60, dtype=np.uint64)
+    flips = np.array([sum(1 << int(b) for b in r.choice(64, 3, replace=False)) for _ in range(600)], dtype=np.uint64)
+    fps = np.unique(np.concatenate([base, np.repeat(base, 10) ^ flips]))
+    met: list[np.ndarray] = []
+    to = trie_links(np.zeros(len(fps), dtype=np.int64), fps, 4, met)
+    a, b = np.concatenate(met, axis=1)
+    assert (np.bitwise_count(fps[a] ^ fps[b]) <= 4).all() and len(a) == (to != np.arange(len(fps))).sum() > 100
+    root = list(range(len(fps)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in zip(a.tolist(), b.tolist(), strict=True):
+        i, j = sorted((top(i), top(j)))
+        root[j] = i
+    assert [top(i) for i in range(len(fps))] == to.tolist()
+
+
+def test_the_stage_walks_the_trie(spark, monkeypatch):
+    """Near copies within the walk's reach are linked by it, and what it links is checked on whole sets."""
+    walked, plain = [], near_copies._walked
+    monkeypatch.setattr(near_copies, "_walked", lambda *x: walked.append(plain(*x).cache()) or walked[-1])
+    text = " ".join(f"word{i}" for i in range(400))
+    docs = spark.createDataFrame([(1, text), (2, text + " end"), (3, "something else altogether"), (4, None)], "doc_id long, text string")
+    assert sorted(x["doc_id"] for x in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()) == [1, 3, 4]
+    assert walked[0].count() >= 1
