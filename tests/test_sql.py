@@ -52,3 +52,20 @@ def test_a_folder_of_files_in_batch_and_as_a_stream(spark, tmp_path):
     run()
     names = sorted(r["path"].rsplit("/", 1)[1] for r in spark.read.parquet(out).select("path").collect())
     assert names == ["a.html", "b.HTM", "c.txt", "d.txt"]  # each once
+
+
+def test_small_files_are_few_micro_batches(spark, tmp_path):
+    """A stream of files is bounded by bytes, unless a number of files is given."""
+    folder = tmp_path / "small"
+    folder.mkdir()
+    for i in range(40):
+        (folder / f"{i}.txt").write_text("x" * 100)
+    adapter = adapters.DirectoryAdapter(f"file://{folder}")
+
+    def batches(name, **bound):
+        run = adapter.stream(spark, **bound).writeStream.format("parquet").option("checkpointLocation", f"file://{tmp_path}/{name}-state").trigger(availableNow=True).start(f"file://{tmp_path}/{name}")
+        run.awaitTermination()
+        assert spark.read.parquet(f"file://{tmp_path}/{name}").count() == 40
+        return len([p for p in (tmp_path / f"{name}-state" / "commits").iterdir() if p.name.isdigit()])
+
+    assert batches("default") == 1 and batches("bytes", bytes_at_once=1000) == 4 and batches("files", files_at_once=20) == 2
