@@ -79,6 +79,17 @@ def link_if_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], value
     return left.join(only, list(keys), "left")
 
 
+def left_join_some(left: DataFrame, rights: Sequence[DataFrame], key: str, spread: str) -> DataFrame:
+    """``left`` left-joined by ``key`` with each of ``rights``, where many rows on the left may have no key: these are
+    dealt by a hash of ``spread``, not all to the one task that null keys go to."""
+    deal = free(left, "_deal")
+    keyed = lambda c: F.xxhash64(c.cast("string"))
+    joined = left.withColumn(deal, keyed(F.coalesce(F.col(key).cast("string"), F.col(spread).cast("string"))))
+    for right in rights:
+        joined = joined.join(right.withColumn(deal, keyed(F.col(key))), [key, deal], "left")
+    return joined.drop(deal)
+
+
 def learn_unambiguous(df: DataFrame, key: str, value: str) -> DataFrame:
     """Keys that always go with one and the same value, and that value."""
     return df.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(key).agg(F.min(value).alias(value), F.max(value).alias("_max")).where(F.col(value) == F.col("_max")).drop("_max")

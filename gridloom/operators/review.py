@@ -11,7 +11,7 @@ from gridloom.functions.fixed_values import MATCH_SHEET, OTHER_TOPIC
 from gridloom.functions.numbers import cell_row, is_blank
 from gridloom.functions.text import first_line_title, strip, task_id
 from gridloom.functions.urls import is_valid_url
-from gridloom.operators.keyed import insert_ignore, keep_first, top_k
+from gridloom.operators.keyed import insert_ignore, keep_first, left_join_some, top_k
 from gridloom.operators.rules import classify
 from gridloom.plans.library import is_official
 
@@ -203,8 +203,9 @@ def triage_signals(tasks: DataFrame, records: DataFrame, cells: DataFrame, featu
     is_feature = F.coalesce(F.col("field_name").startswith("policy_features") & F.col("_row").isNotNull(), F.lit(False))
     first = placed.where(is_feature).groupBy("_row").agg(F.min("task_id").alias("_first"))
     matched = F.when(F.col("review_type") == "unexplained_t2", F.col("source_cell")).alias("_cell")
-    joined = placed.withColumn("_cell", matched).join(told, "record_id", "left").join(laid_out.withColumnRenamed("source_cell", "_cell"), "_cell", "left")
-    joined = joined.join(linked.withColumn("already_linked", F.lit(True)), "_row", "left").join(best, "_row", "left").join(first, "_row", "left")
+    joined = left_join_some(placed.withColumn("_cell", matched), [laid_out.withColumnRenamed("source_cell", "_cell")], "_cell", "task_id")
+    joined = left_join_some(joined, [linked.withColumn("already_linked", F.lit(True)), best, first], "_row", "task_id")
+    joined = left_join_some(joined, [told], "record_id", "task_id")  # texts come last, so they move once
     return joined.withColumn("first_in_row", F.coalesce(is_feature & (F.col("task_id") == F.col("_first")), F.lit(False))).drop("_row", "_cell", "_first")
 
 

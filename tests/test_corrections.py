@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridloom.functions.fixed_values import MATCH_SHEET
 from gridloom.operators import corrections as c
@@ -115,6 +116,22 @@ def test_signals_of_triage_are_found_in_the_tables(spark):
     }
 
 
+def test_tasks_without_keys_do_not_all_go_to_one_task(spark):
+    from gridloom.operators import review
+
+    plain = spark.newSession()
+    for k, v in {"adaptive.enabled": "false", "autoBroadcastJoinThreshold": "-1", "shuffle.partitions": "4"}.items():
+        plain.conf.set(f"spark.sql.{k}", v)
+    tasks = plain.createDataFrame([(f"T{i}", "other", None, "x", None) for i in range(400)], "task_id string, review_type string, record_id string, field_name string, source_cell string")
+    one = lambda row, schema: plain.createDataFrame([row], schema)
+    found = review.triage_signals(
+        tasks, one(("R1", None, None, "text", None), "record_id string, title string, summary string, full_text string, primary_source_url string"), one(("B1", "value", "x", True), "source_cell string, cell_value string, original_field_name string, is_merged boolean"),
+        one(("R1", MATCH_SHEET, "A9"), "record_id string, source_sheet string, source_cell string"), one((7, "R1", 80.0, "pending"), "source_row int, candidate_record_id string, match_score double, review_status string"),
+    )
+    dealt = [r["count"] for r in found.withColumn("_task", F.spark_partition_id()).groupBy("_task").count().collect()]
+    assert sum(dealt) == 400 and max(dealt) < 200
+
+
 def test_matrices_of_several_sheets(spark):
     from gridloom.operators import ingest
 
