@@ -96,3 +96,16 @@ def test_a_range_of_a_billion_cells(spark):
     ranges = spark.createDataFrame([("s", 5, 7, 100_004, 10_006, "big"), ("s", 2, 2, 2, 3, "small")], "sheet string, row0 int, col0 int, row1 int, col1 int, name string")
     found = {r["v"]: (r["merged_range"], r["is_anchor"], r["is_merged"]) for r in cells_in_merged_ranges(cells, ranges).collect()}
     assert found == {"a": ("big", True, True), "b": (None, False, False), "c": (None, False, False), "d": ("small", True, True), "e": ("small", True, True)}
+
+
+def rows_by_task(df):
+    return [r["count"] for r in df.withColumn("_task", F.spark_partition_id()).groupBy("_task").count().collect()]
+
+
+def test_days_apart_deals_by_rows(spark, sf, monkeypatch):
+    from gridloom.operators import columns
+    from gridloom.plans.operator_queries import QUERIES
+
+    monkeypatch.setattr(columns, "ROWS_PER_TASK", 300, raising=False)
+    dealt = rows_by_task(QUERIES["f13_days_apart"](spark, sf))
+    assert sum(dealt) == spark.read.parquet(f"{sf}/lineitem.parquet").count() and max(dealt) < 900
