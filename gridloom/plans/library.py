@@ -2,7 +2,8 @@
 
 A ``Library`` holds the DataFrames that views and operators work on, by role: dated records, their geographies, terms,
 collections and strengths, the cities in scope and which records apply to which. ``from_star`` binds the roles to a star
-schema of orders; other data bind by filling the same fields. Everything is lazy.
+schema of orders; other data bind by filling the same fields. Everything is lazy, but for a count of lines from the
+files' footers.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.operators.columns import dealt
 from gridloom.sources.tables import read_or_empty
 
 OFFICIAL = ("official", "official_reprint")
@@ -164,9 +166,10 @@ class Star:
 
     @cached_property
     def items(self) -> DataFrame:
+        """Lines with their parts, dealt by order: terms and collections are grouped by it, and nearly every line is a group."""
         parts = self.table("part").select("p_partkey", "p_type", "p_brand")
         lines = self.table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_discount", "l_returnflag")
-        return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        return dealt(lines.join(parts, F.col("l_partkey") == F.col("p_partkey")), lines.count(), "l_orderkey")
 
     @cached_property
     def terms(self) -> DataFrame:

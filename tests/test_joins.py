@@ -109,3 +109,12 @@ def test_days_apart_deals_by_rows(spark, sf, monkeypatch):
     monkeypatch.setattr(columns, "ROWS_PER_TASK", 300, raising=False)
     dealt = rows_by_task(QUERIES["f13_days_apart"](spark, sf))
     assert sum(dealt) == spark.read.parquet(f"{sf}/lineitem.parquet").count() and max(dealt) < 900
+
+
+def test_terms_and_collections_of_the_star_are_dealt_by_rows(spark, sf, monkeypatch):
+    from gridloom.operators import columns
+    from gridloom.plans.library import Library
+
+    monkeypatch.setattr(columns, "ROWS_PER_TASK", 300, raising=False)
+    lib = Library.from_star(spark, sf)
+    assert max(rows_by_task(lib.collections)) < 900 and max(rows_by_task(lib.terms)) < 1800
