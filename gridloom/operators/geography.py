@@ -13,6 +13,7 @@ from gridloom.functions.fixed_values import CITY_PATTERN, COUNTY_PATTERN, MUNICI
 from gridloom.functions.text import clean_text, split_parts, stable_id, without_suffix
 from gridloom.operators.anchors import find_patterns
 from gridloom.operators.keyed import learn_unambiguous, top_k
+from gridloom.sources.scratch import stored
 
 #: Aliases are no longer than this many code points.
 LONGEST_ALIAS = 24
@@ -40,15 +41,25 @@ def city_aliases(cities: DataFrame) -> DataFrame:
     return top_k(rows, ["alias"], [F.desc("city_id")])
 
 
+def _different(df: DataFrame, column: str) -> DataFrame:
+    """(_raw, text): the different texts of a column and what they are when cleaned, in files. Otherwise Spark would move
+    filters on cleaned texts, and the cleaning with them, to all rows: before the ``distinct`` and across joins."""
+    raw = df.select(F.col(column).cast("string").alias("_raw")).where("_raw IS NOT NULL").distinct()
+    return stored(raw.select("_raw", clean_text(F.col("_raw")).alias("text")), "texts").where("text IS NOT NULL")
+
+
 def normalize_geography(df: DataFrame, column: str, cities: DataFrame, learned: DataFrame | None = None, key: str = "record_id") -> DataFrame:
     """One row per place named in ``column``: part number, names, codes, level, method, confidence, needs_review.
 
     ``cities`` has city_id, city_name, city_name_short, province_name, city_code, administrative_level and aliases
-    (separated by bars); ``learned`` has city_name and province_name.
+    (separated by bars); ``learned`` has city_name and province_name. Places repeat: each different text is read once,
+    and its rows meet what it says.
     """
-    text = df.select(F.col(key), clean_text(F.col(column)).alias("text")).where("text IS NOT NULL")
+    raw, record = "_raw", key
+    asked = df.select(F.col(record), F.col(column).cast("string").alias(raw)).where(F.col(raw).isNotNull())
+    text = _different(df, column)
     national = F.col("text").isin(*NATIONAL_WORDS)
-    parts = text.select(key, F.posexplode(F.when(national, F.array("text")).otherwise(split_parts(F.col("text")))).alias("pos", "part"), national.alias("national"))
+    parts = text.select(raw, F.posexplode(F.when(national, F.array("text")).otherwise(split_parts(F.col("text")))).alias("pos", "part"), national.alias("national"))
     p = F.col("part")
     with_province = parts.withColumn("p", F.when(~F.col("national"), _province_prefix(p))).withColumn("rest0", F.substring(p, F.coalesce(F.col("p.length"), F.lit(0)) + 1, F.char_length(p)))
     rest = F.when((F.col("rest0") == "") & F.col("p.name").isin(*MUNICIPALITIES), F.col("p.name")).otherwise(F.col("rest0"))
@@ -56,10 +67,10 @@ def normalize_geography(df: DataFrame, column: str, cities: DataFrame, learned:
 
     # Prefixes of the rest, and the whole part: the longest that is an alias names the city.
     prefixes = F.transform(F.sequence(F.lit(1), F.least(F.char_length("rest"), F.lit(LONGEST_ALIAS))), lambda n: F.substring("rest", F.lit(1), n))
-    tries = named.where("NOT national").select(key, "pos", F.explode(F.array_distinct(F.concat(F.when(F.char_length("rest") > 0, prefixes).otherwise(F.array().cast("array<string>")), F.array("part")))).alias("alias"))
-    hits = top_k(tries.join(city_aliases(cities), "alias"), [key, "pos"], [F.desc(F.char_length("alias")), F.asc("alias")])
-    hits = hits.select(key, "pos", "alias", F.col("city_id").alias("c_id"), F.col("city_name").alias("c_name"), F.col("city_code").cast("string").alias("c_code"), F.col("province_name").alias("c_province"), F.col("administrative_level").alias("c_level"))
-    j = named.join(hits, [key, "pos"], "left")
+    tries = named.where("NOT national").select(raw, "pos", F.explode(F.array_distinct(F.concat(F.when(F.char_length("rest") > 0, prefixes).otherwise(F.array().cast("array<string>")), F.array("part")))).alias("alias"))
+    hits = top_k(tries.join(city_aliases(cities), "alias"), [raw, "pos"], [F.desc(F.char_length("alias")), F.asc("alias")])
+    hits = hits.select(raw, "pos", "alias", F.col("city_id").alias("c_id"), F.col("city_name").alias("c_name"), F.col("city_code").cast("string").alias("c_code"), F.col("province_name").alias("c_province"), F.col("administrative_level").alias("c_level"))
+    j = named.join(hits, [raw, "pos"], "left")
 
     base = F.when(F.col("rest") != "", F.col("rest")).otherwise(p)
     parsed = F.nullif(F.regexp_extract(base, CITY_PATTERN, 1), F.lit(""))
@@ -88,11 +99,12 @@ def normalize_geography(df: DataFrame, column: str, cities: DataFrame, learned:
     code = F.lit(None).cast("string")
     for name, c in PROVINCES:
         code = F.when(F.col("province_name") == name, F.lit(c)).otherwise(code)
-    return j.select(
-        key, (F.col("pos") + 1).alias("part_number"), p.alias("geography_original"), F.when(F.col("national"), NATIONAL_WORDS[0]).otherwise(F.coalesce(F.nullif(full, F.lit("")), p)).alias("name_normalized"),
+    places = j.select(
+        raw, (F.col("pos") + 1).alias("part_number"), p.alias("geography_original"), F.when(F.col("national"), NATIONAL_WORDS[0]).otherwise(F.coalesce(F.nullif(full, F.lit("")), p)).alias("name_normalized"),
         "province_name", code.alias("province_code"), "city_name", F.coalesce("parent_code", "c_code").alias("city_code"), F.col("c_id").alias("city_id"), county.alias("county_name"), "parent_city_name",
         level.alias("jurisdiction_level"), method.alias("match_method"), confidence.alias("match_confidence"), (confidence < 0.8).alias("needs_review"),
     )
+    return asked.join(places, raw).select(record, *places.columns[1:])
 
 
 def match_scope_cities(df: DataFrame, column: str, cities: DataFrame, key: str = "record_id") -> DataFrame:
@@ -125,7 +137,7 @@ def match_scope_cities(df: DataFrame, column: str, cities: DataFrame, key: str =
 
 def learn_city_provinces(texts: DataFrame, column: str, cities: DataFrame) -> DataFrame:
     """(city_name, province_name) that texts and the city table always name together."""
-    text = texts.select(clean_text(F.col(column)).alias("t")).where("t IS NOT NULL").distinct().withColumn("p", _province_prefix(F.col("t")))
+    text = _different(texts, column).select(F.col("text").alias("t")).distinct().withColumn("p", _province_prefix(F.col("t")))
     rest = F.substring("t", F.col("p.length") + 1, F.char_length("t"))
     named = text.where("p IS NOT NULL").select(F.nullif(F.regexp_extract(rest, r"^([^/、,，;；]{1,12}?(?:市|自治州|地区|盟))", 1), F.lit("")).alias("city_name"), F.col("p.name").alias("province_name"))
     return learn_unambiguous(named.unionByName(cities.select("city_name", "province_name")), "city_name", "province_name")

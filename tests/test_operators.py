@@ -85,6 +85,25 @@ def test_geography(spark):
     assert (one["province_name"], one["match_confidence"], one["match_method"]) == ("江西省", 0.9, "province_city_parse")
 
 
+def test_each_different_place_is_read_once(spark, monkeypatch):
+    from gridloom.functions.text import clean_text
+
+    cities, read = spark.createDataFrame(CITIES, CITY), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(t):
+        read.add(1)
+        return t
+
+    monkeypatch.setattr(geography, "clean_text", lambda c: clean_text(counted(c)))
+    links = spark.range(600).select(F.col("id").alias("record_id"), (F.col("id") % 3).alias("jurisdiction_id"), F.when(F.col("id") % 3 == 0, "广州").otherwise("苏州").alias("place"))
+    assert geography.normalize_geography(links, "place", cities).count() == 600
+    assert geography.learn_city_provinces(links, "place", cities).count() > 0
+    assert read.value < 60
+    twice = spark.createDataFrame([(1, "广州"), (1, "苏州")], "record_id int, place string")
+    assert rows(geography.normalize_geography(twice, "place", cities).select("geography_original", "city_name"), "city_name") == [("广州", "广州市"), ("苏州", "苏州市")]
+
+
 def test_scope(spark):
     cities = spark.createDataFrame(CITIES, CITY)
     df = spark.createDataFrame([(1, "河南省郑州市航空港区"), (2, "河南省"), (3, "上海"), (4, "无")], "record_id int, place string")
