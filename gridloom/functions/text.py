@@ -14,10 +14,16 @@ _ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
 @F.arrow_udf(T.StringType())
-def nfkc(texts: pa.Array) -> pa.Array:
-    """Compatibility normalisation. ASCII texts pass as they are; ``pyarrow.compute.utf8_normalize`` is no way out, as it
+def _nfkc(texts: pa.Array) -> pa.Array:
+    """Text by text, so a batch is never held as Python strings; ``pyarrow.compute.utf8_normalize`` is no way out, as it
     leaves letters and accents decomposed."""
-    return pa.array([t if t is None or t.isascii() else normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
+    plain = (t.as_py() for t in texts)
+    return pa.array((t if t is None else normalize("NFKC", t) for t in plain), pa.string(), size=len(texts))
+
+
+def nfkc(c: Column) -> Column:
+    """Compatibility normalisation. ASCII texts stay as they are, and don't leave the JVM."""
+    return F.coalesce(_nfkc(F.when(c.rlike("[^\\x00-\\x7F]"), c)), c)
 
 
 def strip(c: Column) -> Column:

@@ -119,3 +119,21 @@ def test_partial_ratio_is_that_of_every_part(monkeypatch):
     compared, common = [], fuzzy._common
     monkeypatch.setattr(fuzzy, "_common", lambda *x: compared.append(1) or common(*x))
     assert 0 < fuzzy.partial_ratio(a, b) < 80 and len(compared) < len(b) / 8
+
+
+def test_ascii_texts_are_not_sent_to_python(spark, monkeypatch):
+    from gridloom.functions import text
+
+    sent = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(t):
+        sent.add(t is not None)
+        return t
+
+    monkeypatch.setattr(text, "_nfkc", counted, raising=False)
+    df = spark.createDataFrame([("plain",), ("Ａ",), ("é",), ("",), (None,)], "s string")
+    df.select(text.nfkc(F.col("s")).alias("n")).collect()
+    assert sent.value == 2
+    monkeypatch.undo()
+    assert [r["n"] for r in df.select(text.nfkc(F.col("s")).alias("n")).collect()] == ["plain", "A", "é", "", None]
