@@ -14,9 +14,16 @@ Grams meet between neighbouring classes of length only, which cuts hot grams; wh
 
 From a ratio of ``PIECES_FROM`` on there is a sharper way. A text of n characters and one as long or longer are at most
 ``2 (1 - t) n / t`` steps apart. Cut into one piece more than that, the shorter one has a piece that no step touches: it
-stands in the longer one as it is, and not farther from its place than the steps reach. Pieces are about nine characters at
-0.95, and ten times fewer than grams. Each meets the pieces' length of characters at every place of a longer text, by one
-hash of the characters, the class of length and the range of places.
+stands in the longer one as it is. Pieces are about nine characters at 0.95, and ten times fewer than grams. Each meets the
+pieces' length of characters at every place of a longer text, by one hash of the characters, the class of length and the
+range of places.
+
+Count each step for the piece that it touches, or that comes next where it adds characters between two. Piece by piece, the
+steps so far less the pieces so far begin at 0, fall by one at most, and end below 0. Where they first fall below 0, an
+untouched piece j has exactly j steps before it, and the others after it. So it is displaced by j at most, by an odd number
+if j is odd, and the steps that are left must make up for what then remains of the difference in length. No other place is
+looked at. Texts that happen to share a piece there are told apart by how often they have each kind of character, before
+their characters move: a step changes one of these numbers by one.
 """
 
 from __future__ import annotations
@@ -29,8 +36,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridloom.functions.fuzzy import ratio_udf
+from gridloom.functions.fuzzy import ratio_from_udf
 from gridloom.operators.columns import evenly
 from gridloom.sources.scratch import stored
 
@@ -40,6 +48,8 @@ _EASE = 1e-6
 LONGEST = 4
 #: The least ratio at which texts meet by pieces.
 PIECES_FROM = 0.9
+#: Kinds of characters, by the last bits of their code points: Latin letters are a kind each.
+KINDS = 32
 #: Rows that a task puts out at once.
 _ROWS = 1 << 18
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -124,19 +134,20 @@ class Pieces:
         """Characters in a range of places, for texts of that class."""
         return math.floor(3 * (1 - self.least) * self.ratio ** min(place, math.log(1e9) / math.log(self.ratio))) + 1
 
-    def pieces(self, characters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(key, at) of a text's own pieces, for every class and range where they may stand in others."""
+    def pieces(self, characters: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(key, at, j) of a text's own pieces, for every class and range where they may stand in others."""
         n = len(characters)
         steps = int(_steps(n, self.least))
-        size = n // (steps + 1)
-        at = np.arange(steps + 1) * size
+        size, j = n // (steps + 1), np.arange(steps + 1)
+        at, longer = j * size, math.floor(n * (self.ratio - 1)) + 1
+        lowest, highest = np.maximum(at - np.minimum(j, steps - j), 0), at + np.minimum(j, longer + steps - j)
         hashes, out = _hashed(characters, size)[at], []
         for place in (self.place(n), self.place(n) + 1):
             width = self.width(place)
-            first, last = np.maximum(at - steps, 0) // width, (at + steps) // width
+            first, last = lowest // width, highest // width
             for i in range(int((last - first).max()) + 1):
                 there = first + i <= last
-                out.append((_keyed(hashes[there], size, place, first[there] + i), at[there]))
+                out.append((_keyed(hashes[there], size, place, first[there] + i), at[there], j[there]))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def parts(self, characters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,17 +163,21 @@ class Pieces:
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _dealt(texts: DataFrame, how) -> DataFrame:
-    """(side, key, n, h, at): what ``how`` says of each text's characters."""
+def _as_characters(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def _dealt(texts: DataFrame, how, *names: str) -> DataFrame:
+    """(side, key, n, h, and integers by ``names``): what ``how`` says of each text's characters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, rows = [], 0
             for i, text in enumerate(batch.column(2).to_pylist()):
-                characters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-                h, at = how(characters)
-                held.append((i, len(characters), h, at))
-                rows += len(h)
+                characters = _as_characters(text).astype(np.uint64)
+                found = how(characters)
+                held.append((i, len(characters), found))
+                rows += len(found[0])
                 if rows > _ROWS:
                     yield out(batch, held)
                     held, rows = [], 0
@@ -170,36 +185,59 @@ def _dealt(texts: DataFrame, how) -> DataFrame:
                 yield out(batch, held)
 
     def out(batch: pa.RecordBatch, held: list) -> pa.RecordBatch:
-        sizes = [len(h) for _, _, h, _ in held]
+        sizes = [len(h) for _, _, (h, *_) in held]
         of = np.repeat([i for i, *_ in held], sizes)
-        n = np.repeat([n for _, n, _, _ in held], sizes).astype(np.int32)
-        columns = [batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), pa.array(n), pa.array(np.concatenate([h for _, _, h, _ in held])), pa.array(np.concatenate([at for *_, at in held]).astype(np.int32))]
-        return pa.RecordBatch.from_arrays(columns, names=["side", "key", "n", "h", "at"])
+        n = np.repeat([n for _, n, _ in held], sizes).astype(np.int32)
+        h, *more = (np.concatenate(x) for x in zip(*(found for *_, found in held), strict=True))
+        columns = [batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), pa.array(n), pa.array(h), *(pa.array(x.astype(np.int32)) for x in more)]
+        return pa.RecordBatch.from_arrays(columns, names=["side", "key", "n", "h", *names])
 
     given = texts.select("side", "key", "text")
-    return given.mapInArrow(run, f"side int, key {given.schema['key'].dataType.simpleString()}, n int, h long, at int")
+    return given.mapInArrow(run, f"side int, key {given.schema['key'].dataType.simpleString()}, n int, h long, {', '.join(f'{x} int' for x in names)}")
 
 
 def _met_by_pieces(texts: DataFrame, least: float, alone: bool) -> DataFrame:
     """(left, right) of ``texts(side, key, text)`` that may reach the ratio: of both sides, or ``alone`` of the only one, the
     smaller key first."""
     cut = Pieces(least)
-    short = _dealt(texts, cut.pieces).select("h", *[F.col(c).alias(f"s_{c}") for c in ("side", "key", "n", "at")])
-    long = _dealt(texts, cut.parts).select("h", *[F.col(c).alias(f"l_{c}") for c in ("side", "key", "n", "at")])
-    longer, shift = F.col("l_n") - F.col("s_n"), F.col("l_at") - F.col("s_at")
-    reach = F.lit(1 - least) * (F.col("l_n") + F.col("s_n")) + F.lit(_EASE)
-    apart = F.col("s_key") != F.col("l_key") if alone else F.col("s_side") != F.col("l_side")
-    # Pieces are far more than Spark takes a table of short texts for: they are not to be broadcast.
-    met = short.hint("merge").join(long, "h").where(apart & (longer >= 0) & (F.abs(shift) + F.abs(longer - shift) <= reach))
+    short = _dealt(texts, cut.pieces, "at", "j").select("h", "j", *[F.col(c).alias(f"s_{c}") for c in ("side", "key", "n", "at")])
+    long = _dealt(texts, cut.parts, "at").select("h", *[F.col(c).alias(f"l_{c}") for c in ("side", "key", "n", "at")])
+    longer, shift, j = F.col("l_n") - F.col("s_n"), F.col("l_at") - F.col("s_at"), F.col("j")
+    after = F.floor(F.lit(1 - least) * (F.col("l_n") + F.col("s_n")) + F.lit(_EASE)) - j
+    fits = (F.abs(shift) <= j) & ((shift + j) % 2 == 0) & (F.abs(longer - shift) <= after)
     first = F.col("s_key") < F.col("l_key") if alone else F.col("s_side") == 0
+    apart = F.col("s_key") != F.col("l_key") if alone else F.col("s_side") != F.col("l_side")
+    # Pieces are far more than Spark takes a table of short texts for: they are not to be broadcast. Texts of one length would
+    # meet twice.
+    met = short.hint("merge").join(long, "h").where(apart & ((longer > 0) | ((longer == 0) & first)) & fits)
     return met.select(F.when(first, F.col("s_key")).otherwise(F.col("l_key")).alias("left"), F.when(first, F.col("l_key")).otherwise(F.col("s_key")).alias("right")).distinct()
 
 
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _kinds(text: pa.Array) -> pa.Array:
+    counts = [np.bincount(_as_characters(x) % KINDS, minlength=KINDS).astype(np.int32) for x in text.to_pylist()]
+    return pa.array(counts, pa.list_(pa.int32()))
+
+
+@F.arrow_udf(T.LongType())
+def _kinds_apart(a: pa.Array, b: pa.Array) -> pa.Array:
+    x, y = (k.flatten().to_numpy().reshape(-1, KINDS) for k in (a, b))
+    return pa.array(np.abs(x - y).sum(axis=1, dtype=np.int64))
+
+
+def _near(met: DataFrame, lefts: DataFrame, rights: DataFrame, least: float) -> DataFrame:
+    """What has met, without what can't reach the ratio by the numbers of each kind of character."""
+    side = lambda df, name: df.select(F.col("key").alias(name), F.char_length("text").alias(f"{name}_n"), _kinds("text").alias(f"{name}_kinds"))
+    both = met.join(side(lefts, "left"), "left").join(side(rights, "right"), "right")
+    return both.where(_kinds_apart("left_kinds", "right_kinds") <= F.lit(1 - least) * (F.col("left_n") + F.col("right_n")) + F.lit(_EASE)).select("left", "right")
+
+
 def _scored(met: DataFrame, lefts: DataFrame, rights: DataFrame, least: float) -> DataFrame:
     """(left, right, ratio) of what has met and reaches the ratio."""
     side = lambda df, name: df.select(F.col("key").alias(name), F.col("text").alias(f"{name}_text"))
-    both = evenly(met.join(side(lefts, "left"), "left").join(side(rights, "right"), "right"))
-    return both.select("left", "right", (ratio_udf("left_text", "right_text") / 100).alias("ratio")).where(F.col("ratio") >= least - 1e-12)
+    near = _near(met, lefts, rights, least)
+    both = evenly(near.join(side(lefts, "left"), "left").join(side(rights, "right"), "right"))
+    return both.select("left", "right", (ratio_from_udf(100 * least)("left_text", "right_text") / 100).alias("ratio")).where(F.col("ratio") >= least - 1e-12)
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, least: float, *, left_key: str, right_key: str, text: str = "text") -> DataFrame:

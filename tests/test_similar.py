@@ -92,3 +92,39 @@ def test_copies_are_not_paired_with_each_other(spark):
     df = spark.range(3000).select(F.col("id").alias("k"), F.concat(F.lit("a line that very many documents begin with, "), F.col("id") % 2).alias("text"))
     found = similar_classes(df, 0.95, key="k")
     assert found.count() == 2999 and [tuple(x)[1:3] for x in found.where("link = 'similar'").collect()] == [(0, 1)]
+
+
+@pytest.mark.parametrize("at_once", [1, 5, 256])
+def test_common_subsequence_from_a_bound(monkeypatch, at_once):
+    """The same length as by the whole programme where the bound is reached, and less than the bound elsewhere."""
+    from gridloom.functions import fuzzy
+
+    monkeypatch.setattr(fuzzy, "_AT_ONCE", at_once)
+    r = random.Random(at_once)
+    for i in range(6000):
+        a = "".join(r.choice("abc") for _ in range(r.randrange(30)))
+        b = noisy(r, noisy(r, a, "abc"), "abc") if i % 4 else "".join(r.choice("abc") for _ in range(r.randrange(30)))
+        needed, common = r.randrange(max(len(a), len(b)) + 2), fuzzy.lcs_length(a, b)
+        got = fuzzy.lcs_length_from(a, b, needed)
+        assert got == common if common >= needed else got < needed, (a, b, needed)
+        ratio, found = fuzzy.indel_ratio(a, b), fuzzy.indel_ratio_from(a, b, 90)
+        assert found == ratio if ratio >= 90 else found is None, (a, b)
+
+
+def test_texts_that_share_pieces_by_chance_are_not_compared(spark):
+    """Texts of few syllables share pieces everywhere. Few of them meet, fewer are compared, and no similar pair is lost."""
+    from gridloom.operators import similar
+
+    r = random.Random(5)
+    syllables = [" the", "tion", "ing", "er", "on", "an", " of", " in", "re"]
+    texts = ["".join(r.choice(syllables) for _ in range(r.randrange(90, 110))) for _ in range(250)]
+    texts += [noisy(r, noisy(r, t, "the on"), "the on") for t in texts[:40]]
+    df = spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)], "side int, key long, text string")
+    met = similar._met_by_pieces(df, 0.95, alone=True)
+    near = similar._near(met, df, df, 0.95)
+    links = [tuple(x) for x in similar._scored(met, df, df, 0.95).select("left", "right").collect()]
+    assert set(links) >= {(i, 250 + i) for i in range(40)} and len(links) == len(set(links))
+    rows = list(enumerate(texts))
+    assert sorted(links) == [(i, j) for i, j, _ in plain(rows, rows, 0.95) if i < j]
+    # Of 41,905 pairs; 4,946 met where every place was looked at that the steps reach.
+    assert met.count() < 2000 and near.count() < 200
