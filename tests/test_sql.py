@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridloom.functions import sql
 from gridloom.sources import adapters
@@ -69,3 +70,56 @@ def test_small_files_are_few_micro_batches(spark, tmp_path):
         return len([p for p in (tmp_path / f"{name}-state" / "commits").iterdir() if p.name.isdigit()])
 
     assert batches("default") == 1 and batches("bytes", bytes_at_once=1000) == 4 and batches("files", files_at_once=20) == 2
+
+
+@pytest.mark.parametrize("reached", [True, False])
+def test_a_file_for_each_row(spark, tmp_path, monkeypatch, reached):
+    """In few folders, however many files; one after another by Spark where the store is out of reach."""
+    from gridloom.sources import sinks
+
+    if not reached:
+        monkeypatch.setattr(sinks, "_is_reached", lambda uri: False)
+    n, folder = (2000 if reached else 20), tmp_path / "a b%20c"
+    rows = spark.range(n).select(F.concat(F.lit("f-"), "id").alias("name"), F.when(F.col("id") > 0, F.concat(F.lit("é "), "id")).alias("text"))
+    sinks.write_files(rows, f"file://{folder}")
+    files = [p for p in folder.rglob("*") if p.is_file() and not p.name.startswith((".", "_"))]
+    named = {(p.name if reached else p.parent.name.removeprefix("name=")): p.read_text() for p in files}
+    assert len(files) == n and named == {f"f-{i}": f"é {i}\n" if i else "\n" for i in range(n)}
+    if reached:
+        assert len([p for p in folder.rglob("*") if p.is_dir()]) <= sinks.FOLDERS
+
+
+def test_pages_that_share_an_identifier_are_files_of_their_own(spark, tmp_path):
+    from gridloom.plans.crawl_queries import QUERIES
+
+    rows = [(1, "a"), (1, "bc"), (1, "bc"), (-2, "é"), (None, "none")]
+    spark.createDataFrame(rows, "page_id long, html string").coalesce(1).write.parquet(f"file://{tmp_path}/pages.parquet")
+    got = [(r["mode"], r["page_id"], r["length"]) for r in QUERIES["s23_directory_adapter"](spark, f"file://{tmp_path}").collect()]
+    assert sorted(got, key=str) == sorted([(mode, i, len(html.encode()) + 1) for i, html in rows for mode in ("batch", "stream")], key=str)
+
+
+def test_a_micro_batch_is_as_large_as_all_cores_take(spark, tmp_path):
+    folder = tmp_path / "large"
+    folder.mkdir()
+    for i in range(3):
+        with (folder / f"{i}.bin").open("wb") as file:
+            file.truncate(50 << 20)
+    listed = adapters.DirectoryAdapter(f"file://{folder}").stream(spark).drop("content")
+    listed.writeStream.format("parquet").option("checkpointLocation", f"file://{tmp_path}/state").trigger(availableNow=True).start(f"file://{tmp_path}/out").awaitTermination()
+    assert spark.read.parquet(f"file://{tmp_path}/out").count() == 3
+    assert len([p for p in (tmp_path / "state" / "commits").iterdir() if p.name.isdigit()]) == 1
+
+
+def test_small_files_are_few_tasks(spark, tmp_path):
+    """A task for a few files each takes longer to start than to run."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(300):
+        (folder / f"{i}.txt").write_text("x")
+    adapter, kept = adapters.DirectoryAdapter(f"file://{folder}"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8m")
+    try:
+        for found in (adapter.discover(spark), adapter.fetch(spark)):
+            assert found.count() == 300 and found.rdd.getNumPartitions() == adapters.TASKS_PER_CORE * 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
