@@ -23,7 +23,8 @@ steps so far less the pieces so far begin at 0, fall by one at most, and end bel
 untouched piece j has exactly j steps before it, and the others after it. So it is displaced by j at most, by an odd number
 if j is odd, and the steps that are left must make up for what then remains of the difference in length. No other place is
 looked at. Texts that happen to share a piece there are told apart by how often they have each kind of character, before
-their characters move: a step changes one of these numbers by one.
+their characters move: a step changes one of these numbers by one. Pairs are then dealt to tiles by a hash of either side, and
+a tile gets each of its texts once: a group of texts that are all alike moves as its number of texts, not of pairs.
 """
 
 from __future__ import annotations
@@ -38,8 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.functions.fuzzy import ratio_from_udf
-from gridloom.operators.columns import evenly
+from gridloom.functions.fuzzy import indel_ratio_from
 from gridloom.sources.scratch import stored
 
 #: Bounds are computed in floating point: they are eased by this much.
@@ -50,6 +50,8 @@ LONGEST = 4
 PIECES_FROM = 0.9
 #: Kinds of characters, by the last bits of their code points: Latin letters are a kind each.
 KINDS = 32
+#: Pairs in a tile, on average at most.
+PAIRS = 25_000
 #: Rows that a task puts out at once.
 _ROWS = 1 << 18
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -117,7 +119,7 @@ def _hashed(characters: np.ndarray, size: int) -> np.ndarray:
 def _keyed(hashes: np.ndarray, *more: np.ndarray | int) -> np.ndarray:
     for x in more:
         hashes = (hashes ^ (hashes >> np.uint64(29))) * _FACTOR + np.asarray(x, dtype=np.int64).view(np.uint64)
-    return (hashes ^ (hashes >> np.uint64(32))).view(np.int64)
+    return (hashes ^ (hashes >> np.uint64(32))).astype(np.uint32).view(np.int32)
 
 
 class Pieces:
@@ -193,7 +195,7 @@ def _dealt(texts: DataFrame, how, *names: str) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, names=["side", "key", "n", "h", *names])
 
     given = texts.select("side", "key", "text")
-    return given.mapInArrow(run, f"side int, key {given.schema['key'].dataType.simpleString()}, n int, h long, {', '.join(f'{x} int' for x in names)}")
+    return given.mapInArrow(run, f"side int, key {given.schema['key'].dataType.simpleString()}, n int, h int, {', '.join(f'{x} int' for x in names)}")
 
 
 def _met_by_pieces(texts: DataFrame, least: float, alone: bool) -> DataFrame:
@@ -232,12 +234,32 @@ def _near(met: DataFrame, lefts: DataFrame, rights: DataFrame, least: float) ->
     return both.where(_kinds_apart("left_kinds", "right_kinds") <= F.lit(1 - least) * (F.col("left_n") + F.col("right_n")) + F.lit(_EASE)).select("left", "right")
 
 
+def _tiled(near: DataFrame, lefts: DataFrame, rights: DataFrame, tasks: int) -> tuple[DataFrame, DataFrame]:
+    """(tile, left, right) of all pairs, and (of_tile, side, key, text) of what each tile has pairs of."""
+    across = math.ceil(math.sqrt(max(4 * tasks, near.count() / PAIRS)))
+    pairs = near.withColumn("tile", F.pmod(F.xxhash64("left"), F.lit(across)) * across + F.pmod(F.xxhash64("right"), F.lit(across)))
+    held = lambda df, name: pairs.select(F.col("tile").alias("of_tile"), F.col(name).alias("key")).distinct().join(df.select("key", "text"), "key").select("of_tile", F.lit(name).alias("side"), "key", "text")
+    return pairs, held(lefts, "left").unionByName(held(rights, "right"))
+
+
 def _scored(met: DataFrame, lefts: DataFrame, rights: DataFrame, least: float) -> DataFrame:
     """(left, right, ratio) of what has met and reaches the ratio."""
-    side = lambda df, name: df.select(F.col("key").alias(name), F.col("text").alias(f"{name}_text"))
-    near = _near(met, lefts, rights, least)
-    both = evenly(near.join(side(lefts, "left"), "left").join(side(rights, "right"), "right"))
-    return both.select("left", "right", (ratio_from_udf(100 * least)("left_text", "right_text") / 100).alias("ratio")).where(F.col("ratio") >= least - 1e-12)
+    near = stored(_near(met, lefts, rights, least), "similar-near")
+    tasks = int(near.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs, texts = _tiled(near, lefts, rights, tasks)
+
+    def score(pairs: pa.Table, texts: pa.Table) -> pa.Table:
+        of: dict[str, dict] = {"left": {}, "right": {}}
+        for side, key, text in zip(*(texts[c].to_pylist() for c in ("side", "key", "text")), strict=True):
+            of[side][key] = text
+        ratios = [indel_ratio_from(of["left"][i], of["right"][j], 100 * least) for i, j in zip(pairs["left"].to_pylist(), pairs["right"].to_pylist(), strict=True)]
+        scored = pairs.select(["left", "right"]).append_column("ratio", pa.array([None if x is None else x / 100 for x in ratios], pa.float64()))
+        return scored.filter(pa.array([x is not None and x / 100 >= least - 1e-12 for x in ratios], pa.bool_()))
+
+    kind = near.schema["left"].dataType.simpleString()
+    # A number is given, as Spark would put small partitions together by their bytes.
+    by_tile = lambda df, tile: df.repartition(tasks, tile).groupBy(tile)
+    return by_tile(pairs, "tile").cogroup(by_tile(texts, "of_tile")).applyInArrow(score, f"left {kind}, right {kind}, ratio double")
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, least: float, *, left_key: str, right_key: str, text: str = "text") -> DataFrame:

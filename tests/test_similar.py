@@ -128,3 +128,17 @@ def test_texts_that_share_pieces_by_chance_are_not_compared(spark):
     assert sorted(links) == [(i, j) for i, j, _ in plain(rows, rows, 0.95) if i < j]
     # Of 41,905 pairs; 4,946 met where every place was looked at that the steps reach.
     assert met.count() < 2000 and near.count() < 200
+
+
+def test_texts_that_are_all_alike_move_once_for_a_tile(spark, monkeypatch):
+    """Not once for each of their pairs; and a tile holds some ``PAIRS`` pairs."""
+    from gridloom.operators import similar
+
+    monkeypatch.setattr(similar, "PAIRS", 200)
+    line = "a line of some length that many documents begin with, each with a number of its own, "
+    df = spark.range(150).select(F.col("id").alias("key"), F.concat(F.lit(line), F.lpad("id", 3, "0")).alias("text"))
+    near = df.select(F.col("key").alias("left")).join(df.select(F.col("key").alias("right")), F.expr("left < right"))
+    pairs, texts = similar._tiled(near, df, df, 4)
+    assert pairs.count() == 150 * 149 / 2 and 50 < pairs.select("tile").distinct().count() <= 64
+    assert texts.count() <= 2 * 150 * 8 < 150 * 149 / 4
+    assert similar.similar_classes(df, 0.95, key="key").count() == 150 * 149 / 2
